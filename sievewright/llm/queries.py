@@ -6,12 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import format_copies
+from sievewright.llm import containers, format_copies, mixing, tokens, visual
 from sievewright.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _document_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.record_tokens(table(spark, folder, "documents"), ["doc_id", "source"], "text")
+
+
+def p1_record_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.corpus_tokens(table(spark, folder, "documents"), table(spark, folder, "sft_rows"))
+
+
+def p1_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.totals(p1_record_tokens(spark, folder))
+
+
+def p1_against_reports(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.against_reports(p1_record_tokens(spark, folder), table(spark, folder, "full_dataset_validation"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return format_copies.copy_pairs(*(table(spark, folder, t) for t in ("sft_rows", "preference_rows", "raw_records")))
 
@@ -20,6 +36,30 @@ def p2_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return format_copies.collapse(*(table(spark, folder, t) for t in ("sft_rows", "preference_rows", "raw_records")))
 
 
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return containers.pack(_document_sizes(spark, folder), table(spark, folder, "container_specs"))
+
+
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return containers.fill(p7_containers(spark, folder), table(spark, folder, "container_specs"))
+
+
+def p8_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_document_sizes(spark, folder), table(spark, folder, "mixture_sources"))
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.shares(p8_mixture(spark, folder), table(spark, folder, "mixture_sources"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return visual.same_look(table(spark, folder, "documents"))
+
+
+def p9_forms(spark: SparkSession, folder: str) -> DataFrame:
+    return visual.canonical_documents(table(spark, folder, "documents")).select("doc_id", "form")
+
+
 def queries() -> dict[str, Query]:
     found = {name: value for name, value in globals().items() if name.startswith("p") and name[1:2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: (int(x[0][1:].split("_")[0]), not x[0].endswith("_found"))))
