@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import containers, format_copies, mixing, tokens, visual
+from sievewright.llm import containers, format_copies, languages, mixing, tokens, visual
 from sievewright.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,23 @@ def p2_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return format_copies.collapse(*(table(spark, folder, t) for t in ("sft_rows", "preference_rows", "raw_records")))
 
 
+def _languages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, languages.Crf]:
+    docs, sft = table(spark, folder, "documents"), table(spark, folder, "sft_rows")
+    return docs, sft, languages.fit(languages.sample(docs, sft))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.wrong_labels(*_languages(spark, folder))
+
+
+def p4_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.languages(*_languages(spark, folder))
+
+
+def p4_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.segments(*_languages(spark, folder))
+
+
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
     return containers.pack(_document_sizes(spark, folder), table(spark, folder, "container_specs"))
 
