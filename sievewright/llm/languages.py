@@ -82,10 +82,10 @@ def label_code(name: str) -> Column:
 
 def tokens_of(text: str) -> list[str]:
     """Words and sentence breaks of a text in canonical form."""
-    text = canonical_form(text)
+    text = canonical_form(text.lower())
     if "@" in text or "://" in text or "at]" in text or "at)" in text:
         text = _NO_WORDS.sub(" ", text)
-    return _TOKEN.findall(text.lower())
+    return _TOKEN.findall(text)
 
 
 def _hash(feature: str) -> int:
@@ -345,14 +345,13 @@ def held_languages(result: tuple[np.ndarray, ...]) -> dict[int, float]:
     return held
 
 
-def sample(docs: DataFrame, sft: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[tuple[str, str]]:
-    """Labelled texts of up to ``chars`` characters: at most ``rows`` of each language and table,
-    those with the least hash."""
+def sample(*sources: tuple[DataFrame, str, str, Column], rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[tuple[str, str]]:
+    """Labelled texts of up to ``chars`` characters: at most ``rows`` of each language and source,
+    those with the least hash.  A source: table, id column, label column, text."""
     from pyspark.sql import Window
 
     out = []
-    message_text = F.array_join(F.transform("messages", lambda m: content_text(m["content"])), "\n\n")
-    for df, key, label, text in ((docs, "doc_id", "lang", F.col("text")), (sft, "id", "language", message_text)):
+    for df, key, label, text in sources:
         coded = df.select(key, label_code(label).alias("l"), F.xxhash64(key).alias("h")).where(F.col("l").isin(*LANGUAGES))
         ids = (
             coded.dropDuplicates([key]).withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", key)))
@@ -366,6 +365,14 @@ def sample(docs: DataFrame, sft: DataFrame, rows: int = TRAIN_ROWS, chars: int =
     return out
 
 
+def document_source(docs: DataFrame) -> tuple[DataFrame, str, str, Column]:
+    return docs, "doc_id", "lang", F.col("text")
+
+
+def conversation_source(sft: DataFrame) -> tuple[DataFrame, str, str, Column]:
+    return sft, "id", "language", F.array_join(F.transform("messages", lambda m: content_text(m["content"])), "\n\n")
+
+
 def _label(crf_parts: tuple[np.ndarray, ...], segments: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = Crf(*crf_parts)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievewright.llm import containers, format_copies, languages, mixing, tokens, visual
+from sievewright.llm import answers, containers, format_copies, languages, mixing, tokens, visual
 from sievewright.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +39,7 @@ def p2_collapsed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _languages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, languages.Crf]:
     docs, sft = table(spark, folder, "documents"), table(spark, folder, "sft_rows")
-    return docs, sft, languages.fit(languages.sample(docs, sft))
+    return docs, sft, languages.fit(languages.sample(languages.document_source(docs), languages.conversation_source(sft)))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,6 +54,21 @@ def p4_segments(spark: SparkSession, folder: str) -> DataFrame:
     return languages.segments(*_languages(spark, folder))
 
 
+def _defects(spark: SparkSession, folder: str) -> DataFrame:
+    identity, preferences = table(spark, folder, "identity_sft"), table(spark, folder, "preference_rows")
+    flat = (identity, "id", "language", F.concat_ws("\n\n", "messages_flat.user", "messages_flat.assistant"))
+    pairs = (preferences, "id", "language", F.concat_ws("\n\n", "prompt", "chosen", "rejected"))
+    return answers.defects(identity, preferences, languages.fit(languages.sample(flat, pairs)))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _defects(spark, folder).select("table_name", "id", "field", "defect")
+
+
+def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return _defects(spark, folder).groupBy("table_name", "field", "defect").agg(F.count(F.lit(1)).alias("n_answers"))
+
+
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
     return containers.pack(_document_sizes(spark, folder), table(spark, folder, "container_specs"))
 
