@@ -20,13 +20,14 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import labelmodel
-from sievewright.llm.format_copies import prompt_text
+from sievewright.llm.records import content_text
 from sievewright.llm.languages import LANGUAGES, Crf, _Words, label_sentences, tokens_of
 from sievewright.session import materialize
 
@@ -80,35 +81,47 @@ _LEADS = re.compile(r"^[^\n:：]{3,40}[:：]\s*")
 _WORD = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+(?:['’][^\W_㐀-鿿]+)*")
 
 
+_INVISIBLE = re.compile("[\xad\u061c\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]")
+#: Cheap cues, one of which every refusal pattern needs; found by one automaton in one pass.
+_CUES = ahocorasick.Automaton()
+for _cue in (
+    "can't;cannot;can not;unable;not able;won't;will not;not going;decline;refuse;rather not;prefer not;nicht;keine a;ablehnen;zurückweisen;pas ;refuser;décliner;"
+    "no puedo;no estoy;prefiero;no voy;rechazar;declinar;não ;recusar;non ;rifiutare;declinare;preferisco;не ;няма;откажа;отклон;отказать;لا ;لست;أفضل;لن ;أرفض;"
+    "办法;想;会回答;拒绝;无法;不能;没法;帮不;恕不"
+).split(";"):
+    _CUES.add_word(_cue, 1)
+_CUES.make_automaton()
+
+
 def plain(text: str) -> str:
     """Composed, case folded, without invisible characters."""
+    if text.isascii():
+        return text.lower()
     text = unicodedata.normalize("NFKC", text).casefold()
-    if not text.isascii():
+    if _INVISIBLE.search(text):
         text = "".join(c for c in text if unicodedata.category(c) != "Cf")
     return text.replace("’", "'")
 
 
-def ending(words: list[str]) -> str | None:
+_EDGES = "\"'’”“„«»‘()（）[]【】*_`~>#•-—–.,;:!?…،؛؟、，；：。！？"
+_STOPS = re.compile(r"[.!?؟…。！？]+")
+
+
+def ending(part: str) -> str | None:
     """The last words of a sentence: two words, or three characters of a script without spaces."""
-    if not words:
-        return None
-    if "㐀" <= words[-1] <= "鿿":
-        return "".join(words[-3:])
-    return " ".join(words[-2:])
+    tail = part[-80:].rstrip().rstrip(_EDGES)
+    if tail and "㐀" <= tail[-1] <= "鿿":
+        return tail[-3:]
+    words = [w for w in (x.strip(_EDGES) for x in tail.split()[-4:]) if w][-2:]
+    return " ".join(words) or None
 
 
 def endings(text: str) -> list[str]:
     """The endings of all finished sentences of a text."""
-    out = []
-    for part in re.split(r"(?<=[.!?。！？؟])\s*", plain(text)):
-        if part and part[-1] in _STOP:
-            e = ending(_WORD.findall(part))
-            if e and not e[-1].isdigit():
-                out.append(e)
-    return out
+    return [e for e in map(ending, _STOPS.split(plain(text))[:-1]) if e]
 
 
-def _sign(yes: bool, no: bool) -> str:
+def _sign(yes: bool, no: bool = False) -> str:
     return "+" if yes else "-" if no else "0"
 
 
@@ -121,7 +134,7 @@ def votes(prompt: str, answer: str | None, held: tuple[str | None, str | None, b
     text = plain(raw)
     bare = text.strip()
     words = _WORD.findall(bare)
-    content = [w for w in words if any(c.isalnum() for c in w)]
+    content = words
     placeholder = bare in _PLACEHOLDER or bare.strip("<>[]().-_ ") in _PLACEHOLDER
     out = {"empty": _sign(answer is None or not bare, bool(bare)) if not content else _sign(False, not placeholder)}
     out["empty"] += _sign(not content, len(content) >= 3) + _sign(placeholder or not content, bool(content) and not placeholder)
@@ -139,19 +152,27 @@ def votes(prompt: str, answer: str | None, held: tuple[str | None, str | None, b
     dangling = not done and bare[-1] in ",:，、：-–—(（[«„“‘/&+"
     opened = not done and any(bare.count(a) > bare.count(b) for a, b in (("(", ")"), ("«", "»"), ("（", "）"), ("[", "]"), ("„", "“")))
     listed = len(content) <= 4 and bool(re.search(r"(?:^|\n)\s*[-*•\d]", bare))
-    lookup = None if done or dangling else ending(content)
+    lookup = None if done or dangling else ending(bare)
     out["truncated"] = _sign(dangling, done) + _sign(opened, False) + _sign(False, listed and not dangling)
 
     # Refusal: what it says, how it is framed, and whether an answer follows.
-    sentences = [s for s in re.split(r"(?<=[.!?。！？؟:：])\s*|\n+", bare) if _WORD.search(s)]
-    says = [bool(_REFUSE.search(s)) for s in sentences]
-    after = sum(len(_WORD.findall(s)) for s, x in zip(sentences[says.index(True) + 1 :], says[says.index(True) + 1 :]) if not x) if any(says) else len(content)
-    out["refusal"] = _sign(any(says), not any(says)) + _sign(any(says) and after < 4, after >= 8) + _sign(bool(_FRAME.search(bare)) and any(says), not any(says)) + _sign(any(says) and len(sentences) <= 3, len(sentences) > 4)
+    sentences: list[str] = []
+    says: list[bool] = []
+    if next(_CUES.iter(bare), None) is not None and _REFUSE.search(bare):
+        sentences = [s for s in re.split(r"(?<=[.!?。！？؟:：])\s*|\n+", bare) if _WORD.search(s)]
+        says = [bool(_REFUSE.search(s)) for s in sentences]
+    if any(says):
+        first = says.index(True) + 1
+        after = sum(len(_WORD.findall(s)) for s, x in zip(sentences[first:], says[first:]) if not x)
+        out["refusal"] = "+" + _sign(after < 4, after >= 8) + _sign(bool(_FRAME.search(bare))) + _sign(len(sentences) <= 3, len(sentences) > 5)
+    else:
+        out["refusal"] = "-" + _sign(False, len(content) >= 8) + "--"
 
     # Copied question: nothing but the prompt, perhaps behind a few words that announce it.
     asked = plain(prompt)
-    asked_words = [w for w in _WORD.findall(asked) if any(c.isalnum() for c in w)]
-    if not asked_words:
+    asked_words = _WORD.findall(asked)
+    mine = set(content)
+    if not asked_words or len(mine.intersection(asked_words)) < 0.6 * len(mine):
         out["copied_question"] = "---"
     else:
         bodies = [content, _WORD.findall(_LEADS.sub("", bare, count=1))]
@@ -167,30 +188,33 @@ def votes(prompt: str, answer: str | None, held: tuple[str | None, str | None, b
 
     # Language: of prompt and answer, and whether the prompt asks for another.
     from_lang, to_lang, sure_prompt, sure_answer = held
-    head = re.split(r"[:：\n]", asked, maxsplit=1)[0][:120]
-    heads = re.findall(r"[^\W\d_]+", head)
-    spoken = {lang for w, lang in _ASK_WORDS.items() if (w in head if "㐀" <= w[0] <= "鿿" else any(h.startswith(w) for h in heads))}
     differ = bool(from_lang and to_lang and from_lang != to_lang)
+    head = re.split(r"[:：\n]", asked, maxsplit=1)[0][:120] if differ else ""
+    heads = re.findall(r"[^\W\d_]+", head) if differ else []
+    spoken = {lang for w, lang in _ASK_WORDS.items() if (w in head if "㐀" <= w[0] <= "鿿" else any(h.startswith(w) for h in heads))}
     wanted = differ and to_lang in spoken
     out["wrong_language"] = _sign(differ and sure_answer and not wanted, not differ or wanted) + _sign(differ and sure_prompt and sure_answer and not wanted, not differ or wanted) + _sign(differ and sure_answer and not spoken, not differ or not sure_answer or wanted)
     return out, lookup
 
 
 def answer_rows(identity: DataFrame, preferences: DataFrame) -> DataFrame:
-    """table_name, id, field, prompt, answer of every answer of both tables."""
-    def users(messages: F.Column) -> F.Column:
-        from sievewright.llm.records import content_text
+    """table_name, id, prompt and the one or two answers (a, b) of every record of both tables."""
+    users = F.array_join(
+        F.transform(F.filter("prompt_messages", lambda m: F.lower(F.trim(m["role"])) == "user"), lambda m: content_text(m["content"])), "\n"
+    )
+    one = identity.select(
+        F.lit("identity_sft").alias("table_name"), F.col("id").cast("string").alias("id"), F.col("messages_flat.user").alias("prompt"),
+        F.col("messages_flat.assistant").alias("a"), F.lit(None).cast("string").alias("b"),
+    )
+    two = preferences.select(
+        F.lit("preference_rows").alias("table_name"), F.col("id").cast("string").alias("id"), F.coalesce("prompt", users).alias("prompt"),
+        F.col("chosen").alias("a"), F.col("rejected").alias("b"),
+    )
+    return one.unionByName(two).where(F.col("id").isNotNull())
 
-        return F.array_join(F.transform(F.filter(messages, lambda m: F.lower(F.trim(m["role"])) == "user"), lambda m: content_text(m["content"])), "\n")
 
-    a = identity.select(
-        F.lit("identity_sft").alias("table_name"), "id", F.lit("assistant").alias("field"), F.col("messages_flat.user").alias("prompt"), F.col("messages_flat.assistant").alias("answer")
-    )
-    p = preferences.select(
-        F.lit("preference_rows").alias("table_name"), "id", F.coalesce("prompt", users(F.col("prompt_messages"))).alias("prompt"),
-        F.explode(F.array(F.struct(F.lit("chosen").alias("field"), F.col("chosen").alias("answer")), F.struct(F.lit("rejected").alias("field"), F.col("rejected").alias("answer")))).alias("x"),
-    ).select("table_name", "id", "x.field", "prompt", "x.answer")
-    return a.unionByName(p).where(F.col("id").isNotNull())
+#: The fields of a table's answers a and b.
+FIELDS = {"identity_sft": ("assistant",), "preference_rows": ("chosen", "rejected")}
 
 
 def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,21 +241,22 @@ def _votes(parts: tuple[np.ndarray, ...]):
         crf = Crf(*parts)
         words = _Words(crf)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                b = batch.slice(at, 2048)
-                prompts, answers = (b.column(i).to_pylist() for i in (3, 4))
-                found = label_sentences(crf, [tokens_of(t or "") for t in (*prompts, *answers)], words)
-                columns: dict[str, list] = {d: [] for d in DEFECTS}
-                lookups = []
-                for i, (prompt, answer) in enumerate(zip(prompts, answers)):
-                    p, sure_p = _language(found[i])
-                    a, sure_a = _language(found[len(prompts) + i])
-                    few = answer is None or len(tokens_of(answer)) < 3
-                    row, lookup = votes(prompt or "", answer, (p, None if few else a, sure_p, sure_a))
-                    for d in DEFECTS:
-                        columns[d].append(row[d])
-                    lookups.append(lookup)
-                yield pa.record_batch([b.column(0), b.column(1), b.column(2), *(pa.array(columns[d], pa.string()) for d in DEFECTS), pa.array(lookups, pa.string())], ["table_name", "id", "field", *DEFECTS, "ending"])
+            for at in range(0, batch.num_rows, 4096):
+                tables, ids, prompts, a, b = (c.to_pylist() for c in batch.slice(at, 4096).columns)
+                pairs = [FIELDS[t] for t in tables]
+                texts = [x for p, *xs in zip(prompts, a, b) for x in (p, *xs)]  # prompt, a, b of each record
+                token_lists = [tokens_of(t) if t else [] for t in texts]
+                found = label_sentences(crf, token_lists, words)
+                out: dict[str, list] = {c: [] for c in ("table_name", "id", "field", *DEFECTS, "ending")}
+                for i, fields in enumerate(pairs):
+                    p, sure_p = _language(found[3 * i])
+                    for k, field in enumerate(fields, start=1):
+                        x, sure = _language(found[3 * i + k])
+                        row, lookup = votes(prompts[i] or "", texts[3 * i + k], (p, None if len(token_lists[3 * i + k]) < 3 else x, sure_p, sure))
+                        row.update(table_name=tables[i], id=ids[i], field=field, ending=lookup)
+                        for column, values in out.items():
+                            values.append(row[column])
+                yield pa.record_batch([pa.array(v, pa.string()) for v in out.values()], list(out))
 
     return run
 
@@ -239,10 +264,9 @@ def _votes(parts: tuple[np.ndarray, ...]):
 def scored(identity: DataFrame, preferences: DataFrame, crf: Crf) -> DataFrame:
     """Each answer's vote patterns; the truncation pattern ends with the vote of the corpus."""
     rows = answer_rows(identity, preferences)
-    known = rows.select("prompt", "answer").mapInArrow(_endings, "ending string, n long").groupBy("ending").agg(F.sum("n").alias("n")).where(F.col("n") >= ENDINGS)
+    known = rows.select("prompt", "a", "b").mapInArrow(_endings, "ending string, n long").groupBy("ending").agg(F.sum("n").alias("n")).where(F.col("n") >= ENDINGS)
     schema = "table_name string, id string, field string, " + ", ".join(f"{d} string" for d in DEFECTS) + ", ending string"
-    cast = rows.select("table_name", F.col("id").cast("string").alias("id"), "field", "prompt", "answer")
-    voted = materialize(cast.mapInArrow(_votes((crf.weights, crf.within, crf.across)), schema), "votes")
+    voted = materialize(rows.mapInArrow(_votes((crf.weights, crf.within, crf.across)), schema), "votes")
     open_ends = voted.where("ending is not null").join(known, "ending", "left").withColumn(
         "truncated", F.concat("truncated", F.when(F.col("n").isNull(), F.lit("+")).otherwise(F.lit("-")))
     )

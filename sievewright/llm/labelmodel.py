@@ -58,13 +58,18 @@ def fit(counts: dict[str, int], voters: int, prior: float = 0.05, rounds: int =
     total = n.sum()
     held = max(20.0, strength * total) * prior
     pi = prior
-    for _ in range(rounds):
-        logs = np.repeat(np.log([1 - pi, pi])[None], len(patterns), axis=0)
-        for j in range(voters):
-            said = votes[:, j] != 0
-            logs[said] += damp[j] * np.log(table[j][:, (votes[said, j] > 0).astype(int)]).T
-        q = np.exp(logs - logs.max(axis=1, keepdims=True))
-        q /= q.sum(axis=1, keepdims=True)
+    # The first guess is the majority of the votes.
+    lead = np.clip(votes.sum(axis=1), -3, 3) * 2.0
+    first = 1 / (1 + np.exp(-lead))
+    q = np.stack((1 - first, first), axis=1)
+    for step in range(rounds):
+        if step:
+            logs = np.repeat(np.log([1 - pi, pi])[None], len(patterns), axis=0)
+            for j in range(voters):
+                said = votes[:, j] != 0
+                logs[said] += damp[j] * np.log(table[j][:, (votes[said, j] > 0).astype(int)]).T
+            q = np.exp(logs - logs.max(axis=1, keepdims=True))
+            q /= q.sum(axis=1, keepdims=True)
         new = np.empty_like(table)
         for j in range(voters):
             for v in (0, 1):

@@ -31,12 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm.records import content_text, text_lists
-from sievewright.llm.visual import canonical_form
+from sievewright.llm.visual import canonical_form, word_ready
 
 LANGUAGES = ("en", "de", "fr", "es", "pt", "it", "bg", "ru", "ar", "zh")
 TRAIN_ROWS = 80
 TRAIN_CHARS = 4_000
 FEATURES = 1 << 15
+#: Words of a stretch of whole sentences that forward-backward runs over at once.  Longer records are
+#: cut into stretches at sentence breaks, where the chain carries next to nothing.
+STRETCH = 96
 #: A sentence counts as held in a language from so many words and such a mean posterior.
 SENTENCE_WORDS = 5
 SENTENCE_CONFIDENCE = 0.9
@@ -64,7 +67,7 @@ SPELLINGS = {
 MISSING = ("", "unknown", "und", "undetermined", "n/a", "na", "none", "null", "nan", "?", "-", "xx", "mul", "zxx", "mis", "other", "undefined", "unk")
 
 _TOKEN = re.compile(
-    r"[㐀-鿿]{1,2}|[^\W\d_㐀-鿿]+(?:['’][^\W\d_㐀-鿿]+)*|[.!?;。！？；؟]+(?!\w)|\n\s*(?=[\n\-*#>•])|\n(?=\w[\w\- ]{0,18}:)|\x00"
+    r"[㐀-鿿]{1,2}|[^\W\d_㐀-鿿]+(?:['’][^\W\d_㐀-鿿]+)*|[。！？；]+|[.!?;؟]+(?!\w)|\n\s*(?=[\n\-*#>•])|\n(?=\w[\w\- ]{0,18}:)|\x00"
 )
 _NO_WORDS = re.compile(r"\S*(?:@|://|\[at\]|\(at\))\S*")
 _BREAK = re.compile(r"[.!?;。！？；؟\n\x00]")
@@ -81,8 +84,8 @@ def label_code(name: str) -> Column:
 
 
 def tokens_of(text: str) -> list[str]:
-    """Words and sentence breaks of a text in canonical form."""
-    text = canonical_form(text.lower())
+    """Words and sentence breaks of a text; the words' canonical form is taken word by word."""
+    text = word_ready(text.lower())
     if "@" in text or "://" in text or "at]" in text or "at)" in text:
         text = _NO_WORDS.sub(" ", text)
     return _TOKEN.findall(text)
@@ -93,7 +96,8 @@ def _hash(feature: str) -> int:
 
 
 def word_features(word: str) -> list[int]:
-    """Hashed features: the word, its affixes and n-grams, and its script."""
+    """Hashed features: the word in canonical form, its affixes and n-grams, and its script."""
+    word = canonical_form(word) or word
     w = f"^{word}$" if len(word) < 40 else f"^{word[:20]}{word[-20:]}$"
     found = {"w" + word[:60]}
     found.update("p" + w[: n + 1] for n in (1, 2, 3, 4) if len(w) > n + 1)
@@ -284,65 +288,72 @@ class _Words(dict):
 
 
 def label_sentences(crf: Crf, token_lists: list[list[str]], words: _Words | None = None):
-    """For each record, arrays of its sentences: language, mean posterior, words, place in the tokens."""
+    """For each record, arrays of its sentences: language, mean posterior, words, place in the
+    tokens and posterior mass; None for a record without words."""
     words = words if words is not None else _Words(crf)
     if len(words) > words.LIMIT:
         words.clear()
         words.table = np.zeros((1024, len(LANGUAGES)), np.float32)
     number = words.__getitem__
-    coded = [np.fromiter(map(number, tokens), np.int32, len(tokens)) for tokens in token_lists]
-    table = words.table
-    results: list[tuple[np.ndarray, ...] | None] = [None] * len(coded)
-    order = sorted(range(len(coded)), key=lambda i: len(coded[i]))
+    flat = np.concatenate([np.fromiter(map(number, tokens), np.int32, len(tokens)) for tokens in token_lists] or [np.zeros(0, np.int32)])
+    lengths = np.fromiter(map(len, token_lists), np.int64, len(token_lists))
+    owner = np.repeat(np.arange(len(token_lists)), lengths)
+    word = flat >= 0
+    ids, owner = flat[word], owner[word]
+    results: list[tuple[np.ndarray, ...] | None] = [None] * len(token_lists)
+    if not len(ids):
+        return results
+    place = np.flatnonzero(word) - np.concatenate(([0], np.cumsum(lengths)[:-1]))[owner]
+    stop = np.cumsum(~word)[word]
+    fresh = np.concatenate(([True], owner[1:] != owner[:-1]))  # the first word of a record
+    begin = fresh.copy()
+    begin[1:] |= stop[1:] != stop[:-1]  # the first word of a sentence
+    starts = np.flatnonzero(begin)
+    sizes = np.diff(np.concatenate((starts, [len(ids)])))
+    # Stretches of whole sentences: a new one for each record and wherever the last one is full.
+    cut, room = np.empty(len(starts), bool), 0
+    for s, (size, new) in enumerate(zip(sizes.tolist(), fresh[starts].tolist())):
+        cut[s] = new or size > room
+        room = (STRETCH if cut[s] else room) - size
+    first = starts[cut]
+    length = np.diff(np.concatenate((first, [len(ids)])))
+    post = np.empty((len(ids), len(LANGUAGES)), np.float32)
+    order = np.argsort(length, kind="stable")
     at = 0
     while at < len(order):
-        # Sequences of like length side by side, so that little is padding and memory is bounded.
+        # Stretches of like length side by side, so that little is padding and memory is bounded.
         end = at + 1
-        while end < len(order) and end - at < 1024 and (end - at + 1) * len(coded[order[end]]) <= 150_000:
+        while end < len(order) and (end - at + 1) * length[order[end]] <= 200_000:
             end += 1
         group = order[at:end]
         at = end
-        seqs = []
-        for i in group:
-            ids = coded[i]
-            word = ids >= 0
-            sentence = np.cumsum(~word)[word]
-            seqs.append((ids[word], sentence, np.flatnonzero(word)))
-        length = np.array([len(s[0]) for s in seqs])
-        t = int(length.max(initial=0))
-        if not t:
-            continue
-        ids = np.zeros((len(seqs), t), np.int32)
-        br = np.zeros((len(seqs), t), bool)
-        for j, (x, sentence, _) in enumerate(seqs):
-            if len(x):
-                ids[j, : len(x)] = x
-                br[j, 1 : len(x)] = sentence[1:] != sentence[:-1]
-        post, _, _ = _posteriors(table[ids], br, length, crf.within, crf.across)
-        for j, i in enumerate(group):
-            n = length[j]
-            if not n:
-                continue
-            starts = np.concatenate(([0], np.flatnonzero(br[j, :n])))
-            mass = np.add.reduceat(post[j, :n], starts, axis=0)
-            counts = np.diff(np.concatenate((starts, [n])))
-            lang = mass.argmax(axis=1)
-            results[i] = (lang, mass.max(axis=1) / counts, counts, seqs[j][2][starts], mass)
+        t = int(length[group].max())
+        cells = first[group][:, None] + np.arange(t)[None]
+        live = np.arange(t)[None] < length[group][:, None]
+        cells = np.where(live, cells, first[group][:, None])
+        breaks = begin[cells] & live
+        breaks[:, 0] = False
+        p, _, _ = _posteriors(words.table[ids[cells]], breaks, length[group], crf.within, crf.across)
+        post[cells[live]] = p[live]
+    mass = np.add.reduceat(post, starts, axis=0)
+    lang, sure = mass.argmax(axis=1), mass.max(axis=1) / sizes
+    of = owner[starts]
+    edges = np.concatenate((np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))), [len(of)]))
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        results[of[i]] = (lang[i:j], sure[i:j], sizes[i:j], place[starts[i:j]], mass[i:j])
     return results
 
 
 def held_languages(result: tuple[np.ndarray, ...]) -> dict[int, float]:
     """The languages of a record's whole sentences with their confidence; at least the best one."""
     lang, confidence, counts, _, mass = result
-    held: dict[int, float] = {}
     sure = (counts >= SENTENCE_WORDS) & (confidence >= SENTENCE_CONFIDENCE)
-    for x in np.unique(lang[sure]):
-        own = sure & (lang == x)
-        held[int(x)] = float((confidence[own] * counts[own]).sum() / counts[own].sum())
-    if not held:
-        total = mass.sum(axis=0)
-        held[int(total.argmax())] = float(total.max() / total.sum())
-    return held
+    weight = np.bincount(lang, counts * sure, len(LANGUAGES))
+    if weight.any():
+        certain = np.bincount(lang, confidence * counts * sure, len(LANGUAGES))
+        return {int(x): float(certain[x] / weight[x]) for x in np.flatnonzero(weight)}
+    total = mass.sum(axis=0)
+    return {int(total.argmax()): float(total.max() / total.sum())}
 
 
 def sample(*sources: tuple[DataFrame, str, str, Column], rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[tuple[str, str]]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import answers, containers, format_copies, languages, mixing, tokens, visual
+from sievewright.llm import abuse, answers, containers, format_copies, languages, mixing, tokens, visual
 from sievewright.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,27 @@ def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
     return _defects(spark, folder).groupBy("table_name", "field", "defect").agg(F.count(F.lit(1)).alias("n_answers"))
 
 
+def _abuse(spark: SparkSession, folder: str) -> DataFrame:
+    docs, sft = table(spark, folder, "documents"), table(spark, folder, "sft_rows")
+    return abuse.record_scores(docs, sft, abuse.fit(docs, sft))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return abuse.flagged(_abuse(spark, folder))
+
+
+def p6_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return _abuse(spark, folder)
+
+
+def p6_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return abuse.rates(_abuse(spark, folder))
+
+
+def p6_against_review(spark: SparkSession, folder: str) -> DataFrame:
+    return abuse.against_review(_abuse(spark, folder), table(spark, folder, "review_labels"))
+
+
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
     return containers.pack(_document_sizes(spark, folder), table(spark, folder, "container_specs"))
 

@@ -136,6 +136,21 @@ def canonical_form(text: str) -> str:
     return text.translate(_SINGLE)
 
 
+#: Characters that may stand inside a word without being word characters: dropped ones and marks.
+#: Of the basic plane only, for which the engine has a table.
+_INNER = re.compile("[" + "".join(f"\\u{ord(c):04x}" for c in sorted({*_GONE, *_MARK_SET}) if ord(c) < 0x10000) + "]")
+
+
+def word_ready(text: str) -> str:
+    """The text with canonical clusters where a word could be broken by its characters.
+
+    What is left to do can be done word by word, with :func:`canonical_form` of each distinct word.
+    """
+    if text.isascii() or not _INNER.search(text):
+        return text
+    return canonical_form(text)
+
+
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column(b.schema.get_field_index("text")).to_pylist()
