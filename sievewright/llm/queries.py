@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import abuse, answers, containers, format_copies, languages, mixing, tokens, visual
+from sievewright.llm import abuse, answers, containers, format_copies, languages, mixing, personal, tokens, visual
 from sievewright.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,14 @@ def p2_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return format_copies.collapse(*(table(spark, folder, t) for t in ("sft_rows", "preference_rows", "raw_records")))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.findings(table(spark, folder, "sft_rows"))
+
+
+def p3_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.redacted(table(spark, folder, "sft_rows"))
+
+
 def _languages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, languages.Crf]:
     docs, sft = table(spark, folder, "documents"), table(spark, folder, "sft_rows")
     return docs, sft, languages.fit(languages.sample(languages.document_source(docs), languages.conversation_source(sft)))
