@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from sievewright.llm import labelmodel
 from sievewright.llm.records import content_text
-from sievewright.llm.languages import LANGUAGES, Crf, _Words, label_sentences, tokens_of
+from sievewright.llm.languages import LANGUAGES, Crf, label_sentences, tokens_of, words_of
 from sievewright.session import materialize
 
 DEFECTS = ("empty", "truncated", "refusal", "copied_question", "wrong_language")
@@ -238,8 +238,8 @@ def _language(result) -> tuple[str | None, bool]:
 
 def _votes(parts: tuple[np.ndarray, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crf = Crf(*parts)
-        words = _Words(crf)
+        words = words_of(parts)
+        crf = words.crf
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 tables, ids, prompts, a, b = (c.to_pylist() for c in batch.slice(at, 4096).columns)

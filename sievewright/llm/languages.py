@@ -287,6 +287,18 @@ class _Words(dict):
         return number
 
 
+_KEPT: dict[int, _Words] = {}
+
+
+def words_of(parts: tuple[np.ndarray, ...]) -> _Words:
+    """The table of a model's words in this process, kept from task to task."""
+    key = zlib.crc32(parts[0].tobytes())
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = _Words(Crf(*parts))
+    return _KEPT[key]
+
+
 def label_sentences(crf: Crf, token_lists: list[list[str]], words: _Words | None = None):
     """For each record, arrays of its sentences: language, mean posterior, words, place in the
     tokens and posterior mass; None for a record without words."""
@@ -386,8 +398,8 @@ def conversation_source(sft: DataFrame) -> tuple[DataFrame, str, str, Column]:
 
 def _label(crf_parts: tuple[np.ndarray, ...], segments: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crf = Crf(*crf_parts)
-        words = _Words(crf)
+        words = words_of(crf_parts)
+        crf = words.crf
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 b = batch.slice(at, 2048)
