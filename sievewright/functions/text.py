@@ -42,8 +42,8 @@ def strip(text: Column) -> Column:
 
 
 def squeeze(text: Column) -> Column:
-    """No-break spaces to spaces, white space collapsed and trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(text, " ", " "), r"\s+", " "))
+    """White space of any kind collapsed to single spaces and trimmed."""
+    return F.trim(F.regexp_replace(text, SPACES, " "))
 
 
 def marker_counts(text: Column) -> dict[str, Column]:
