@@ -9,7 +9,7 @@ Weak supervision in three steps:
    far each voter is to be trusted, correlated voters counting less, and gives each sentence a
    posterior;
 3. a linear classifier on words and word pairs is trained on the posteriors of a bounded sample
-   (``SAMPLE`` sentences of each sort with the least hash, four times as many without any cue) and then scores every sentence of every
+   (``SAMPLE`` sentences of each sort with the least hash, six times as many without any cue) and then scores every sentence of every
    record.  A record's score of a kind is that of its worst sentence.
 
 Before either, a text is brought to one form, and obfuscation is undone: look-alikes, letters set
@@ -39,7 +39,7 @@ from sievewright.llm.visual import canonical_form, word_ready
 from sievewright.session import materialize
 
 KINDS = ("abusive", "hateful", "sexual")
-SAMPLE = 2_000
+SAMPLE = 1_500
 BITS = 18
 CUTOFF = 0.5
 #: Longest stretch scored as one; longer sentences, as of text without stops, are scored by windows.
@@ -347,7 +347,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     forms = _Tokens()
     for batch in batches:
         ids = batch.column(0).to_pylist()
-        out: list[list] = [[] for _ in range(5)]
+        out: list[list] = [[] for _ in range(6)]
         for record, text in zip(ids, _texts(text_lists(batch, "__text"), forms)):
             if not text:
                 continue
@@ -361,12 +361,12 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if chosen and (spare is None or zlib.crc32(f"{record}{s}".encode()) < zlib.crc32(f"{record}{spare}".encode())):
                         spare = s
                     continue
-                for column, value in zip(out, (s, *(v[k] for k in KINDS), False)):
+                for column, value in zip(out, (s, *(v[k] for k in KINDS), False, zlib.crc32(f"{record}{s}".encode()))):
                     column.append(value)
             if spare is not None:
-                for column, value in zip(out, (spare, "-" * _VOTERS["abusive"], "-" * _VOTERS["hateful"], "-" * _VOTERS["sexual"], True)):
+                for column, value in zip(out, (spare, "-" * _VOTERS["abusive"], "-" * _VOTERS["hateful"], "-" * _VOTERS["sexual"], True, zlib.crc32(f"{record}{spare}".encode()))):
                     column.append(value)
-        yield pa.record_batch([*(pa.array(c, pa.string()) for c in out[:4]), pa.array(out[4], pa.bool_())], ["sentence", *KINDS, "spare"])
+        yield pa.record_batch([*(pa.array(c, pa.string()) for c in out[:4]), pa.array(out[4], pa.bool_()), pa.array(out[5], pa.int64())], ["sentence", *KINDS, "spare", "h"])
 
 
 def _score(model: Classifier):
@@ -391,20 +391,23 @@ def _inputs(docs: DataFrame, sft: DataFrame) -> list[tuple[str, DataFrame]]:
 
 def fit(docs: DataFrame, sft: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Votes over all records, the label model on all their patterns, the classifier on a sample."""
-    schema = "sentence string, abusive string, hateful string, sexual string, spare boolean"
+    schema = "sentence string, abusive string, hateful string, sexual string, spare boolean, h long"
     found = [df.select("record_id", "__text").mapInArrow(_candidates, schema) for _, df in _inputs(docs, sft)]
     voted = materialize(found[0].unionByName(found[1]), "abuse-votes")
     belief = {k: labelmodel.posteriors(voted, k, _VOTERS[k], _GROUPS[k]) for k in KINDS}
     drawn: dict[str, list[float]] = {}
-    distinct = voted.groupBy("sentence", *KINDS).agg(F.max("spare").alias("spare")).withColumn("h", F.xxhash64("sentence"))
+    times: dict[str, int] = {}
     conditions = [F.col(k).isin([p for p, x in belief[k].items() if x >= 0.5] or ["none"]) for k in KINDS]
     anywhere = conditions[0] | conditions[1] | conditions[2]
-    parts = [(distinct.where(c), sample) for c in conditions]
-    parts += [(distinct.where(~anywhere & ~F.col("spare")), sample), (distinct.where(~anywhere & F.col("spare")), 4 * sample)]
+    # Occurrences are drawn, not distinct sentences: what is frequent must not be missing.
+    parts = [(voted.where(c & ~F.col("spare")), sample) for c in conditions]
+    parts += [(voted.where(~anywhere & ~F.col("spare")), sample), (voted.where(F.col("spare")), 6 * sample)]
     for part, bound in parts:
         for r in part.orderBy("h", "sentence").limit(bound).collect():
-            drawn[r["sentence"][:2000]] = [belief[k][r[k]] for k in KINDS]
-    return train(sorted(drawn.items()))
+            drawn[r["sentence"]] = [0.0] * len(KINDS) if r["spare"] else [belief[k][r[k]] for k in KINDS]
+            times[r["sentence"]] = times.get(r["sentence"], 0) + 1
+    # A sentence drawn often counts up to four times.
+    return train([item for item in sorted(drawn.items()) for _ in range(min(4, times[item[0]]))])
 
 
 def record_scores(docs: DataFrame, sft: DataFrame, model: Classifier) -> DataFrame:

@@ -125,7 +125,14 @@ def _sign(yes: bool, no: bool = False) -> str:
     return "+" if yes else "-" if no else "0"
 
 
-def votes(prompt: str, answer: str | None, held: tuple[str | None, str | None, bool, bool]) -> tuple[dict[str, str], str | None]:
+def asked_of(prompt: str | None) -> tuple[str, list[str], frozenset[str]]:
+    """A prompt as the voters read it: plain, its words, and the set of them."""
+    text = plain(prompt or "")
+    words = _WORD.findall(text)
+    return text, words, frozenset(words)
+
+
+def votes(prompt: str | tuple[str, list[str], frozenset[str]], answer: str | None, held: tuple[str | None, str | None, bool, bool]) -> tuple[dict[str, str], str | None]:
     """Vote patterns of each defect, without the corpus vote on truncation, and the ending to look up.
 
     ``held``: language of prompt and answer, and whether each is sure.
@@ -147,7 +154,7 @@ def votes(prompt: str, answer: str | None, held: tuple[str | None, str | None, b
     tail = bare.rstrip(_CLOSERS)
     stopped = bool(tail) and (tail[-1] in _STOP or tail[-1] in ";；")
     closed = not stopped and bare[-1] in "\"”»)）]】'"
-    fence = bare.count("```") >= 2 and bare.count("```") % 2 == 0 and bare.endswith("```")
+    fence = bare.endswith("```") and bare.count("```") % 2 == 0
     done = stopped or closed or fence
     dangling = not done and bare[-1] in ",:，、：-–—(（[«„“‘/&+"
     opened = not done and any(bare.count(a) > bare.count(b) for a, b in (("(", ")"), ("«", "»"), ("（", "）"), ("[", "]"), ("„", "“")))
@@ -169,10 +176,9 @@ def votes(prompt: str, answer: str | None, held: tuple[str | None, str | None, b
         out["refusal"] = "-" + _sign(False, len(content) >= 8) + "--"
 
     # Copied question: nothing but the prompt, perhaps behind a few words that announce it.
-    asked = plain(prompt)
-    asked_words = _WORD.findall(asked)
+    asked, asked_words, asked_set = asked_of(prompt) if isinstance(prompt, str) else prompt
     mine = set(content)
-    if not asked_words or len(mine.intersection(asked_words)) < 0.6 * len(mine):
+    if not asked_words or len(mine & asked_set) < 0.6 * len(mine):
         out["copied_question"] = "---"
     else:
         bodies = [content, _WORD.findall(_LEADS.sub("", bare, count=1))]
@@ -250,9 +256,10 @@ def _votes(parts: tuple[np.ndarray, ...]):
                 out: dict[str, list] = {c: [] for c in ("table_name", "id", "field", *DEFECTS, "ending")}
                 for i, fields in enumerate(pairs):
                     p, sure_p = _language(found[3 * i])
+                    asked = asked_of(prompts[i])
                     for k, field in enumerate(fields, start=1):
                         x, sure = _language(found[3 * i + k])
-                        row, lookup = votes(prompts[i] or "", texts[3 * i + k], (p, None if len(token_lists[3 * i + k]) < 3 else x, sure_p, sure))
+                        row, lookup = votes(asked, texts[3 * i + k], (p, None if len(token_lists[3 * i + k]) < 3 else x, sure_p, sure))
                         row.update(table_name=tables[i], id=ids[i], field=field, ending=lookup)
                         for column, values in out.items():
                             values.append(row[column])
