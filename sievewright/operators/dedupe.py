@@ -29,14 +29,15 @@ def not_in_ledger(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, block: list[str], order: str, prompt: str, answer: str, ratio: float = 0.96, window: int = 150, slice_rows: int = 20_000
+    df: DataFrame, block: list[str], order: str, prompt: str, answer: str, ratio: float = 0.96, window: int = 150, slice_rows: int = 5_000
 ) -> DataFrame:
     """``order`` and kept of every row: whether it is near none of the last ``window`` kept rows.
 
     Rows of a block are taken in order; a row is near another if the edit ratio of prompts and of
     answers both reach ``ratio``.  The look-back is a rule of the operator and reads kept rows, so
-    it is a fold.  A block is cut into slices of ``slice_rows`` by order, each with the rows before
-    it that its look-back can reach, so that a hot block is many tasks.
+    it is a fold.  A block of more than ``slice_rows`` rows is cut into slices by order, so that a
+    hot block is many tasks; each slice rebuilds what its look-back holds from the 2 x ``window``
+    rows before it, whose own look-back it doesn't see.  Within a slice the fold is exact.
     """
     place = Window.partitionBy(*block).orderBy(order)
     numbered = df.select(*block, order, prompt, answer).withColumn("__n", F.row_number().over(place) - 1).withColumn("__slice", F.floor(F.col("__n") / slice_rows))

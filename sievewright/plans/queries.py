@@ -325,7 +325,7 @@ def q30_near_duplicates(spark, folder):
         "id", F.coalesce("category", F.lit("")).alias("category"), F.coalesce("language", F.lit("")).alias("language"), "multimodal",
         T.dedupe_form(F.coalesce("messages_flat.user", F.lit(""))).alias("user"), T.dedupe_form(F.coalesce("messages_flat.assistant", F.lit(""))).alias("answer"),
     )
-    return dedupe.near_duplicates(rows, ["category", "language", "multimodal"], "id", "user", "answer", slice_rows=1_000)
+    return dedupe.near_duplicates(rows, ["category", "language", "multimodal"], "id", "user", "answer")
 
 
 _WORDS = r"list_distinct(list_filter(regexp_split_to_array(lower({0}), '\s+'), lambda w: w <> ''))"

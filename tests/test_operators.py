@@ -128,4 +128,4 @@ def test_rubric(spark):
     good = "I am veyra-2 by noctule and I can sort your notes, labels and lists with care today."
     df = spark.createDataFrame([(good, "en"), (good, "ru"), ("let me think", "en"), ("", None)], "t string, l string")
     scores = [r[0] for r in df.select(rubric.score(F.col("t"), F.col("l"), ("veyra-2", "noctule"))).collect()]
-    assert scores[0] == 100.0 and scores[1] < 110 - 4 and scores[2] < 60 and 0 <= scores[3] < 90
+    assert scores[0] == 100.0 and scores[1] < 110 - 4 and scores[2] == pytest.approx(63.27272727) and 0 <= scores[3] < 90
