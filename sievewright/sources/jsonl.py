@@ -31,7 +31,9 @@ def line_quality(spark: SparkSession, path: str | Sequence[str], schema: str = R
     """One row: good lines, bad lines and one of the bad ones."""
     from sievewright.session import materialize
 
-    rows = materialize(read_tolerant(spark, path, schema).select("_corrupt_record"), "lines")
+    # Parsed once and written: the reader can't be asked for the bad lines alone.
+    df = read_tolerant(spark, path, schema)
+    rows = materialize(df.select(df.columns[0], "_corrupt_record"), "lines")
     return rows.agg(
         F.count_if(F.col("_corrupt_record").isNull()).alias("n_good"), F.count_if(F.col("_corrupt_record").isNotNull()).alias("n_bad"), F.min("_corrupt_record").alias("bad_line")
     )
