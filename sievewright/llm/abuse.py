@@ -41,7 +41,7 @@ from sievewright.session import materialize
 KINDS = ("abusive", "hateful", "sexual")
 SAMPLE = 1_500
 BITS = 18
-CUTOFF = 0.5
+CUTOFF = 0.8
 #: Longest stretch scored as one; longer sentences, as of text without stops, are scored by windows.
 WINDOW = 26
 
@@ -142,7 +142,7 @@ def _token(token: str) -> str:
     if "*" in token:
         masked = re.compile(re.escape(token).replace(r"\*", "."))
         token = next((w for w in _VOCABULARY.get(len(token), ()) if masked.fullmatch(w)), token)
-    if any(c.isalpha() for c in token) and any(c in "013457@$" for c in token):
+    if len(token) < 20 and any(c.isalpha() for c in token) and any(c in "013457@$" for c in token):
         token = token.translate(_LEET)  # figures for letters
     return _DRAWN.sub(r"\1", token)
 
@@ -204,19 +204,22 @@ def sentences(text: str) -> list[str]:
 
 
 def vote(sentence: str) -> dict[str, str] | None:
-    """Vote patterns of a sentence in plain form; None if it holds no cue."""
+    """Vote patterns of a sentence in plain form; None if it holds no cue.
+
+    A sentence with a cue against only has votes too: the classifier must see such sentences.
+    """
     n = dict.fromkeys(LISTS, 0)
     for _, names in _CUES.iter(sentence):
         for name in names:
             n[name] += 1
-    if not any(n.values()):
+    legit = next(_AGAINST.iter(sentence), None) is not None
+    if not any(n.values()) and not legit:
         return None
 
     def sign(yes: bool, no: bool = False) -> str:
         return "+" if yes else "-" if no else "0"
 
     # Every voter can say both, as one that only ever agrees would tell the label model nothing.
-    legit = next(_AGAINST.iter(sentence), None) is not None
     attacks, hates = n["insult"] + n["attack"], n["dehumanise"] + n["exclude"]
     context = sign(not legit, legit)
     return {
@@ -300,20 +303,49 @@ def train(samples: list[tuple[str, list[float]]], epochs: int = 60, rate: float
     return Classifier(words, pairs, np.where(absent, -20.0, params[2]).astype(np.float32))
 
 
+#: Set beside the hash of a token that is a single letter, or a single Han character.
+_LETTER, _HAN = 1 << 40, 1 << 41
+
+
 class _Hashes(dict):
+    """Of raw tokens the hash of their normal form, -1 for a sentence break; bounded."""
+
     LIMIT = 500_000
 
     def __missing__(self, token: str) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        self[token] = h = -1 if token == "." else _hash(token)
+        form = _token(token)
+        h = -1 if form == "." else _hash(form)
+        if h >= 0 and len(form) == 1 and form.isalpha():
+            h |= _HAN if "㐀" <= form <= "鿿" else _LETTER
+        self[token] = h
         return h
 
 
+def _stream(text: str, hashes: _Hashes) -> np.ndarray:
+    """The hashes of a text's tokens in normal form, without the form being written out.
+
+    Only where letters stand apart or a character is drawn out, which single tokens don't show,
+    the text is brought to its plain form first.
+    """
+    tokens = _TOKEN.findall(word_ready(text.lower()))
+    ids = np.fromiter(map(hashes.__getitem__, tokens), np.int64, len(tokens))
+    if len(ids) > 3:
+        letter = (ids & _LETTER) > 0
+        letter[ids < 0] = False
+        apart = letter[:-3] & letter[1:-2] & letter[2:-1] & letter[3:]
+        drawn = (ids[2:] == ids[:-2]) & (ids[2:] == ids[1:-1]) & (ids[2:] >= _HAN)
+        if apart.any() or drawn.any():
+            tokens = plain(text).split()
+            ids = np.fromiter(map(hashes.__getitem__, tokens), np.int64, len(tokens))
+    ids[ids >= 0] &= (1 << BITS) - 1
+    return ids
+
+
 def scores(model: Classifier, texts: list[str], hashes: _Hashes) -> np.ndarray:
-    """The scores of each text in plain form: of each kind the highest of any sentence."""
-    lookup = hashes.__getitem__
-    streams = [np.fromiter(map(lookup, tokens), np.int64, len(tokens)) for tokens in map(str.split, texts)]
+    """The scores of each text: of each kind the highest of any sentence."""
+    streams = [_stream(text, hashes) if text else np.zeros(0, np.int64) for text in texts]
     out = np.full((len(texts), len(KINDS)), -30.0)
     lengths = np.array([len(s) + 1 for s in streams])
     flat = np.concatenate([np.concatenate((s, [-1])) for s in streams]) if streams else np.zeros(0, np.int64)
@@ -352,7 +384,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text:
                 continue
             chosen = zlib.crc32(str(record).encode()) % 8 == 0
-            if next(_CUES.iter(text), None) is None and not chosen:
+            if not chosen and next(_CUES.iter(text), None) is None and next(_AGAINST.iter(text), None) is None:
                 continue
             spare = None
             for s in sentences(text):
@@ -371,11 +403,11 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _score(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, forms = _Hashes(), _Tokens()
+        hashes = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 b = batch.slice(at, 1024)
-                result = scores(model, _texts(text_lists(b, "__text"), forms), hashes)
+                result = scores(model, ["\n\x00\n".join(t) for t in text_lists(b, "__text")], hashes)
                 result[result < 1e-6] = 0.0
                 yield pa.record_batch([b.column(0), b.column(1), *(pa.array(result[:, k]) for k in range(len(KINDS)))], ["record_id", "source", *KINDS])
 
