@@ -114,3 +114,14 @@ def scan_prefix(df: DataFrame, source: str, order: str, accepted: Column, most_s
     numbered = df.withColumn("__n", F.row_number().over(upto)).where(F.col("__n") <= most_scanned)
     counted = numbered.withColumn("__ok", F.coalesce(F.sum(accepted.cast("int")).over(before), F.lit(0)))
     return counted.where(~((F.col("__ok") >= enough) & (F.col("__n") - 1 >= least_scanned))).drop("__n", "__ok")
+
+
+def bucket_counts(df: DataFrame, key: str, share: str, order: str, total: int) -> DataFrame:
+    """Whole numbers from shares that need not add up to one: largest remainder, ties by order,
+    going round again if more is missing than there are buckets."""
+    exact = F.round(F.col(share) * total, 9)
+    floors = df.withColumn("__floor", F.floor(exact)).withColumn("__rest", exact - F.floor(exact))
+    left = floors.agg(F.greatest(F.lit(0), F.lit(total) - F.sum("__floor")).alias("__left"), F.count(F.lit(1)).alias("__n"))
+    ranked = floors.withColumn("__r", F.row_number().over(Window.orderBy(F.col("__rest").desc(), order)) - 1).crossJoin(F.broadcast(left))
+    extra = F.floor(F.col("__left") / F.col("__n")) + (F.col("__r") < F.col("__left") % F.col("__n")).cast("long")
+    return ranked.select(key, (F.col("__floor") + extra).alias("allocated"))

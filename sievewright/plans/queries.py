@@ -12,7 +12,7 @@ from sievewright.functions import messages as M
 from sievewright.functions import text as T
 from sievewright.operators import dedupe, filters, mixing, reports, rubric
 from sievewright.session import table
-from sievewright.sources import jsonl
+from sievewright.sources import jsonl, upstream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -591,6 +591,84 @@ def q60_latest_reports(spark, folder):
     return table(spark, folder, "full_dataset_validation").withColumn("__r", F.row_number().over(latest)).where("__r = 1").select("run_id", F.col("counts.sft_tokens_total").alias("sft_tokens_total"), "generated_at")
 
 
+@query(
+    "WITH m AS (SELECT modality, avg(target_share) AS share FROM mixture_sources GROUP BY modality), e AS (SELECT modality, round(share * 777, 9) AS x FROM m), "
+    "r AS (SELECT modality, floor(x) AS base, row_number() OVER (ORDER BY x - floor(x) DESC, modality) - 1 AS r, 777 - sum(floor(x)) OVER () AS missing, count(*) OVER () AS n FROM e) "
+    "SELECT modality, CAST(base + floor(missing / n) + CASE WHEN r < missing % n THEN 1 ELSE 0 END AS BIGINT) AS allocated FROM r"
+)
+def q35_bucket_counts(spark, folder):
+    shares = table(spark, folder, "mixture_sources").groupBy("modality").agg(F.avg("target_share").alias("share"))
+    return mixing.bucket_counts(shares, "modality", "share", "modality", 777)
+
+
+@query()
+def q47_weighted_seeds(spark, folder):
+    """2,200 seeds: a category by weight, a language and a coin, from the hash of their number."""
+    names, total = sorted(mixing.CATEGORY_TARGETS), 0.0
+    u, category = T.hash_unit("id", seed=1), F.lit(names[-1])
+    bounds = []
+    for n in names[:-1]:
+        total += mixing.CATEGORY_TARGETS[n]
+        bounds.append((total, n))
+    for bound, n in reversed(bounds):
+        category = F.when(u < bound, F.lit(n)).otherwise(category)
+    langs = F.array(*[F.lit(x) for x in ("en", "bg", "es", "fr", "de", "pt", "it", "ar", "ru", "zh")])
+    return spark.range(2200).select("id", category.alias("category"), F.element_at(langs, (F.floor(T.hash_unit("id", seed=2) * 10) + 1).cast("int")).alias("language"), (T.hash_unit("id", seed=3) < 0.1).alias("multimodal"))
+
+
+_TURNS = "list_filter(list_transform(CAST(json_extract(p, '$.messages') AS JSON[]), lambda m: {'r': CASE lower(trim(json_extract_string(m, '$.role'))) WHEN 'user' THEN 'user' WHEN 'human' THEN 'user' WHEN 'assistant' THEN 'assistant' WHEN 'gpt' THEN 'assistant' WHEN 'model' THEN 'assistant' WHEN 'bot' THEN 'assistant' ELSE '' END, 'c': " + _SQUEEZE.format("coalesce(json_extract_string(m, '$.content'), '')") + "}), lambda t: t.r <> '' AND t.c <> '')"
+
+
+@query(
+    f"WITH j AS (SELECT raw_id, received_at, CASE WHEN json_valid(payload) THEN payload END AS p FROM raw_records), t AS (SELECT raw_id, received_at, CASE WHEN json_extract(p, '$.messages') IS NOT NULL THEN {_TURNS} END AS m, "
+    + _SQUEEZE.format("coalesce(json_extract_string(p, '$.prompt'), '')") + " AS q, " + _SQUEEZE.format("coalesce(json_extract_string(p, '$.chosen'), '')") + " AS a FROM j) "
+    "SELECT raw_id, received_at, CASE WHEN len(list_filter(m, lambda t: t.r = 'user')) > 0 AND len(list_filter(m, lambda t: t.r = 'assistant')) > 0 THEN array_to_string(list_transform(m, lambda t: t.r || ': ' || t.c), chr(10)) "
+    "WHEN q <> '' AND a <> '' THEN 'user: ' || q || chr(10) || 'assistant: ' || a END AS chat FROM t"
+)
+def q61_upstream_conversations(spark, folder):
+    rows = upstream.rows(table(spark, folder, "raw_records"), "payload")
+    chat = F.when(F.col("conversation").isNotNull(), F.array_join(F.transform("conversation", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n"))
+    return rows.select("raw_id", "received_at", chat.alias("chat"))
+
+
+@query(
+    "WITH j AS (SELECT raw_id, received_at, CASE WHEN json_valid(payload) THEN payload END AS p FROM raw_records), t AS (SELECT raw_id, received_at, "
+    + ", ".join(_SQUEEZE.format(f"coalesce(json_extract_string(p, '$.{c}'), '')") + f" AS {c}" for c in ("prompt", "chosen", "rejected"))
+    + " FROM j) SELECT * FROM t WHERE prompt <> '' AND chosen <> '' AND rejected <> ''"
+)
+def q62_preference_triplets(spark, folder):
+    rows = upstream.rows(table(spark, folder, "raw_records"), "payload").where("triplet is not null")
+    return rows.select("raw_id", "received_at", "triplet.prompt", "triplet.chosen", "triplet.rejected")
+
+
+@query(
+    "SELECT 0 AS part, min(id) AS id FROM identity_sft GROUP BY category UNION ALL (SELECT 1, id FROM (SELECT DISTINCT id FROM identity_sft WHERE language IN ('ar', 'ru', 'zh') AND multimodal) ORDER BY id LIMIT 60)"
+)
+def q63_stress_pack(spark, folder):
+    """The first record of each category, then the first sixty multimodal ones of three scripts."""
+    rows = table(spark, folder, "identity_sft")
+    first = rows.groupBy("category").agg(F.min("id").alias("id")).select(F.lit(0).alias("part"), "id")
+    more = rows.where(F.col("language").isin("ar", "ru", "zh") & F.col("multimodal")).select("id").distinct().orderBy("id").limit(60)
+    return first.unionByName(more.select(F.lit(1).alias("part"), "id"))
+
+
+@query(
+    "SELECT source_id, CASE WHEN reason IS NULL THEN coalesce(subset, 'default') END AS subset, CASE WHEN reason IS NULL THEN coalesce(split, default_split, 'train') END AS split, CASE WHEN reason IS NULL THEN 'planned' ELSE 'skipped' END AS status, reason "
+    "FROM (SELECT source_id, min(default_split) AS default_split FROM allowlist_entries GROUP BY source_id) LEFT JOIN (VALUES ('openquill/wildturns_3m', 'preference', 'validation')) o(source_id, subset, split) USING (source_id) "
+    "LEFT JOIN (VALUES ('larkspan/refusal_gold', 'subset_not_listed')) s(source_id, reason) USING (source_id)"
+)
+def q64_stream_plan(spark, folder):
+    listed = table(spark, folder, "allowlist_entries").groupBy("source_id").agg(F.min("default_split").alias("default_split"))
+    return upstream.stream_plan(listed, {"openquill/wildturns_3m": ("preference", "validation")}, {"larkspan/refusal_gold": "subset_not_listed"})
+
+
+@query("SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, event_type, count(*) AS n_events, sum(value) AS total_value FROM events GROUP BY ALL")
+def q65_windowed_counts(spark, folder):
+    from sievewright.streaming.ingest import windowed_counts
+
+    return windowed_counts(table(spark, folder, "events"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
