@@ -20,7 +20,7 @@ def plain(v):
     if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
-        return f"{v:.9g}"
+        return int(v) if v.is_integer() else f"{v:.9g}"
     if isinstance(v, pd.Timestamp) or hasattr(v, "isoformat"):
         t = pd.Timestamp(v)
         return (t.tz_convert(None) if t.tz else t).isoformat()
