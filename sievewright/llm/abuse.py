@@ -432,10 +432,14 @@ def fit(docs: DataFrame, sft: DataFrame, sample: int = SAMPLE) -> Classifier:
     conditions = [F.col(k).isin([p for p, x in belief[k].items() if x >= 0.5] or ["none"]) for k in KINDS]
     anywhere = conditions[0] | conditions[1] | conditions[2]
     # Occurrences are drawn, not distinct sentences: what is frequent must not be missing.
-    parts = [(voted.where(c & ~F.col("spare")), sample) for c in conditions]
-    parts += [(voted.where(~anywhere & ~F.col("spare")), sample), (voted.where(F.col("spare")), 6 * sample)]
-    for part, bound in parts:
-        for r in part.orderBy("h", "sentence").limit(bound).collect():
+    parts = [(c & ~F.col("spare"), sample) for c in conditions]
+    parts += [(~anywhere & ~F.col("spare"), sample), (F.col("spare"), 6 * sample)]
+    # A threshold on the hash first: the tasks together then send little more than the sample.
+    sizes = voted.agg(*[F.count_if(c).alias(f"n{i}") for i, (c, _) in enumerate(parts)]).first()
+    for i, (condition, bound) in enumerate(parts):
+        n = sizes[f"n{i}"]
+        reach = int(2**32 * min(1.0, 1.2 * bound / n)) if n else 0
+        for r in voted.where(condition & (F.col("h") < reach)).orderBy("h", "sentence").limit(bound).collect():
             drawn[r["sentence"]] = [0.0] * len(KINDS) if r["spare"] else [belief[k][r[k]] for k in KINDS]
             times[r["sentence"]] = times.get(r["sentence"], 0) + 1
     # A sentence drawn often counts up to four times.
