@@ -51,11 +51,20 @@ def marker_counts(text: Column) -> dict[str, Column]:
 
 
 def marker_total(text: Column) -> Column:
-    """Matches of all markers, each pattern counted on its own."""
-    total = F.lit(0)
-    for count in marker_counts(text).values():
-        total = total + F.coalesce(count, F.lit(0))
-    return total
+    """Matches of all markers, each pattern counted on its own; 0 for null.
+
+    The text is bound once, so that an expression isn't evaluated for each pattern, and the
+    patterns are counted only where any of them is found.
+    """
+    anything = "(?i)" + "|".join(MARKERS.values())
+
+    def total(t: Column) -> Column:
+        out = F.lit(0)
+        for count in marker_counts(t).values():
+            out = out + count
+        return F.when(t.rlike(anything), out).otherwise(F.lit(0))
+
+    return F.element_at(F.transform(F.array(text), total), 1)
 
 
 def marker_names(text: Column) -> Column:
