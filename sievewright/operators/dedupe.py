@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,29 +36,74 @@ def near_duplicates(
 
     Rows of a block are taken in order; a row is near another if the edit ratio of prompts and of
     answers both reach ``ratio``.  The look-back is a rule of the operator and reads kept rows, so
-    it is a fold.  A block of more than ``slice_rows`` rows is cut into slices by order, so that a
-    hot block is many tasks; each slice rebuilds what its look-back holds from the 2 x ``window``
-    rows before it, whose own look-back it doesn't see.  Within a slice the fold is exact.
+    it is a fold, and the result is that of the fold over the whole block.  A block of more than
+    ``slice_rows`` rows is cut into slices by order, so that most of a hot block's work is many
+    tasks: each slice is folded from a guess, what the 2 x ``window`` rows before it leave.  One
+    pass over each block then carries the real look-back from slice to slice and judges rows again
+    until it equals the guessed one, from where on the guess is right.
     """
     place = Window.partitionBy(*block).orderBy(order)
-    numbered = df.select(*block, order, prompt, answer).withColumn("__n", F.row_number().over(place) - 1).withColumn("__slice", F.floor(F.col("__n") / slice_rows))
+    numbered = df.select(*block, order, prompt, answer).withColumn("__n", F.row_number().over(place).cast("long") - 1).withColumn("__slice", F.floor(F.col("__n") / slice_rows))
     lead = numbered.where(F.col("__n") % slice_rows >= slice_rows - 2 * window).withColumn("__slice", F.col("__slice") + 1).withColumn("__lead", F.lit(True))
     rows = numbered.withColumn("__lead", F.lit(False)).unionByName(lead)
-    kind = dict(df.dtypes)[order]
+    kinds = dict(df.dtypes)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__n")
+    def judge(p: str, a: str, kept: deque) -> bool:
+        return not any(_near(p, a, q, b, ratio) for _, q, b in kept)
+
+    def guess(t: pa.Table) -> pa.Table:
+        t = t.sort_by("__n")
         kept: deque = deque(maxlen=window)
-        out = []
-        for key, p, a, is_lead in zip(pdf[order], pdf[prompt].fillna(""), pdf[answer].fillna(""), pdf["__lead"]):
-            near = any(_near(p, a, q, b, ratio) for q, b in kept)
-            if not near:
-                kept.append((p, a))
+        flags, start = [], None
+        for n, p, a, is_lead in zip(*(t[c].to_pylist() for c in ("__n", prompt, answer, "__lead"))):
+            p, a = p or "", a or ""
+            if not is_lead and start is None:
+                start = [m for m, _, _ in kept]
+            keep = judge(p, a, kept)
+            if keep:
+                kept.append((n, p, a))
             if not is_lead:
-                out.append((key, not near))
-        return pd.DataFrame(out, columns=[order, "kept"])
-
-    return rows.groupBy(*block, "__slice").applyInPandas(fold, f"{order} {kind}, kept boolean")
+                flags.append(keep)
+        t = t.slice(t.num_rows - len(flags))
+        # A first slice is exact: only what it hands on is read again.
+        last = {n for n, _, _ in kept}
+        read = [s > 0 or n in last for s, n in zip(t["__slice"].to_pylist(), t["__n"].to_pylist())]
+        texts = [pa.array([x if r else None for x, r in zip(t[c].to_pylist(), read)], pa.string()) for c in (prompt, answer)]
+        starts = pa.array(([start] + [None] * (len(flags) - 1)) if flags else [], pa.list_(pa.int64()))
+        fields = [*(t[c] for c in dict.fromkeys([*block, order])), t["__n"], *texts, pa.array(flags, pa.bool_()), starts]
+        return pa.table(fields, names=guessed)
+
+    guessed = [*dict.fromkeys([*block, order]), "__n", "__p", "__a", "kept", "__start"]
+    types = [*(f"`{c}` {kinds[c]}" for c in dict.fromkeys([*block, order])), "__n long, __p string, __a string, kept boolean, __start array<long>"]
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        real: deque = deque(maxlen=window)
+        places: deque = deque(maxlen=window)  # of the rows in real
+        told: deque = deque(maxlen=window)  # of the rows that the guess holds
+        same = True
+        for batch in batches:
+            flags = []
+            for n, p, a, keep, start in zip(*(batch[c].to_pylist() for c in guessed[-5:])):
+                p, a = p or "", a or ""
+                if n == 0:  # a new block
+                    real.clear()
+                    places.clear()
+                if start is not None:
+                    told = deque(start, maxlen=window)
+                    same = told == places
+                if not same:
+                    if keep:
+                        told.append(n)
+                    keep = judge(p, a, real)
+                if keep:
+                    real.append((n, p, a))
+                    places.append(n)
+                same = same or told == places
+                flags.append(keep)
+            yield pa.record_batch([batch[order], pa.array(flags, pa.bool_())], [order, "kept"])
+
+    first = rows.groupBy(*block, "__slice").applyInArrow(guess, ", ".join(types))
+    return first.repartition(*block).sortWithinPartitions(*block, "__n").mapInArrow(settle, f"`{order}` {kinds[order]}, kept boolean")
 
 
 def _near(p: str, a: str, q: str, b: str, ratio: float) -> bool:

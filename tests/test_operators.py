@@ -108,6 +108,31 @@ def test_near_duplicates_equal_the_loop(spark):
     assert got == want
 
 
+def exact_fold(rows, window, ratio=0.96):
+    want, kept = {}, {}
+    for i, block, p, a in rows:
+        last = kept.setdefault(block, deque(maxlen=window))
+        want[i] = not any(SequenceMatcher(None, p, q).ratio() >= ratio and SequenceMatcher(None, a, b).ratio() >= ratio for q, b in last)
+        if want[i]:
+            last.append((p, a))
+    return want
+
+
+@pytest.mark.parametrize("slice_rows", [5, 16, 40])
+def test_near_duplicates_do_not_depend_on_slices(spark, slice_rows):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefghij ") for _ in range(40)) for _ in range(30)]
+    rows = [(i, "hot", texts[i], texts[i][::-1]) for i in range(10)]
+    rows += [(i, "hot", texts[9], texts[9][::-1]) for i in range(10, 120)] + [(120, "hot", texts[4], texts[4][::-1])]
+    for i in range(121, 400):
+        t = texts[rng.randrange(9 + i % 20)]
+        rows.append((i, rng.choice(["hot", "hot", None, "other"]), t, t[::-1]))
+    df = spark.createDataFrame(rows, "i int, block string, p string, a string")
+    got = dedupe.near_duplicates(df, ["block"], "i", "p", "a", window=8, slice_rows=slice_rows).collect()
+    want = exact_fold(rows, 8)
+    assert len(got) == len(rows) and {r.i: r.kept for r in got} == want and want[120] is False
+
+
 def test_floor_percentiles(spark):
     rng = random.Random(3)
     data = {g: sorted(rng.randrange(30) for _ in range(n)) for g, n in (("a", 1), ("b", 10), ("c", 101))}
