@@ -10,7 +10,8 @@ final stop are looked up among the last words of all sentences that do end with
 a join on those words; only answers without a final stop take part.
 
 Defined results: a null answer and one without letters or digits, or with a placeholder word only,
-is empty and nothing else; without a prompt there is no copied question and no wrong language; rows
+is empty and nothing else; without a prompt there is no copied question and no wrong language; an
+answer in a language that the prompt asks for, anywhere outside of quoted payload, is right; rows
 with a null id are left out; a repeated id is one record.
 """
 
@@ -81,6 +82,52 @@ _LEADS = re.compile(r"^[^\n:：]{3,40}[:：]\s*")
 _WORD = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+(?:['’][^\W_㐀-鿿]+)*")
 
 
+def _form(name: str) -> str:
+    """A language's name in a request, with its endings; never the name of a country."""
+    if "\u0400" <= name[0] <= "\u04ff":
+        return re.sub("(?:ий|и)$", "", name) + r"(?:ий|ом|ого|ому|и)"
+    if "\u0600" <= name[0] <= "\u06ff" or "㐀" <= name[0] <= "鿿":
+        return name
+    return ("(?<!in )" if name == "italien" else "") + name + r"(?:e[nmrs]?|s)?(?!\w)"
+
+
+#: Ways to ask for a language: a preposition, a verb or "language:" before its name, or a word after it.
+_NAME = "(?P<name>" + "|".join(_form(w) for w in sorted(_ASK_WORDS, key=len, reverse=True)) + ")"
+_REQUEST = re.compile(
+    r"(?:(?<!\w)(?:(?:into|in|to|auf|ins|im|en|em|au|al|a|para|all'|nell'|на|по)(?:[ \-]+(?:(?:the|o|el|le|il|plain|simple|good|proper|clear|formal|fluent|brazilian|einfachem|gutem|korrektem|klarem|чистом|простом)[ \-]+){0,2})?"
+    r"|(?:translat\w+|speak|use|using|write|answer|reply|respond|übersetz\w+|sprich|schreib\w*|parle[zr]?|habla\w*|fal[ae]\w*|parl[ai]\w*|язык[е]?|език|language|sprache|langue|idioma|língua|lingua|اللغة|استخدم)\s*[:=\-]?\s*"
+    r"|(?:إلى|في|باللغة|إلى اللغة)\s+|ب)|(?:用|以|成|为|說|说|语言[:：]?)\s*)" + _NAME
+    + "|" + r"(?<!\w)" + _NAME.replace("?P<name>", "?P<before>")
+    + r",?\s*(?:please|translation|version|answer|reply|response|summary|only|bitte|s'il|svp|por favor|per favore|пожалуйста|моля|من فضلك|回答|回复|作答|翻译)"
+)
+#: What is said of a text and asks for nothing.
+_STATED = re.compile(r"\b(?:was|is|were|are|been)\s+(?:\w+\s+)?(?:written|published|spoken|printed|held|sung|filmed|taught)\s+$")
+#: Payload by its marks: fenced, between quotation marks, in quoted lines.
+_QUOTED = re.compile(
+    r"```.*?```|(?<!\w)\"(?=\S)[^\"]*(?<=\S)\"(?!\w)|“[^“”]*”|„[^„“”]*[“”]|«[^«»]*»|「[^「」]*」|『[^『』]*』|^[ \t]*>[^\n]*", re.S | re.M
+)
+
+
+def languages_named(asked: str) -> set[str]:
+    """The languages that a plain prompt asks for, wherever it does, outside of quoted payload.
+
+    In the head, before a colon or line break, the bare name is enough.
+    """
+    text = _QUOTED.sub(" ", asked)
+    head = re.split(r"[:：\n]", text, maxsplit=1)[0][:120]
+    heads = re.findall(r"[^\W\d_]+", head)
+    out = {lang for w, lang in _ASK_WORDS.items() if (w in head if "㐀" <= w[0] <= "鿿" else any(h.startswith(w) for h in heads))}
+    for m in _REQUEST.finditer(text):
+        if not _STATED.search(text[max(0, m.start() - 60) : m.start()]):
+            name = m["name"] or m["before"]
+            out.add(next(lang for w, lang in _STEMS if name.startswith(w)))
+    return out
+
+
+#: Names as :func:`_form` cuts them, the longest first.
+_STEMS = sorted(((re.sub("(?<=к)(?:ий|и)$", "", w), lang) for w, lang in _ASK_WORDS.items()), key=lambda x: -len(x[0]))
+
+
 _INVISIBLE = re.compile("[\xad\u061c\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]")
 #: Cheap cues, one of which every refusal pattern needs; found by one automaton in one pass.
 _CUES = ahocorasick.Automaton()
@@ -195,9 +242,7 @@ def votes(prompt: str | tuple[str, list[str], frozenset[str]], answer: str | Non
     # Language: of prompt and answer, and whether the prompt asks for another.
     from_lang, to_lang, sure_prompt, sure_answer = held
     differ = bool(from_lang and to_lang and from_lang != to_lang)
-    head = re.split(r"[:：\n]", asked, maxsplit=1)[0][:120] if differ else ""
-    heads = re.findall(r"[^\W\d_]+", head) if differ else []
-    spoken = {lang for w, lang in _ASK_WORDS.items() if (w in head if "㐀" <= w[0] <= "鿿" else any(h.startswith(w) for h in heads))}
+    spoken = languages_named(asked) if differ else set()
     wanted = differ and to_lang in spoken
     out["wrong_language"] = _sign(differ and sure_answer and not wanted, not differ or wanted) + _sign(differ and sure_prompt and sure_answer and not wanted, not differ or wanted) + _sign(differ and sure_answer and not spoken, not differ or not sure_answer or wanted)
     return out, lookup

@@ -189,3 +189,20 @@ def test_scores(spark):
     assert rate.n_records == 9 and rate.any_rate == pytest.approx(4 / 9)
     nothing = abuse.fit(docs.limit(0), sft.limit(0))
     assert abuse.flagged(abuse.record_scores(small, sft.limit(0), nothing)).count() == 0
+
+
+LONG = "Der Bericht beschreibt die Lage im Hafen und nennt die Zahlen der Woche. " * 6
+
+
+@pytest.mark.parametrize(
+    "prompt, lang, wanted",
+    [
+        (LONG + "\n\nSummarise this in French", "fr", True), ("Context: " + LONG + "Answer in German.", "de", True), (LONG + "\nОтветь на русском языке", "ru", True),
+        (LONG + "\n请用德语回答", "de", True), (LONG + "\nأجب بالفرنسية", "fr", True), (LONG + "\nPlease translate: Italian", "it", True), ("Translate this into English: " + LONG, "en", True),
+        (LONG + "\nSummarise this in French", "es", False), (LONG + '\nWhat does "answer in French" mean?', "fr", False), (LONG + "\n> Answer in French.\nWhat is this?", "fr", False),
+        (LONG + "\nThe annex was written in French.", "fr", False), (LONG + "\nHe lives in Germany.", "de", False),
+    ],
+)
+def test_language_asked_for_anywhere(prompt, lang, wanted):
+    row, _ = answers.votes(prompt, "Eine ganz andere Antwort mit genug Wörtern für jede Stimme.", ("xx", lang, True, True))
+    assert row["wrong_language"].startswith("--" if wanted else "++")
