@@ -422,7 +422,8 @@ def _inputs(docs: DataFrame, sft: DataFrame) -> list[tuple[str, DataFrame]]:
 
 
 def fit(docs: DataFrame, sft: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Votes over all records, the label model on all their patterns, the classifier on a sample."""
+    """Votes over all records, the label model on the patterns of all sentences with a cue and of the
+    spare ones (not of every sentence without a cue), the classifier on a sample."""
     schema = "sentence string, abusive string, hateful string, sexual string, spare boolean, h long"
     found = [df.select("record_id", "__text").mapInArrow(_candidates, schema) for _, df in _inputs(docs, sft)]
     voted = materialize(found[0].unionByName(found[1]), "abuse-votes")
