@@ -5,7 +5,8 @@ the invisible characters inside it), and writes each cluster's canonical form.
 compiled at import from rules and from the look-alike list below, and is checked for conflicts:
 every output is a fixed point, and no two characters that a reader tells apart share an output.
 The longest match wins: a cluster is looked up whole before it is taken apart, so that a base
-letter with an accent becomes the composed letter and not a letter followed by a mark.
+letter with an accent becomes the composed letter and not a letter followed by a mark; so are the
+jamo of a syllable and half-width kana with a voicing sign.
 
 Canonical form: full-width forms, ligatures, radicals and presentation forms become the ordinary
 characters, special spaces a space, hyphen variants the hyphen-minus; zero-width, joining,
@@ -52,6 +53,8 @@ LOOK_ALIKES = {
 #: Blocks whose compatibility forms look like the ordinary characters.  Others, such as
 #: superscripts and circled digits, do look different and stay.
 _WIDTH_BLOCKS = ((0x2E80, 0x2FD5), (0xF900, 0xFAFF), (0xFB00, 0xFB06), (0xFB13, 0xFB17), (0xFB1D, 0xFDFB), (0xFE70, 0xFEFC), (0xFF01, 0xFFEE))
+#: The half-width voicing signs, letters by category, are marks of the kana before them.
+_VOICING = (0xFF9E, 0xFF9F)
 _INVISIBLE_EXTRA = "͏ᅟᅠ឴឵᠋᠌᠍ㅤﾠ"
 
 
@@ -68,6 +71,9 @@ def _compile() -> tuple[dict[str, str], str]:
             table[c] = " "
         elif kind[0] == "M":
             marks.append(point)
+        elif point in _VOICING:
+            marks.append(point)
+            table[c] = unicodedata.normalize("NFKC", c)
         elif any(a <= point <= b for a, b in _WIDTH_BLOCKS):
             wide = unicodedata.normalize("NFKC", c)
             if wide != c:
@@ -108,19 +114,56 @@ if _wrong := conflicts(TABLE):
 #: Characters that are dropped also inside a cluster, between a base and its marks.
 _GONE = "".join(sorted(c for c, out in TABLE.items() if out == ""))
 _CLASS = "".join(f"\\U{ord(c):08x}" for c in _GONE)
-#: A cluster with marks (the longest match), or one character that the table changes.
-_CLUSTER = re.compile(f"(?s:.)[{_CLASS}]*[{_MARKS}][{_MARKS}{_CLASS}]*")
-_MARK_SET = frozenset(c for c in map(chr, (*range(0x300, 0x20000), *range(0xE0100, 0xE0200))) if unicodedata.category(c)[0] == "M")
+
+
+def _giving(first: int, last: int) -> str:
+    """The characters whose canonical form is one character of a range."""
+    return "".join(sorted({c for c, out in [*TABLE.items(), *((chr(x), chr(x)) for x in range(first, last + 1))] if len(out) == 1 and first <= ord(out) <= last}))
+
+
+#: Conjoining jamo, also of half width: leading consonants, vowels, trailing consonants.
+_LEADING, _VOWEL, _TRAILING = _giving(0x1100, 0x1112), _giving(0x1161, 0x1175), _giving(0x11A8, 0x11C2)
+
+
+def _sequences() -> dict[str, str]:
+    """The table of whole clusters: canonical decompositions, half-width kana with a voicing sign, and jamo."""
+    out: dict[str, str] = {}
+    for point in (*range(0xC0, 0x1100), *range(0x1200, 0xAC00), *range(0xF900, 0x20000)):
+        c = chr(point)
+        parts = unicodedata.normalize("NFD", c)
+        if len(parts) > 1 and unicodedata.category(parts[1])[0] == "M" and unicodedata.normalize("NFC", parts) == c:
+            out[parts] = TABLE.get(c, c)
+    for kana in map(chr, range(0xFF66, 0xFF9E)):
+        for sign in map(chr, _VOICING):
+            whole = unicodedata.normalize("NFKC", kana + sign)
+            if len(whole) == 1:
+                out[kana + sign] = whole
+    for first in _LEADING:
+        for vowel in _VOWEL:
+            pair = unicodedata.normalize("NFC", TABLE.get(first, first) + TABLE.get(vowel, vowel))
+            out[first + vowel] = pair
+            for last in _TRAILING:
+                out[first + vowel + last] = out[pair + last] = unicodedata.normalize("NFC", pair + TABLE.get(last, last))
+    return out
+
+
+CLUSTERS = _sequences()
+#: A cluster: jamo of one syllable, or a base with marks (the longest match).
+_CLUSTER = re.compile(
+    f"(?:(?:[{_LEADING}][{_CLASS}]*[{_VOWEL}]|[가-힣])[{_CLASS}]*[{_TRAILING}]|[{_LEADING}][{_CLASS}]*[{_VOWEL}])[{_MARKS}{_CLASS}]*"
+    f"|(?s:.)[{_CLASS}]*[{_MARKS}][{_MARKS}{_CLASS}]*"
+)
+_MARK_SET = frozenset(c for c in map(chr, (*range(0x300, 0x20000), *range(0xE0100, 0xE0200))) if unicodedata.category(c)[0] == "M" or ord(c) in _VOICING or c in _LEADING or c in _TRAILING)
 _SINGLE = str.maketrans(TABLE)
 
 
 @lru_cache(maxsize=65_536)
 def _cluster(cluster: str) -> str:
     """The canonical form of a base with marks."""
-    whole = TABLE.get(cluster)
+    kept = "".join(c for c in cluster if c not in _GONE)
+    whole = CLUSTERS.get(kept)
     if whole is not None:
         return whole
-    kept = "".join(c for c in cluster if c not in _GONE)
     out = unicodedata.normalize("NFC", kept).translate(_SINGLE)
     # A look-alike base may compose with its mark only once it is the Latin letter, and a base
     # that composes first (й) must not be taken apart.

@@ -206,3 +206,23 @@ LONG = "Der Bericht beschreibt die Lage im Hafen und nennt die Zahlen der Woche.
 def test_language_asked_for_anywhere(prompt, lang, wanted):
     row, _ = answers.votes(prompt, "Eine ganz andere Antwort mit genug Wörtern für jede Stimme.", ("xx", lang, True, True))
     assert row["wrong_language"].startswith("--" if wanted else "++")
+
+
+# --- problem 9: clusters ------------------------------------------------------------------------
+
+
+def test_jamo_and_half_width_kana_compose():
+    import random
+    import unicodedata
+
+    from sievewright.llm.visual import CLUSTERS, canonical_form
+
+    korean = "한국어 가각 텍스트"
+    assert canonical_form(unicodedata.normalize("NFD", korean)) == korean and canonical_form("각") == "각" and canonical_form("ᄀ​ᅡ") == "가"
+    assert canonical_form("ｶﾞﾊﾟｳﾞあﾞ") == canonical_form("ガパヴあ゙") == "ガパヴあ゙"
+    assert all(canonical_form(c) == canonical_form(out) == out for c, out in CLUSTERS.items())
+    rng = random.Random(1)
+    pool = [chr(x) for x in (*range(0x1100, 0x1200), *range(0x3040, 0x3100), *range(0xFF61, 0xFFDD), *range(0x300, 0x330), *range(0xAC00, 0xAC40), 0x200B, 0x3099, 0x309A, 0x61, 0x430, 0x456, 0x3BF, 0xFB1D, 0x5B4)]
+    for _ in range(20_000):
+        form = canonical_form("".join(rng.choice(pool) for _ in range(rng.randrange(1, 6))))
+        assert canonical_form(form) == form
