@@ -9,6 +9,9 @@ then less than one block away from its share.
 Weights are counted in parts of ``period`` (10,000; shares of four decimals are exact).  All
 sources are exactly on their share after each period, so the schedule repeats, and one period of
 slots, a table of fixed size, gives the slot of any block of any amount of data.
+Where a source has less than one part, the period is a multiple of that, up to 50,000 slots; a source
+that is smaller still has one part all the same, so none of its records is lost, but they stand
+closer to the begin than its share asks for.
 
 How much to mix: without ``total_tokens`` the largest amount at which every source that has
 records reaches its target with at most ``max_repeats`` passes.  With it, sources that would need
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.llm.tokens import clean_label
-from sievewright.session import materialize
+from sievewright.session import BROADCAST_ROWS, materialize
 
 PERIOD = 10_000
 BLOCK_TOKENS = 2048
@@ -43,16 +46,26 @@ MAX_SOURCES = 5_000
 
 
 def whole_weights(shares: list[float], period: int = PERIOD) -> list[int]:
-    """Shares as parts of ``period`` that add up to it, by largest remainder."""
+    """Shares as parts of ``period`` that add up to it, by largest remainder; a positive share has one part at least."""
     total = sum(shares)
     exact = [s / total * period for s in shares]
-    floors = [math.floor(x + 1e-9) for x in exact]
+    floors = [max(math.floor(x + 1e-9), int(x > 0)) for x in exact]
+    if sum(x > 0 for x in exact) > period:
+        raise ValueError(f"more than {period} sources with a share")
     order = sorted(range(len(shares)), key=lambda i: (floors[i] - exact[i], i))
-    for i in order[: period - sum(floors)]:
+    for i in order[: max(0, period - sum(floors))]:
         floors[i] += 1
+    for _ in range(sum(floors) - period):  # what the least parts took comes from the largest
+        floors[max(range(len(floors)), key=lambda i: (floors[i], -i))] -= 1
     return floors
 
 
+def period_for(shares: list[float], period: int = PERIOD) -> int:
+    """The least multiple of ``period`` in which the smallest positive share is a whole part, up to ``BROADCAST_ROWS`` slots."""
+    least = min(s for s in shares if s > 0) / sum(shares)
+    return period * max(1, min(math.ceil(1 / (least * period) - 1e-9), BROADCAST_ROWS // period))
+
+
 def pfair_schedule(weights: list[int], period: int = PERIOD) -> list[int]:
     """The source that has each slot of one period: earliest deadline first among released blocks."""
     # Whole numbers throughout: block i is released at floor(i * period / w), due at ceil((i + 1) * period / w).
@@ -173,14 +186,15 @@ def mix(
     if extra:
         chosen = chosen.unionByName(spark.createDataFrame(extra, chosen.schema))
 
-    weights = whole_weights([q if q > 0 else 0.0 for q in take], period) if sum(take) > 0 else [0] * len(take)
+    period = period_for(take, period) if sum(take) > 0 else period
+    weights = whole_weights(take, period) if sum(take) > 0 else [0] * len(take)
     seen = [0] * len(plan)
     slots = []
     for slot, s in enumerate(pfair_schedule(weights, period) if sum(weights) else []):
         if s >= 0:
             slots.append((s, seen[s], weights[s], slot))
             seen[s] += 1
-    pattern = spark.createDataFrame(slots, "s int, i int, w int, slot_in_period int")  # period rows
+    pattern = spark.createDataFrame(slots, "s int, i int, w int, slot_in_period int")  # period rows, at most BROADCAST_ROWS
     per = spark.createDataFrame([(s, w) for s, w in enumerate(weights) if w > 0], "s int, w int")
     blocks = chosen.withColumn("block", F.floor(F.col("at") / block_tokens)).join(F.broadcast(per), "s").withColumn("i", F.pmod("block", "w").cast("int"))
     timed = blocks.join(F.broadcast(pattern.drop("w")), ["s", "i"]).withColumn(

@@ -141,3 +141,14 @@ def test_mixture(spark, total):
     report = {r.source: r for r in mixing.shares(mixing.mix(df, sources, total, 50, bucket_rows=40), sources).collect()}
     assert sum(r.actual_share for r in report.values()) == pytest.approx(1) and report["ghost"].n_records == 0
     assert mixing.mix(df.limit(0), sources).count() == 0 and mixing.mix(df, sources.limit(0)).count() == 0
+
+
+def test_small_shares_keep_their_records(spark):
+    assert mixing.whole_weights([1.0, 1e-6, 1e-6, 0.0], 10) == [8, 1, 1, 0] and mixing.whole_weights([1.0] * 10, 10) == [1] * 10
+    assert mixing.period_for([0.5, 0.5]) == 10_000 and mixing.period_for([1.0, 2e-5]) == 50_000 and mixing.period_for([1.0, 1e-9]) == 50_000
+    docs = [(i, "a", 1000, 1) for i in range(100)] + [(1000, "tiny", 1, 1)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, n_tokens long, slot int")
+    sources = spark.createDataFrame([("a", 0.99999, 1), ("tiny", 0.00001, 1)], "source_id string, target_share double, max_repeats int")
+    rows = mixing.mix(df, sources).collect()
+    assert [r.doc_id for r in rows if r.source == "tiny"] == [1000] and len(rows) == 100
+    assert len({(r.slot, r.place) for r in rows}) == len(rows)
