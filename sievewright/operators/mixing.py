@@ -65,6 +65,17 @@ def drift(shares: DataFrame, targets: dict[str, float], value: str, share: str,
     )
 
 
+def all_drift(shares: DataFrame) -> DataFrame:
+    """Drift of row and token shares from the targets by category and by modality; ``shares`` as of :func:`composition`."""
+    out = None
+    for dimension, targets in (("category", CATEGORY_TARGETS), ("modality", MODALITY_TARGETS)):
+        for measure, tolerance in (("row_share", ROW_TOLERANCE), ("token_share", TOKEN_TOLERANCE)):
+            part = drift(shares.where(F.col("dimension") == dimension), targets, "value", measure, tolerance)
+            part = part.select(F.lit(dimension).alias("dimension"), F.lit(measure).alias("measure"), "target", "wanted", "actual", "within")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 def df_of(like: DataFrame, targets: dict[str, float]) -> DataFrame:
     return F.broadcast(like.sparkSession.createDataFrame(sorted(targets.items()), "target string, wanted double"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievewright.functions import text as T
+
 
 def histograms(df: DataFrame, *columns: str) -> DataFrame:
     """Rows by each of the columns, in one pass over the rows."""
@@ -53,3 +55,14 @@ def validation(df: DataFrame, reason: str, tokens: str, marked: str) -> DataFram
         F.coalesce(F.sum(F.when(ok, F.col(tokens))), F.lit(0)).alias("tokens_valid"), F.count_if(F.col(marked) > 0).alias("rows_marked"),
         F.count_if(ok & (F.col("modality") == "image_text")).alias("rows_image_text"), F.countDistinct(F.when(ok, F.col("id"))).alias("ids"),
     )
+
+
+def parity(pairs: DataFrame, reference: str, candidate: str, min_score: float = 0.25) -> DataFrame:
+    """Each pair with its overlap, whether either text is garbled, whether the pair passes, and ok:
+    whether all pairs do.  A null text is an empty one."""
+    a, b = F.coalesce(reference, F.lit("")), F.coalesce(candidate, F.lit(""))
+    rows = pairs.select(
+        *[c for c in pairs.columns if c not in (reference, candidate)],
+        T.jaccard(a, b).alias("score"), T.garbled(a).alias("reference_garbled"), T.garbled(b).alias("candidate_garbled"),
+    ).withColumn("passes", (F.col("score") >= min_score) & ~F.col("candidate_garbled"))
+    return rows.crossJoin(F.broadcast(rows.agg(F.bool_and("passes").alias("ok"))))

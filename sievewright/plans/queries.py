@@ -340,6 +340,23 @@ def q31_jaccard(spark, folder):
     return table(spark, folder, "preference_rows").where("chosen is not null and rejected is not null").select("id", "ingested_at", T.jaccard(F.col("chosen"), F.col("rejected")).alias("overlap"))
 
 
+def _garbled_sql(c: str) -> str:
+    return rf"(trim(regexp_replace({c}, '\s+', ' ', 'g')) = '' OR contains({c}, chr(65533)) OR CAST(len(regexp_extract_all({c}, '[\x00-\x08\x0e-\x1f]')) AS DOUBLE) / greatest(length({c}), 1) > 0.02::DOUBLE)"
+
+
+_X, _Y = _WORDS.format("coalesce(chosen, '')"), _WORDS.format("coalesce(rejected, '')")
+
+
+@query(
+    f"WITH s AS (SELECT id, ingested_at, CASE WHEN len(list_distinct(list_concat({_X}, {_Y}))) = 0 THEN 1.0::DOUBLE ELSE CAST(len(list_intersect({_X}, {_Y})) AS DOUBLE) / len(list_distinct(list_concat({_X}, {_Y}))) END AS score, "
+    f"{_garbled_sql("coalesce(chosen, '')")} AS reference_garbled, {_garbled_sql("coalesce(rejected, '')")} AS candidate_garbled FROM preference_rows), "
+    "p AS (SELECT *, score >= 0.25::DOUBLE AND NOT candidate_garbled AS passes FROM s) SELECT *, bool_and(passes) OVER () AS ok FROM p"
+)
+def q32_template_parity(spark, folder):
+    """The tables hold no outputs of two exports; chosen and rejected answers stand for the pairs."""
+    return reports.parity(table(spark, folder, "preference_rows").select("id", "ingested_at", "chosen", "rejected"), "chosen", "rejected")
+
+
 _SOURCES = "(SELECT trim(source) AS source, count(*) AS n_docs FROM documents WHERE trim(source) <> '' GROUP BY ALL)"
 
 
@@ -380,6 +397,26 @@ def q37_target_drift(spark, folder):
     return mixing.drift(shares, mixing.CATEGORY_TARGETS, "value", "token_share", mixing.TOKEN_TOLERANCE)
 
 
+def _drift_sql(dimension: str, measure: str, targets: dict[str, float], tolerance: float) -> str:
+    values = ", ".join(f"({k!r}, {v}::DOUBLE)" for k, v in sorted(targets.items()))
+    return (
+        f"SELECT '{dimension}' AS dimension, '{measure}' AS measure, target, wanted, coalesce({measure}, 0) AS actual, abs(coalesce({measure}, 0) - wanted) <= {tolerance}::DOUBLE AS within "
+        f"FROM (VALUES {values}) w(target, wanted) LEFT JOIN (SELECT * FROM c WHERE dimension = '{dimension}') ON value = target"
+    )
+
+
+@query(
+    f"WITH c AS ({_COMPOSITION}) "
+    + " UNION ALL ".join(
+        _drift_sql(d, m, targets, tolerance)
+        for d, targets in (("category", mixing.CATEGORY_TARGETS), ("modality", mixing.MODALITY_TARGETS))
+        for m, tolerance in (("row_share", mixing.ROW_TOLERANCE), ("token_share", mixing.TOKEN_TOLERANCE))
+    )
+)
+def q37_all_drift(spark, folder):
+    return mixing.all_drift(q03_composition(spark, folder))
+
+
 def _manifest_sql(source: str, column: str) -> str:
     return (
         f"SELECT coalesce(CAST({column} AS VARCHAR), 'unknown') AS value, count(*) AS n_rows, CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER () AS percent FROM {source} GROUP BY 1"

@@ -133,6 +133,20 @@ def test_near_duplicates_do_not_depend_on_slices(spark, slice_rows):
     assert len(got) == len(rows) and {r.i: r.kept for r in got} == want and want[120] is False
 
 
+def test_parity(spark):
+    pairs = [(1, "a b c", "a b d"), (2, "a b c", "x"), (3, "a", "a\ufffd"), (4, None, ""), (5, "a", None)]
+    rows = {r.i: r for r in reports.parity(spark.createDataFrame(pairs, "i int, a string, b string"), "a", "b").collect()}
+    assert [rows[i].passes for i in range(1, 6)] == [True, False, False, False, False] and not rows[1].ok and rows[4].score == 1.0
+    good = reports.parity(spark.createDataFrame(pairs[:1], "i int, a string, b string"), "a", "b").collect()
+    assert good[0].ok and good[0].score == 0.5
+
+
+def test_drift_by_rows_and_modality(spark):
+    df = spark.createDataFrame([("multilingual", "text", 88), ("multilingual", "image_text", 12)], "category string, modality string, t long")
+    got = {(r.dimension, r.measure, r.target): r.within for r in mixing.all_drift(mixing.composition(df, "t")).collect()}
+    assert len(got) == 14 and got["modality", "token_share", "text"] and not got["modality", "row_share", "text"]
+
+
 def test_floor_percentiles(spark):
     rng = random.Random(3)
     data = {g: sorted(rng.randrange(30) for _ in range(n)) for g, n in (("a", 1), ("b", 10), ("c", 101))}
