@@ -36,8 +36,6 @@ DEFECTS = ("empty", "truncated", "refusal", "copied_question", "wrong_language")
 #: Posteriors above which a defect is reported; checked on answers with planted defects in the tests.
 CUTOFFS = {"empty": 0.3, "truncated": 0.2, "refusal": 0.5, "copied_question": 0.5, "wrong_language": 0.5}
 VOTERS = {"empty": 3, "truncated": 4, "refusal": 4, "copied_question": 3, "wrong_language": 3}
-#: A pair of last words counts as an ending once so many finished sentences have it.
-ENDINGS = 2
 
 _PLACEHOLDER = frozenset("null none nil nan na n/a undefined empty blank todo tbd missing <empty> <null> <none> [empty] (empty) keine nessuno нет няма".split())
 _STOP = ".!?。！？؟…"
@@ -270,12 +268,20 @@ FIELDS = {"identity_sft": ("assistant",), "preference_rows": ("chosen", "rejecte
 
 def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        counts: dict[str, int] = {}
-        for column in b.columns:
-            for text in column.to_pylist():
+        first: dict[str, str] = {}
+        last: dict[str, str] = {}
+        tables, ids, *columns = (c.to_pylist() for c in b.columns)
+        records = [f"{t}\x00{i}" for t, i in zip(tables, ids)]
+        for column in columns:
+            for record, text in zip(records, column):
                 for e in endings(text) if text else ():
-                    counts[e] = counts.get(e, 0) + 1
-        yield pa.record_batch([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["ending", "n"])
+                    if e not in first:
+                        first[e] = last[e] = record
+                    elif record < first[e]:
+                        first[e] = record
+                    elif record > last[e]:
+                        last[e] = record
+        yield pa.record_batch([pa.array(list(x), pa.string()) for x in (first, first.values(), last.values())], ["ending", "first", "last"])
 
 
 def _language(result) -> tuple[str | None, bool]:
@@ -316,14 +322,16 @@ def _votes(parts: tuple[np.ndarray, ...]):
 def scored(identity: DataFrame, preferences: DataFrame, crf: Crf) -> DataFrame:
     """Each answer's vote patterns; the truncation pattern ends with the vote of the corpus."""
     rows = answer_rows(identity, preferences)
-    known = rows.select("prompt", "a", "b").mapInArrow(_endings, "ending string, n long").groupBy("ending").agg(F.sum("n").alias("n")).where(F.col("n") >= ENDINGS)
+    # An ending is known once two records have it; a record counts once, however often it is delivered.
+    spans = rows.select("table_name", "id", "prompt", "a", "b").mapInArrow(_endings, "ending string, first string, last string")
+    known = spans.groupBy("ending").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last").select("ending", F.lit(True).alias("known"))
     schema = "table_name string, id string, field string, " + ", ".join(f"{d} string" for d in DEFECTS) + ", ending string"
     voted = materialize(rows.mapInArrow(_votes((crf.weights, crf.within, crf.across)), schema), "votes")
     open_ends = voted.where("ending is not null").join(known, "ending", "left").withColumn(
-        "truncated", F.concat("truncated", F.when(F.col("n").isNull(), F.lit("+")).otherwise(F.lit("-")))
+        "truncated", F.concat("truncated", F.when(F.col("known").isNull(), F.lit("+")).otherwise(F.lit("-")))
     )
     ended = voted.where("ending is null").withColumn("truncated", F.concat("truncated", F.lit("-")))
-    return materialize(open_ends.drop("n").unionByName(ended).drop("ending"), "votes-all")
+    return materialize(open_ends.drop("known").unionByName(ended).drop("ending"), "votes-all")
 
 
 def defects(identity: DataFrame, preferences: DataFrame, crf: Crf, cutoffs: dict[str, float] = CUTOFFS) -> DataFrame:

@@ -152,6 +152,16 @@ def test_planted_defects(spark, crf):
     assert answers.defects(identity.limit(0), pref.limit(0), crf).count() == 0
 
 
+@needs_data
+def test_one_record_makes_no_known_ending(spark, crf):
+    twice, once = "The crew paints the purple gate. The wind moves the purple gate.", "The crew paints the silver door."
+    rows = [("a", ("why?", twice)), ("a", ("why?", twice)), ("b", ("why?", once)), ("c", ("why?", once)), ("o1", ("why?", "He saw the purple gate")), ("o2", ("why?", "He saw the silver door"))]
+    identity = spark.createDataFrame(rows, "id string, messages_flat struct<user:string,assistant:string>")
+    pref = spark.createDataFrame([], f"id string, prompt string, prompt_messages {MESSAGES}, chosen string, rejected string")
+    got = {r.id: r.truncated for r in answers.scored(identity, pref, crf).collect()}
+    assert got["o1"].endswith("+") and got["o2"].endswith("-")
+
+
 # --- problem 6 -----------------------------------------------------------------------------------
 
 
