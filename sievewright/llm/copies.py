@@ -16,6 +16,8 @@ from sievewright.session import materialize
 RANGE_ROWS = 200_000
 #: Members of one class that one side of a pair task may get.
 PAIR_ROWS = 512
+#: Members of a class from which its size is broadcast rather than joined by a shuffle.
+HOT_ROWS = 100_000
 
 
 def classes(df: DataFrame, group: list[str], member: str, key: str, carry: list[str] = [], range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -70,22 +72,28 @@ def classes(df: DataFrame, group: list[str], member: str, key: str, carry: list[
     )
 
 
-def pairs(members: DataFrame, group: list[str], member: str, differ: str | None = None, block: int = PAIR_ROWS) -> DataFrame:
+def pairs(members: DataFrame, group: list[str], member: str, differ: str | None = None, block: int = PAIR_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every pair id_a < id_b of different members of a class, by blocks.
 
-    ``members`` has one row for each (group, class_id, member).  A class of n members is cut into
-    ceil(n / block) blocks; each pair of blocks is a join key of its own, so that no task gets
-    more than ``block`` rows of a side, however large the class is.  With ``differ``, only pairs
-    whose values of that column differ.
+    ``members`` has one row for each (group, class_id, member) and should be a written table, as it
+    is read for the sizes and for both sides.  A class of n members is cut into ceil(n / block)
+    blocks; each pair of blocks is a join key of its own, so that no task gets more than ``block``
+    rows of a side, however large the class is.  With ``differ``, only pairs whose values of that
+    column differ.
+
+    Sizes come to the members by a join on the class, which gathers at most ``hot_rows`` members in
+    a task: the sizes of larger classes, of which there are at most rows / ``hot_rows``, are broadcast.
     """
-    # Counts are joined rather than taken by a window: a class is never gathered in one task.
-    sizes = (
-        members.groupBy(*group, "class_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-        .select(*group, "class_id", F.ceil(F.col("__n") / block).cast("int").alias("__blocks"))
-    )
-    kept = members.join(sizes, [*group, "class_id"]).withColumn(
-        "__b", F.pmod(F.xxhash64(F.col(member)), F.col("__blocks")).cast("int")
+    keys = [*group, "class_id"]
+    sizes = materialize(
+        members.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").withColumn("__blocks", F.ceil(F.col("__n") / block).cast("int")), "sizes"
     )
+    kept = members.join(sizes.where(F.col("__n") <= hot_rows).drop("__n"), keys)
+    hot = sizes.where(F.col("__n") > hot_rows).drop("__n").collect()  # at most rows / hot_rows
+    if hot:
+        large = F.broadcast(members.sparkSession.createDataFrame(hot, sizes.drop("__n").schema))
+        kept = members.join(large, keys, "left_anti").join(sizes.drop("__n"), keys).unionByName(members.join(large, keys))
+    kept = kept.withColumn("__b", F.pmod(F.xxhash64(F.col(member)), F.col("__blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
     extra = [differ] if differ else []
     left = kept.select(*group, "class_id", F.col(member).alias("id_a"), *[F.col(c).alias("__x") for c in extra], F.col("__b").alias("__i"), every.alias("__j")).where("__j >= __i")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from sievewright.llm.copies import classes, pairs
 from sievewright.llm.records import message_lists, plain_text
+from sievewright.session import materialize
 
 _UNIT, _FIELD = "\u001f", "\u001e"
 
@@ -142,4 +143,5 @@ def collapse(sft: DataFrame, preferences: DataFrame, raw: DataFrame, **limits: i
 
 def copy_pairs(sft: DataFrame, preferences: DataFrame, raw: DataFrame, **limits: int) -> DataFrame:
     """table_name, id_a, id_b: the pairs within the classes."""
-    return pairs(membership(sft, preferences, raw, **limits), ["table_name"], "id")
+    members = materialize(membership(sft, preferences, raw, **limits), "copies")  # both sides of the pairs read it
+    return pairs(members, ["table_name"], "id")

@@ -32,6 +32,7 @@ def test_classes_and_pairs_equal_brute_force(spark, limits):
         assert r.class_id == min(i for i, k in keys if k == dict(keys)[r.id])
     rows = copies.pairs(members, ["g"], "id", block=4).collect()
     assert len(rows) == len(set(rows))  # each pair once
+    assert set(copies.pairs(members, ["g"], "id", block=4, hot_rows=10).collect()) == set(rows)
 
 
 def tables(spark, sft=(), pref=(), raw=()):
@@ -87,3 +88,41 @@ def test_same_look(spark):
     assert {tuple(r) for r in visual.same_look(docs).collect()} == want
     assert {r.doc_id: r.form for r in visual.canonical_documents(docs).collect()}[6] is None
     assert visual.same_look(docs.limit(0)).count() == 0
+
+
+DIFFERENT = [  # what a reader tells apart
+    ("\u0600\u0661", "\u0661"), ("\u0622\u06dd", "\u0622"), ("\u0645\u06cc\u200c\u062e\u0648\u0627\u0647\u0645", "\u0645\u06cc\u062e\u0648\u0627\u0647\u0645"), ("\u0647\u200d", "\u0647"),
+    ("\U0001f468\u200d\U0001f469\u200d\U0001f467", "\U0001f468\U0001f469\U0001f467"), ("\U0001f3f4\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f", "\U0001f3f4"),
+    ("\u0915\u094d\u200d\u0937", "\u0915\u094d\u0937"), ("\u2764\ufe0f", "\u2764"), ("\u0438\u0306", "\u0438"), ("\u0436", "ӝ"), ("\u0386", "\u00c1"), ("\ufdfa", "\u0635\u0644\u0649"), ("abc", "\u202eabc"),
+    ("\u2075", "5"), ("a\u0301", "a\u0300"), ("\u0423", "\u04ae"), ("l", "I"),
+]
+SAME = [  # what looks the same
+    ("a\u200cb", "ab"), ("\u0627\u200c\u0628", "\u0627\u0628"), ("\u0435\u0308", "\u00eb"), ("\u0451", "e\u0308"), ("\u03bf\u0301", "\u00f3"), ("a\u0301\u0323", "a\u0323\u0301"), ("\ufefb", "\u0644\u0627"), ("a\r\nb", "a\nb"),
+    ("a\u2028b", "a\nb"), ("\u1112\u1161\u11ab", "\ud55c"), ("\uff76\uff9e", "\u30ac"), ("\ufb01\u0301", "f\u00ed"), ("a\ufe0f", "a"), ("\u2800", " "), ("\u0430\u0306", "\u0103"), ("\uff71\uff99", "\u30a2\u30eb"),
+]
+
+
+def test_what_a_reader_tells_apart_stays_apart_and_the_rest_meets():
+    form = visual.canonical_form
+    for a, b in DIFFERENT:
+        assert form(a) != form(b), (ascii(a), ascii(b))
+    for a, b in SAME:
+        assert form(a) == form(b), (ascii(a), ascii(b), ascii(form(a)), ascii(form(b)))
+
+
+def test_clusters_equal_canonical_composition_and_forms_stay():
+    import unicodedata
+
+    form, rng = visual.canonical_form, random.Random(2)
+    marks = [chr(x) for x in (*range(0x300, 0x330), 0x61, 0x65, 0x1EA1, 0xE9, 0x1100, 0x1161, 0x11A8, 0x5D0, 0x5B4, 0x5BC, 0x622, 0x654)]
+    more = [*marks, *map(chr, (0x200B, 0x200C, 0x200D, 0xFE0F, 0x1F468, 0x2764, 0x628, 0x627, 0x94D, 0x915, 0xE0067, 0x1F3F4, 13, 10, 0xAD, 0xFE8E, 0xFB1D, 0xFF76, 0xFF9E, 0xFFA1, 0xFFC2, 0x439, 0x435))]
+    for _ in range(20_000):
+        text = "".join(rng.choice(marks) for _ in range(rng.randrange(1, 6)))
+        assert form(text) == unicodedata.normalize("NFC", text)
+        text = "".join(rng.choice(more) for _ in range(rng.randrange(1, 7)))
+        assert form(form(text)) == form(text), ascii(text)
+
+
+def test_conflict_check_sees_what_a_reader_tells_apart():
+    for table in ({"и": "n", "п": "n"}, {"é": "e"}, {"x": ""}, {"1": "l"}, {"\u06dd": "a"}, {"г": "r", "я": "r"}):
+        assert visual.conflicts(table), table
