@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.session import BROADCAST_ROWS, materialize
+
 #: Items in a group; large enough that the last, part-filled containers don't count.
 GROUP_ITEMS = 20_000
 
@@ -88,25 +90,24 @@ def pack(sizes: DataFrame, specs: DataFrame, group_items: int = GROUP_ITEMS) ->
     ``sizes``: doc_id, n_tokens.  ``specs``: container_name, capacity_tokens, separator_tokens; a
     table of a few rows, whose number is checked before it is broadcast.
     """
-    from sievewright.session import BROADCAST_ROWS
-
+    # Written once, as counting the items would otherwise compute the sizes again.
+    sizes = materialize(sizes.where("n_tokens > 0").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("n_tokens").cast("long").alias("n_tokens")), "sizes")
     kinds = (
         specs.where("capacity_tokens > 0 and container_name is not null")
         .groupBy("container_name").agg(F.max(F.struct("capacity_tokens", "separator_tokens")).alias("s"))
         .select("container_name", F.col("s.capacity_tokens").cast("long").alias("capacity"), F.greatest(F.lit(0), F.coalesce("s.separator_tokens", F.lit(0))).cast("long").alias("separator"))
     )
-    if kinds.count() <= BROADCAST_ROWS:
-        kinds = F.broadcast(kinds)
+    if kinds.count() > BROADCAST_ROWS:
+        raise ValueError(f"more than {BROADCAST_ROWS} kinds of containers")
     parts = F.ceil(F.col("n_tokens") / F.col("capacity")).cast("int")
     items = (
-        sizes.where("n_tokens > 0").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("n_tokens").cast("long").alias("n_tokens"))
-        .crossJoin(kinds)  # documents by a few container kinds
+        sizes.crossJoin(F.broadcast(kinds))  # each document once for each of a few kinds of containers
         .withColumn("n_parts", parts)
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
         .withColumn("size", F.least(F.col("capacity"), F.col("n_tokens") - F.col("part") * F.col("capacity")))
     )
     # The number of groups follows the number of items of the kind with the most.
-    most = items.groupBy("container_name").count().agg(F.max("count")).first()[0] or 0
+    most = items.groupBy("container_name").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     groups = max(1, math.ceil(most / group_items))
     drawn = items.withColumn("group_no", F.pmod(F.xxhash64("doc_id", "part", "container_name"), F.lit(groups)).cast("int"))
     return drawn.select("container_name", "group_no", "capacity", "separator", "doc_id", "part", "n_parts", "size").groupBy("container_name", "group_no").applyInPandas(_pack, _OUT)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm import abuse, answers, containers, format_copies, languages, mixing, personal, tokens, visual
-from sievewright.session import table
+from sievewright.session import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +114,22 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(p8_mixture(spark, folder), table(spark, folder, "mixture_sources"))
 
 
+def _filled(spark: SparkSession, folder: str) -> DataFrame:
+    """A mixture as large as the listed sources: those short of their share give what their repeats allow."""
+    sizes, sources = materialize(_document_sizes(spark, folder), "sizes"), table(spark, folder, "mixture_sources")
+    listed = sources.select(tokens.clean_label("source_id", "").alias("source")).where("source != ''").distinct()
+    held = sizes.withColumn("source", tokens.clean_label("source", "")).join(F.broadcast(listed), "source")  # mixing.MAX_SOURCES rows at most
+    return mixing.mix(sizes, sources, total_tokens=held.agg(F.sum("n_tokens")).first()[0] or 0)
+
+
+def p8_filled(spark: SparkSession, folder: str) -> DataFrame:
+    return _filled(spark, folder)
+
+
+def p8_filled_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.shares(_filled(spark, folder), table(spark, folder, "mixture_sources"))
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return visual.same_look(table(spark, folder, "documents"))
 

@@ -10,7 +10,9 @@ for its size; each is encoded once:
 3. the lengths are joined back to the blocks' piece lists and from there to the records.
 
 Only the piece lists, which grow much slower than the text, are shuffled by piece.  A frequent
-piece has one row for each block, not for each occurrence, and nothing is broadcast.
+piece has one row for each block, not for each occurrence; the lengths of pieces that more than
+``HOT_BLOCKS`` blocks hold, at most rows / ``HOT_BLOCKS`` of them, are broadcast, so that no task
+gets all blocks.
 
 Defined results: a null or blank text counts as its pieces (none for null and empty text); texts
 that spell special tokens are ordinary text.  Very long texts are a block of their own.  Records
@@ -43,6 +45,8 @@ TOKENIZER_FOLDER = os.environ.get("SIEVEWRIGHT_TOKENIZERS", "/opt/tokenizers")
 BLOCK_RECORDS = 4096
 #: Distinct pieces at which a block is closed, so that 16 bits number them.
 BLOCK_PIECES = 40_000
+#: Blocks that hold a piece from which its length is broadcast rather than joined by a shuffle.
+HOT_BLOCKS = 100_000
 
 #: Fixed value: the pre-splitting pattern published with the byte-level vocabularies.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -180,7 +184,7 @@ def _lengths(tokenizer: Tokenizer):
         length = tokenizer.length()
         for b in batches:
             pieces = b.column(0)
-            yield pa.RecordBatch.from_arrays([pieces, pa.array([length(p) for p in pieces.to_pylist()], pa.int32())], ["piece", "n"])
+            yield pa.RecordBatch.from_arrays([pieces, b.column(1), pa.array([length(p) for p in pieces.to_pylist()], pa.int32())], ["piece", "blocks", "n"])
 
     return run
 
@@ -212,6 +216,7 @@ def record_tokens(
     tokenizer: Tokenizer = Tokenizer(),
     block_records: int = BLOCK_RECORDS,
     block_pieces: int = BLOCK_PIECES,
+    hot_blocks: int = HOT_BLOCKS,
 ) -> DataFrame:
     """``keys`` and n_tokens of every row; ``text`` is a string or an array of messages."""
     source = df.select(*keys, (F.col(text) if isinstance(text, str) else text).alias("__text"))
@@ -231,11 +236,15 @@ def record_tokens(
         source.mapInArrow(_blocks(tokenizer, fields, to_arrow_schema(schema), block_records, block_pieces), schema), "blocks"
     )
     listed = blocks.select("block", F.posexplode("pieces").alias("pos", "piece"))
-    lengths = listed.select("piece").distinct().mapInArrow(_lengths(tokenizer), "piece string, n int")
-    known = (
-        listed.join(lengths, "piece").groupBy("block")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "n"))), lambda x: x["n"]).alias("lens"))
+    lengths = materialize(
+        listed.groupBy("piece").agg(F.count(F.lit(1)).alias("blocks")).mapInArrow(_lengths(tokenizer), "piece string, blocks long, n int"), "lengths"
     )
+    frequent = lengths.where(F.col("blocks") > hot_blocks).select("piece", "n").collect()  # at most rows / hot_blocks
+    joined = listed.join(lengths.where(F.col("blocks") <= hot_blocks).select("piece", "n"), "piece")
+    if frequent:
+        hot = F.broadcast(df.sparkSession.createDataFrame(frequent, "piece string, n int"))
+        joined = listed.join(hot, "piece", "left_anti").join(lengths.select("piece", "n"), "piece").unionByName(listed.join(hot, "piece"))
+    known = joined.groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "n"))), lambda x: x["n"]).alias("lens"))
     out = T.StructType([*key_type, T.StructField("n_tokens", T.LongType())])
     return blocks.select("block", "records", "counts", "numbers", "freqs", "wide").join(known, "block", "left").mapInArrow(_sums(fields), out)
 

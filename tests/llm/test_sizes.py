@@ -23,7 +23,7 @@ def reference(text):
     return len(encoding.encode_ordinary(text or ""))
 
 
-@pytest.mark.parametrize("limits", [{}, {"block_records": 2, "block_pieces": 3}])
+@pytest.mark.parametrize("limits", [{}, {"block_records": 2, "block_pieces": 3}, {"block_records": 1, "hot_blocks": 2}])
 def test_record_tokens_are_exact(spark, limits):
     rows = [(i, t, "x", 7) for i, t in enumerate(TEXTS * 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, block string, pieces int")
@@ -152,3 +152,18 @@ def test_small_shares_keep_their_records(spark):
     rows = mixing.mix(df, sources).collect()
     assert [r.doc_id for r in rows if r.source == "tiny"] == [1000] and len(rows) == 100
     assert len({(r.slot, r.place) for r in rows}) == len(rows)
+
+
+def test_registered_mixture_reports_uneven_shares(spark):
+    """A mixture as large as its sources: repeats stay within their cap and shares are reported as they are."""
+    from sievewright.llm import queries
+
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    rows = queries.p8_filled_shares(spark, folder).collect()
+    assert sum(r.actual_share for r in rows) == pytest.approx(1)
+    assert all(r.repeats <= (r.max_repeats or 1) for r in rows) and any(r.repeats > 1 for r in rows)
+    assert any(abs(r.actual_share - r.target_share) > 0.001 for r in rows)
+    balanced = queries.p8_shares(spark, folder).collect()
+    assert sum(r.n_tokens for r in rows) > sum(r.n_tokens for r in balanced)
