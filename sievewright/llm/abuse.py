@@ -2,18 +2,21 @@
 
 Weak supervision in three steps:
 
-1. voters, word lists and patterns in ten languages, vote on the sentences in which an
-   Aho-Corasick automaton finds any of their cues; some vote against (medical, technical and
-   quoting use);
-2. a label model (:mod:`sievewright.llm.labelmodel`) learns from the counts of all vote patterns how
-   far each voter is to be trusted, correlated voters counting less, and gives each sentence a
-   posterior;
-3. a linear classifier on words and word pairs is trained on the posteriors of a bounded sample
-   (``SAMPLE`` sentences of each sort with the least hash, six times as many without any cue) and then scores every sentence of every
-   record.  A record's score of a kind is that of its worst sentence.
+1. many voters, word lists and patterns in ten languages, vote on every sentence; one pass of an
+   Aho-Corasick automaton over a record finds all their words.  One voter of each kind looks for what
+   speaks against it: medical, technical and quoting use;
+2. a label model (:func:`sievewright.llm.labelmodel.fit_correlated`) learns from the counts of all vote
+   patterns, those of sentences without any cue included, how far each voter is to be trusted and
+   which voters depend on each other, and gives each pattern a posterior;
+3. a linear classifier on words, word pairs and what the voters say is trained on the posteriors of a bounded sample of
+   sentences (``SAMPLE`` of each sort with the least hash, six times as many without any cue, four times as many
+   with words that speak against only) and then
+   scores every sentence of every record.  A record's score of a kind is that of its worst sentence.
 
 Before either, a text is brought to one form, and obfuscation is undone: look-alikes, letters set
-apart, figures for letters, masked letters of listed words, letters drawn out.
+apart, figures for letters, masked letters of listed words, letters drawn out.  The same pass writes
+each record's words as hashes, so that scoring reads these and no text again.  A sentence of more
+than ``WINDOW`` words, as of text without stops, is scored as a whole and by windows of that length.
 
 Defined results: null and blank texts score 0 in every kind; a repeated id is one record, with the
 highest of its scores; a null source counts as unknown; without any positive sample every score is 0.
@@ -41,86 +44,206 @@ from sievewright.session import materialize
 KINDS = ("abusive", "hateful", "sexual")
 SAMPLE = 1_500
 BITS = 18
-CUTOFF = 0.8
+CUTOFF = 0.7
+#: First belief that a sentence is of the kind if a common word of it is found.
+COMMON_TRUST = 0.45
 #: Longest stretch scored as one; longer sentences, as of text without stops, are scored by windows.
 WINDOW = 26
 
-# Word lists of the voters, one line for each language (en de fr es pt it bg ru ar zh).
-INSULTS = """
-idiot; moron; trash; loser; clown; scum; imbecile; pathetic; worthless; bastard; asshole; dumbass; stupid; dumb; jerk; retard; bitch
-idiot; schwachkopf; vollpfosten; dreck; versager; trottel; arschloch; dummkopf; abschaum; wichser; penner; hurensohn; vollidiot
-imbécile; abruti; crétin; ordure; raté; connard; salaud; débile; minable; bouffon; pauvre type; enculé; salope
-idiota; imbécil; basura; payaso; fracasado; estúpido; inútil; patético; gilipollas; cabrón; escoria; tarado; pendejo
-idiota; parvalhão; lixo; falhado; palhaço; estúpido; inútil; patético; cretino; cabrão; otário; imbecil; canalha; burro
-idiota; cretino; spazzatura; fallito; pagliaccio; stupido; stronzo; patetico; feccia; imbecille; deficiente; bastardo
-идиот; кретен; боклук; неудачник; тъпак; глупак; нищожество; жалък; мръсник; малоумник; олигофрен; простак; палячо
-идиот; кретин; тупица; дерьма; неудачник; дурак; урод; мразь; дебил; ничтожество; придурок; сволочь; жалкий
-غبي; قمامة; حقير; أحمق; فاشل; تافه; كلب; حمار; وغد; سافل; معتوه; بليد
-白痴; 蠢货; 废物; 人渣; 下贱; 笨蛋; 傻逼; 混蛋; 垃圾; 贱人; 畜生; 蠢猪; 失败者; 小丑
-"""
-ATTACKS = """
-shut your mouth; shut up; get lost; nobody wants you; choke on it; cry somewhere else; would write this; go to hell; drop dead; go away and; no one likes you
-halt endlich die klappe; halt die klappe; halt den mund; niemand will dich; erstickst du; heul woanders; schreibt nur ein; verpiss dich; verschwinde und
-ferme ta gueule; ta gueule; dégage; personne ne veut de toi; t'étoufferas; va pleurer ailleurs; pour écrire ça; va te faire
-cierra la boca; cállate; lárgate; nadie te quiere; te atragantes; a llorar a otra parte; escribiría esto; vete al infierno; vete a la mierda
-cala a boca; desaparece; ninguém te quer; te engasgues; chorar para outro lado; escreveria isto; vai para o inferno; vai à merda
-chiudi quella bocca; stai zitto; sparisci; nessuno ti vuole; ti strozzi; a piangere altrove; scriverebbe questo; vai al diavolo; vaffanculo
-затваряй си устата; млъкни; изчезвай; никой не те иска; се задавиш; плачеш другаде; би написал това; върви по дяволите; да пукнеш
-закрой рот; заткнись; проваливай; никому ты здесь не нужен; ты подавился; поплачь в другом; мог такое написать; иди к чёрту; пошёл вон
-اسكت وانصرف; اخرس; انصرف من هنا; لا أحد يريدك; أن تختنق; وابك في مكان; لا يكتب هذا إلا; اذهب إلى الجحيم; أغلق فمك
-闭嘴; 滚开; 没人想见到你; 噎死; 去别处哭; 才会写出这种; 去死; 滚蛋; 给我滚
-"""
-DEHUMANISE = """
-vermin; born liars; filthy breed; filthy race; parasites; subhuman; cockroaches; animals who; inferior race; ruins everything; disgusting people; are all criminals; are rats; plague on
-ungeziefer; geborene lügner; dieses pack; abschaum; parasiten; untermenschen; ruiniert alles; gesindel; schmarotzer; minderwertig; dreckige rasse
-vermine; menteurs nés; sale race; parasites; sous-hommes; gâche tout; cafards; race inférieure; racaille
-alimañas; mentirosos de nacimiento; raza asquerosa; parásitos; lo arruina todo; cucarachas; raza inferior; escoria; plaga
-bichos nojentos; mentirosos de nascença; mentirosos natos; raça imunda; parasitas; estraga tudo; baratas; raça inferior; escumalha; praga; raça nojenta
-parassiti; bugiardi nati; razza schifosa; rovina tutto; scarafaggi; razza inferiore; feccia; subumani; sporca razza
-паразити; родени лъжци; мръсна порода; мръсна раса; пасмина; съсипва всичко; разваля всичко; хлебарки; низша раса; гадини; мръсно племе; вредители; измет
-паразиты; врут с рождения; прирождённые лжецы; грязная порода; всё портит; тараканы; низшая раса; недочеловеки; отбросы; нечисть; вредители; паразитов; твари
-حشرات; كذابون; سلالة قذرة; تفسد كل شيء; طفيليات; صراصير; جرذان; عرق قذر; عرق أدنى
-害虫; 天生就是骗子; 肮脏的种族; 毁掉一切; 寄生虫; 蟑螂; 劣等; 贱种; 低等; 老鼠一样
-"""
-EXCLUDE = """
-thrown out of the country; do not deserve any rights; not deserve any rights; burn down the houses; never hire; kicked out of the country; should be deported; wiped out; should be exterminated; do not deserve to live; go back to where; don't belong here
-aus dem land geworfen; verdienen keine rechte; häuser der; anzünden; stellt bloss keine; stellt bloß keine; ausgerottet; abgeschoben; raus aus unserem land; haben hier nichts verloren
-jeter hors du pays; ne méritent aucun droit; brûler les maisons; n'embauchez jamais; expulser tous; exterminer; dehors tous; ne méritent pas de vivre
-echarlos del país; no merecen derechos; quemar las casas; no contrates nunca; expulsarlos; exterminarlos; no merecen vivir; fuera del país
-expulsos do país; não merecem direitos; não merecem quaisquer direitos; não merecem nenhum direito; queimar as casas; nunca contrates; exterminados; não merecem viver; fora do país
-cacciati dal paese; non meritano alcun diritto; bruciare le case; non assumere mai; sterminati; espulsi dal paese; non meritano di vivere
-изгонени от страната; не заслужават никакви права; да изгорим къщите; не наемай; никога не наемай; не взимайте на работа; изтребени; да се махат; не назначавай
-гнать из страны; выгнать из страны; вышвырнуть из страны; не заслуживают никаких прав; сжечь дома; убираются; не нанимай; не берите на работу; истребить; вон из страны
-يجب طردهم من البلاد; ولا يستحقون أي حقوق; أن نحرق البيوت; فلا توظفوهم; لا توظفوا; إبادتهم; اطردوهم; لا يستحقون الحياة
-赶出这个国家; 不配有任何权利; 应该烧掉; 千万别雇; 滚出我们; 灭绝; 不配活着; 驱逐出境
-"""
-EXPLICIT = """
-nude pictures; naked breasts; so horny; got naked; wild sex; went down on each other; moaned; tore off her clothes; had sex; blowjob; porn; fucked; hardcore; masturbat; orgasm; nudes; naked body; erect; kissed her naked
-nacktbilder; nackten brüste; so geil; zogen sich nackt; trieben es; wilden sex; stöhnte; kleider vom leib; porno; gefickt; fickten; sex auf dem; orgasmus; nackt aus
-photos de toi nue; seins nus; trop excité; se mirent nus; baisèrent; l'amour sauvagement; gémissait; arracha ses vêtements; porno; orgasme; baiser toute; nue ce soir
-fotos tuyas desnuda; pechos desnudos; muy caliente; se desnudaron; follaron; sexo salvaje; gemía; arrancó la ropa; porno; orgasmo; desnuda
-fotografias tuas nua; fotos tuas nua; seios nus; cheio de tesão; despiram-se; foderam; sexo selvagem; gemia; arrancou a roupa; arrancou-lhe a roupa; porno; orgasmo
-foto di te nuda; seni nudi; troppo eccitato; si spogliarono; scoparono; sesso selvaggio; gemeva; strappò i vestiti; porno; orgasmo; nuda
-голи снимки; голите ѝ гърди; възбуден; съблякоха голи; се чукаха; див секс; стенеше; разкъса дрехите; порно; оргазъм; голите гърди
-голые фото; голую грудь; так возбуждён; так возбужден; разделись догола; трахались; дикий секс; стонала; сорвал с неё одежду; порно; оргазм
-صدرها العاري; تعرى; الجنس طوال الليل; جنسا عنيفا; تتأوه; مزق ثيابها; صورك عارية; صورا عارية; عاريا; مثار; إباحي; مارسا
-裸照; 赤裸的胸部; 欲火焚身; 脱得精光; 性交; 疯狂做爱; 呻吟; 撕开她的衣服; 做爱; 色情; 高潮; 裸体
-"""
+# Word lists of the voters, one line for each language (en de fr es pt it bg ru ar zh).  They hold common
+# words and turns of speech, each list another sort of evidence.
+LISTS_TEXT = {
+    "insult": """
+idiot; moron; trash; loser; clown; scum; imbecile; pathetic; worthless; bastard; asshole; dumbass; stupid; dumb; jerk; retard; bitch; disgusting pig; coward; piece of shit
+idiot; schwachkopf; vollpfosten; dreck; versager; trottel; arschloch; dummkopf; abschaum; wichser; penner; hurensohn; vollidiot; drecksau; feigling
+imbécile; abruti; crétin; ordure; raté; connard; salaud; débile; minable; bouffon; pauvre type; enculé; salope; déchet; lâche
+idiota; imbécil; basura; payaso; fracasado; estúpido; inútil; patético; gilipollas; cabrón; escoria; tarado; pendejo; cobarde
+idiota; parvalhão; lixo; falhado; palhaço; estúpido; inútil; patético; cretino; cabrão; otário; imbecil; canalha; burro; covarde; fracassado
+idiota; cretino; spazzatura; fallito; pagliaccio; stupido; stronzo; patetico; feccia; imbecille; deficiente; bastardo; vigliacco
+идиот; кретен; боклук; неудачник; тъпак; глупак; нищожество; жалък; мръсник; малоумник; олигофрен; простак; палячо; страхливец
+идиот; кретин; тупица; дерьм; неудачник; дурак; урод; мразь; дебил; ничтожество; придурок; сволочь; жалкий; мусор; трус
+غبي; قمامة; حقير; أحمق; فاشل; تافه; كلب; حمار; وغد; سافل; معتوه; بليد; جبان
+白痴; 蠢货; 废物; 人渣; 下贱; 笨蛋; 傻逼; 混蛋; 垃圾; 贱人; 畜生; 蠢猪; 失败者; 小丑; 懦夫
+""",
+    "dismiss": """
+shut up; shut your; get lost; go away; piss off; fuck off; fuck you; screw you; go to hell; get out of my
+halt die klappe; die klappe; halt dein maul; halt den mund; verpiss dich; hau ab; verschwinde; fick dich; geh zum teufel; scher dich
+ta gueule; ferme-la; ferme ta; dégage; casse-toi; va te faire; fous le camp; tais-toi; va au diable
+cállate; cierra la boca; cierra el pico; lárgate; vete a la mierda; vete al infierno; que te jodan; piérdete
+cala a boca; cala-te; desaparece; vai à merda; vai para o inferno; vai-te foder; some daqui; põe-te a andar
+stai zitto; chiudi la bocca; chiudi quella; sparisci; vaffanculo; vai al diavolo; levati; vai a quel paese; taci
+млъкни; затваряй си; затвори си устата; изчезвай; махай се; върви по дяволите; разкарай се
+заткнись; закрой рот; проваливай; иди к чёрту; иди к черту; пошёл вон; пошел вон; отвали; убирайся; катись
+اخرس; اسكت; اغرب عن; انصرف; اذهب إلى الجحيم; أغلق فمك; ابتعد عني
+闭嘴; 住口; 滚开; 滚蛋; 滚出; 给我滚; 快滚; 去你的
+""",
+    "harm": """
+kill yourself; drop dead; go die; you should die; hope you die; hope you choke; hope you rot; hope you suffer; choke on; rot in hell; burn in hell; hang yourself
+bring dich um; stirb; verreck; krepier; erstick; häng dich auf; in der hölle
+crève; va mourir; étouff; pends-toi; suicide-toi; en enfer
+muérete; te mueras; atragant; mátate; púdrete; revienta; ahórcate
+morras; mata-te; engasg; apodrece; enforca-te; se mate
+muori; crepa; ammazzati; strozz; marcisci; impiccati; all'inferno
+умри; да пукнеш; пукни; гръмни се; обеси се; задави; убий се; да умреш
+сдохни; чтоб ты; убей себя; повесься; подави; умри; гори в аду
+انتحر; اقتل نفسك; تموت; تختنق; جهنم; اشنق نفسك
+去死; 自杀吧; 噎死; 不得好死; 死全家; 下地狱; 怎么不死
+""",
+    "contempt": """
+nobody wants you; nobody likes you; no one likes you; no one wants you; nobody cares about you; waste of space; waste of oxygen; waste of air; you make me sick; you disgust me; you are nothing; ashamed of yourself; go cry; go and cry; cry about; good for nothing
+niemand will dich; niemand mag dich; keiner mag dich; keiner will dich; du bist nichts; widerst mich an; schäm dich; heul; zu nichts zu gebrauchen; platzverschwendung
+personne ne veut de toi; personne ne t'aime; tu me dégoûtes; tu n'es rien; va pleurer; honte à toi; bon à rien; ne vaux rien
+nadie te quiere; nadie te soporta; me das asco; no vales nada; no eres nadie; a llorar; vete a llorar; no sirves para nada
+ninguém te quer; ninguém gosta de; metes-me nojo; nojo de ti; não vales nada; não prestas; vai chorar; chorar para
+nessuno ti vuole; nessuno ti sopporta; mi fai schifo; non vali niente; non sei nessuno; a piangere; buono a nulla; vergognati
+никой не те иска; никой не те харесва; отвращаваш ме; нищо не струваш; гади ми се; плачеш; за нищо не ставаш
+никому ты; ты здесь не нужен; никто тебя не; тошнит от тебя; ты никто; ничего не стоишь; поплачь; иди плачь; позорище
+لا أحد يريدك; لا أحد يحبك; أنت لا شيء; تثير اشمئزازي; لا قيمة لك; وابك; اذهب وابك; عار عليك
+没人想见; 没人喜欢你; 没人要你; 你算什么; 真恶心; 一文不值; 去哭; 哭吧; 丢人现眼
+""",
+    "dehumanise": """
+vermin; parasites; subhuman; cockroaches; savages; leeches; inferior race; filthy; infest; disgusting people
+ungeziefer; parasiten; untermensch; schmarotzer; gesindel; minderwertig; dreckig; kakerlaken; dieses pack$
+vermine; parasites; sous-hommes; cafards; racaille; sale race; inférieur; sauvages
+alimañas; parásitos; subhumanos; cucarachas; asqueros; raza inferior; salvajes; plaga
+bichos; parasitas; sub-humanos; baratas; imund; raça inferior; escumalha; nojent; selvagens
+parassiti; subumani; scarafaggi; schifos; razza inferiore; feccia; selvaggi; sporca
+паразити; хлебарки; мръсна; низша раса; гадини; мръсно; вредители; измет; пасмина
+паразит; тараканы; низшая раса; недочеловек; отбросы; нечисть; вредител; твари; грязн
+حشرات; طفيليات; صراصير; جرذان; قذر; عرق أدنى; همج
+害虫; 寄生虫; 蟑螂; 劣等; 贱种; 低等; 肮脏; 野蛮人
+""",
+    "slander": """
+liars; thieves; criminals; rapists; animals; a disease; plague; breed$; ruin; take our jobs; too stupid; belong in the kitchen; lazy$
+lügner; diebe; kriminelle; vergewaltiger; tiere; seuche; ruinier; zu dumm; an den herd; faul
+menteurs; voleurs; criminels; violeurs; animaux; une maladie; peste; gâch; trop bêtes; retourner à la cuisine; paresseux
+mentirosos; ladrones; delincuentes; violadores; animales; una enfermedad; arruina; demasiado tont; vuelvan a la cocina; vagos
+mentirosos; ladrões; criminosos; violadores; animais; uma doença; estraga; arruína; voltem para a cozinha; preguiçosos
+bugiardi; ladri; criminali; stupratori; animali; una malattia; rovina; troppo stupid; tornino in cucina; pigri
+лъжци; крадци; престъпници; насилници; животни; зараза; съсипва; разваля; прекалено глупав; да си стоят в кухнята; мързелив
+лжец; лжецы; врут; воры; преступник; насильник; животные; зараза; портит; портят; слишком тупые; марш на кухню; ленив
+كذاب; لصوص; مجرم; مغتصب; حيوانات; وباء; تفسد; أغبى من; إلى المطبخ; كسال
+骗子; 小偷; 罪犯; 强奸犯; 动物; 瘟疫; 毁掉; 太蠢; 回厨房; 懒惰
+""",
+    "exclude": """
+thrown out of; kick them out; kicked out; deport; send them back; go back to where; no rights; any rights; not deserve; burn down; never hire; not hire; wiped out; exterminat; get rid of; should be shot; hang them; not welcome here; not belong here
+aus dem land; abschieben; abgeschoben; keine rechte; anzünden; niederbrennen; keine einstellen; ausgerottet; ausrotten; raus aus; loswerden; haben hier nichts; stellt bloß keine; stellt bloss keine
+hors du pays; expuls; aucun droit; brûler; n'embauche; extermin; dehors; renvoyer chez; se débarrasser; ne méritent
+echarlos; expuls; fuera del país; ningún derecho; no merecen; quemar; no contrat; extermin; deshacerse; no son bienvenid
+expuls; fora do país; não merecem; quaisquer direitos; nenhum direito; queimar; nunca contrat; extermin; livrar-nos; não são bem-vind
+cacciati; espuls; fuori dal paese; alcun diritto; non meritano; bruciare; non assum; stermin; liberarci; non sono benvenut
+изгонени; изгонят; да се махат; никакви права; не заслужават; изгорим; изгорят; не наемай; изтреб; да се отървем; не взимайте на работа; не назначавай
+гнать из; выгнать; вышвырн; никаких прав; не заслуживают; сжечь; не нанимай; истреб; вон из; избавиться; не берите на работу; убираются
+طردهم; اطردوا; اطردوهم; أي حقوق; لا يستحقون; نحرق; لا توظف; توظفوهم; إبادة; التخلص من; ارحلوا
+赶出; 驱逐; 任何权利; 不配; 烧掉; 别雇; 不要雇; 灭绝; 滚出; 除掉; 不欢迎
+""",
+    "generalise": """
+all of them; every one of them; they are all; these people; those people; all those; people like them; their kind; none of them; all the
+sie alle; alle diese; diese leute; die sind alle; solche leute; jeder von denen; keiner von denen; alle
+tous ces; ces gens; ils sont tous; toutes ces; tous les; aucun d'eux; gens-là
+todos esos; todos ellos; esa gente; esta gente; son todos; todos los; ninguno de ellos; gente como
+todos esses; todos eles; essa gente; esta gente; são todos; todos os; nenhum deles; gente como
+tutti quei; tutti loro; questa gente; quella gente; sono tutti; tutti i; nessuno di loro; gente come
+всички тези; всички те; тези хора; всички са; такива хора; никой от тях; всички
+все эти; все они; эти люди; такие люди; никто из них; всех этих; все
+كلهم; جميعهم; كل هؤلاء; هؤلاء الناس; أمثالهم; جميع; كل
+这些人; 那些人; 他们都; 他们全; 所有; 这种人; 一个个都; 全都
+""",
+    "demand": """
+should; must; have to; ought to; time to
+sollte; müssen; muss man; gehören; verdienen
+devrait; faut; doivent; il est temps
+habría que; hay que; deberían; debemos; tienen que
+devia; devíamos; é preciso; têm de; deveriam
+bisognerebbe; bisogna; dovrebbero; devono; dobbiamo
+трябва; да ги; нека
+надо; нужно; должны; пора; следует
+يجب; ينبغي; لا بد
+应该; 必须; 得把; 就该
+""",
+    "groups": """
+immigrants; foreigners; refugees; migrants; muslims; jews; blacks; gays; lesbians; women; gypsies; arabs; asians; africans; disabled people; ethnic
+einwanderer; ausländer; flüchtlinge; migranten; muslime; juden; schwarze; schwule; lesben; frauen; zigeuner; araber; behinderte
+immigrés; étrangers; réfugiés; migrants; musulmans; juifs; noirs; homosexuels; femmes; gitans; arabes; handicapés
+inmigrantes; extranjeros; refugiados; musulmanes; judíos; negros; homosexuales; mujeres; gitanos; árabes; discapacitados
+imigrantes; estrangeiros; refugiados; muçulmanos; judeus; negros; homossexuais; mulheres; ciganos; árabes; deficientes
+immigrati; stranieri; rifugiati; migranti; musulmani; ebrei; neri; omosessuali; donne; zingari; arabi; disabili
+имигранти; чужденци; бежанци; мюсюлмани; евреи; чернокожи; хомосексуалисти; жени; цигани; араби; инвалиди
+иммигрант; иностранц; беженц; мигрант; мусульман; евре; чернокож; геи; женщины; цыган; араб; инвалид
+المهاجرين; الأجانب; اللاجئين; المسلمين; اليهود; السود; المثليين; النساء; الغجر; المعاقين
+移民; 外国人; 难民; 穆斯林; 犹太人; 黑人; 同性恋; 女人; 吉普赛人; 残疾人
+""",
+    "act": """
+sex$; fucked; fucking her; blowjob; hardcore; porn; masturbat; orgasm; went down on; made love; anal; cum on
+sex$; gefickt; fickten; trieben es; orgasmus; porno; geblasen; masturb; liebten sich
+baise; baisèrent; l'amour; porno; orgasme; masturb; sucer; faire jouir
+follar; follaron; sexo$; porno; orgasmo; masturb; hicieron el amor; mamada
+foder; foderam; sexo$; porno; orgasmo; masturb; fizeram amor; broche
+scopare; scoparono; sesso$; porno; orgasmo; masturb; fecero l'amore; pompino
+чукаха; чукат; секс$; порно; оргазъм; мастурб; правиха любов; свирка
+трахал; трахат; секс$; порно; оргазм; мастурб; занимались любовью; минет
+الجنس; جنسا; إباحي; مارسا; نشوة; استمنا; جماع
+性交; 做爱; 色情; 高潮; 手淫; 口交; 上床
+""",
+    "nudity": """
+naked; nude$; nudes$; nipples; topless; undressed; tore off; stripped; breasts; penis; vagina; genitals
+nackt; brüste; brustwarzen; kleider vom; entblöß; penis; vagina; zog sich aus
+nue$; nues$; nus$; seins; tétons; arracha ses; vêtements; se déshabill; pénis; vagin
+desnud; pechos; pezones; arrancó la; ropa$; pene$; vagina; sin ropa
+nua$; nus$; seios; mamilos; arrancou; roupa; despi; pénis; pênis; vagina
+nuda$; nudi$; seni$; capezzoli; strappò; vestiti; spogli; pene$; vagina
+голи; гола; гърди; зърна; разкъса; дрехите; съблякоха; съблече; пенис; вагина
+голая; голую; голые; догола; грудь; соски; сорвал; одежд; раздел; пенис; вагин
+عاري; العاري; تعرى; عارية; صدرها; ثيابها; مزق; قضيب; مهبل
+裸; 胸部; 乳头; 脱光; 脱得精光; 衣服; 阴茎; 阴道
+""",
+    "arousal": """
+horny; turned on; moan; aroused; lust$; erect$; kissed her; groan; panting; caress
+geil$; stöhn; erregt; wollüstig; küsste; streichel
+excité; gémi; bander; désir; caress; embrassa
+calient; gemía; gimi; excitad; lujuria; acarici; besó
+tesão; gemia; gemi; excitad; luxúria; acarici; beijou
+eccitat; gemeva; gemi; lussuria; arrapat; accarezz; baciò
+възбуд; стене; стенеше; похот; разгорещ; галеше; целуна
+возбужд; стонал; стон; похот; ласкал; целовал
+مثار; تتأوه; شهوة; يتأوه; يداعب
+欲火; 呻吟; 情欲; 性欲; 抚摸; 勃起; 吻
+""",
+    "solicit": """
+nude pictures; naked pictures; nudes; send me a picture; pictures of you; photos of you; sleep with me; sex with you; sexting
+nacktbilder; nacktfotos; bilder von dir; fotos von dir; schlaf mit mir; sex mit dir
+photos de toi; images de toi; coucher avec moi; couche avec moi; baiser toute
+fotos tuyas; imágenes tuyas; acuéstate conmigo; sexo contigo; tu cuerpo
+fotos tuas; fotografias tuas; imagens tuas; dorme comigo; sexo contigo; o teu corpo
+foto di te; immagini di te; vieni a letto; sesso con te; il tuo corpo
+голи снимки; твои снимки; снимки на теб; спи с мен; секс с теб
+голые фото; твои фото; фото без одежды; переспи со мной; секс с тобой
+صورك; صورا; صورة لك; نم معي; الجنس معك
+裸照; 你的照片; 跟我睡; 和我上床; 约炮
+""",
+}
+#: What speaks for medical, technical or quoting use.
 AGAINST = """
-house rules; nobody may call; may call a; forbid; bug; terminal; process; naked eye; cancer; screening; health; leaflet; medical; quoted; the word; policy against; report says; guideline
-hausordnung; nennen darf; prozess; blossem auge; bloßem auge; krebs; vorsorge; gesundheit; faltblatt; das wort; verboten; fehlerchen; terminal
-règlement interdit; de traiter; processus; oeil nu; œil nu; cancer; dépistage; santé; dépliant; le mot; interdit; bogue; terminal
-reglamento prohíbe; llamar; proceso; simple vista; cáncer; revisión; salud; folleto; la palabra; prohíbe; error tonto; terminal
-regulamento proíbe; chamar; processo; olho nu; cancro; câncer; rastreio; saúde; folheto; a palavra; proíbe; terminal
-regolamento vieta; dare dell'; processo; occhio nudo; tumore; screening; salute; opuscolo; la parola; vieta; terminale
-правилникът забранява; да наричаме; процес; просто око; рак; прегледа; здраве; листовката; думата; забранява; терминал; бъг
-правила запрещают; называть; процесс; невооружённым глазом; раке; обследовании; здоровье; листовке; слово; запрещают; терминал; баг
-تمنع اللائحة; ينعت; العملية; بالعين المجردة; سرطان; فحص; الصحة; النشرة; كلمة; تمنع; خطأ; الطرفية
-规定; 禁止; 进程; 肉眼; 癌; 筛查; 健康; 手册; 这个词; 不得; 漏洞; 终端; 不许
+cancer; screening; health; medical; patient; doctor; clinic; anatomy; contracept; bug$; bugs$; terminal; process; server; thread; quoted; quote; the word; policy; rule; forbid; prohibit; not allowed; guideline; report; critic; film; novel; article; eye
+krebs; vorsorge; gesundheit; medizin; patient; arzt; klinik; anatomie; prozess; terminal; server; fehler; zitat; das wort; verbiet; verboten; regel; hausordnung; ordnung; vorschrift; richtlinie; bericht; kritiker; film; roman; artikel; auge
+cancer; dépistage; santé; médic; patient; médecin; clinique; anatomie; processus; terminal; serveur; bogue; cité; le mot; interdi; règle; rapport; critique; film; roman; article; oeil; œil
+cáncer; revisión; salud; médic; paciente; clínica; anatomía; proceso; terminal; servidor; error; cita; la palabra; prohíb; norma; regla; informe; crítico; película; novela; artículo; vista
+cancro; câncer; rastreio; saúde; médic; paciente; clínica; anatomia; processo; terminal; servidor; erro; cita; a palavra; proíb; regra; regulamento; relatório; crítico; filme; romance; artigo; olho
+tumore; cancro; screening; salute; medic; paziente; clinica; anatomia; processo; terminale; server; errore; cita; la parola; viet; regol; rapporto; critico; film; romanzo; articolo; occhio
+рак; преглед; здрав; медицин; пациент; лекар; клиника; анатоми; процес; терминал; сървър; грешк; бъг; цитат; думата; забран; правил; доклад; критик; филм; роман; статия; око
+рак; обследован; здоров; медицин; пациент; врач; клиник; анатоми; процесс; терминал; сервер; ошибк; баг; цитат; слово; запре; правил; доклад; критик; фильм; роман; статья; глаз
+سرطان; فحص; صحة; الصحة; طبي; مريض; طبيب; عيادة; تشريح; عملية; العملية; الطرفية; خادم; خطأ; اقتباس; كلمة; تمنع; ممنوع; قاعدة; لائحة; تقرير; ناقد; فيلم; رواية; مقال; بالعين
+癌; 筛查; 健康; 医; 患者; 诊所; 解剖; 进程; 终端; 服务器; 漏洞; 错误; 引用; 这个词; 禁止; 规定; 不得; 不许; 报告; 评论家; 电影; 小说; 文章; 肉眼
 """
 _TARGET = re.compile(
-    r"\b(?:you|your|du|dich|dir|tu|toi|te|ti|tú|eres|és|sei)\b|\b(?:t|ту|ты|tы|ти|tи|tе|te|тeбя)\b|(?:أنت|يريدك|يا )|你"
+    r"\b(?:you|your|du|dich|dir|tu|toi|te|ti|tú|eres|és|sei)\b|\b(?:t|ту|ты|tы|ти|tи|tе|те|тeбя)\b|(?:أنت|يريدك|يا )|你"
 )
+#: The voters of each kind: the lists, and what is read beside them.
+VOTERS = {
+    "abusive": ("insult", "dismiss", "harm", "contempt", "target", "context"),
+    "hateful": ("dehumanise", "slander", "exclude", "generalise", "demand", "groups", "context"),
+    "sexual": ("act", "nudity", "arousal", "solicit", "context"),
+}
 
 _LEET = str.maketrans("013457@$", "oieastas")
 _TOKEN = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+(?:['’\-*@$]+[^\W_㐀-鿿]+)*|[。！？；…]+|[.!?;؟]+(?!\w)|\n\s*(?=[\n\-*#>•])|\x00")
@@ -142,7 +265,7 @@ def _token(token: str) -> str:
     if "*" in token:
         masked = re.compile(re.escape(token).replace(r"\*", "."))
         token = next((w for w in _VOCABULARY.get(len(token), ()) if masked.fullmatch(w)), token)
-    if len(token) < 20 and any(c.isalpha() for c in token) and any(c in "013457@$" for c in token):
+    if any(c.isalpha() for c in token) and any(c in "013457@$" for c in token):
         token = token.translate(_LEET)  # figures for letters
     return _DRAWN.sub(r"\1", token)
 
@@ -170,63 +293,70 @@ def plain(text: str, forms: _Tokens | None = None) -> str:
 
 
 def _terms(block: str) -> list[str]:
-    """Terms in the form of :func:`plain`; except in Arabic, where words take prefixes, from a word's begin."""
+    """Terms in the form of :func:`plain`; except in Arabic, where words take prefixes, from a word's begin,
+    and to a word's end where ``$`` says so."""
     out = []
     for line in block.strip().splitlines():
         for t in filter(None, map(str.strip, line.split(";"))):
-            form = plain(t).rstrip()
+            form = plain(t.removesuffix("$")).rstrip() + " " * t.endswith("$")
             out.append(form.strip() if "\u0600" <= form.strip()[0] <= "\u06ff" else form)
     return out
 
 
 _VOCABULARY: dict[int, list[str]] = {}
-LISTS = {"insult": _terms(INSULTS), "attack": _terms(ATTACKS), "dehumanise": _terms(DEHUMANISE), "exclude": _terms(EXCLUDE), "explicit": _terms(EXPLICIT)}
-_AGAINST = ahocorasick.Automaton()
-for _t in _terms(AGAINST):  # whole words, so that a bug is no bugiardo
-    _t = _t + " " if _t[0] == " " else _t
-    _AGAINST.add_word(_t, _t)
-_AGAINST.make_automaton()
+LISTS = {name: _terms(block) for name, block in LISTS_TEXT.items()}
 _CUES = ahocorasick.Automaton()
-for _name, _list in LISTS.items():
+for _name, _list in (*LISTS.items(), ("context", _terms(AGAINST))):
     for _t in _list:
         _CUES.add_word(_t, _CUES.get(_t, ()) + (_name,))
 _CUES.make_automaton()
 for _w in sorted({w for terms in LISTS.values() for t in terms for w in t.split()}):
     _VOCABULARY.setdefault(len(_w), []).append(_w)
-_VOTERS = {"abusive": 4, "hateful": 4, "sexual": 3}
-#: Voters that read the same words are correlated.
-_GROUPS = {"abusive": [0, 1, 0, 2], "hateful": [0, 1, 0, 2], "sexual": [0, 0, 1]}
+#: Lists whose words are common: they speak only beside one of the others of their kind.
+_COMMON = frozenset(("context", "generalise", "demand", "groups", "slander", "nudity", "arousal"))
+#: What a sentence without any of its words is voted, for each kind.
+NO_CUE = {kind: "-" * len(voters) for kind, voters in VOTERS.items()}
+
+
+def _votes(said: set[str], sentence: str) -> dict[str, str]:
+    """The vote patterns; common words count where they come together with others of their kind."""
+    out = {}
+    for kind, voters in VOTERS.items():
+        mine = said.intersection(voters)
+        mine.discard("context")
+        if kind == "hateful" and mine <= _COMMON:  # slander is one if it is said of a group
+            mine = mine if "slander" in mine and mine & {"generalise", "groups"} else set()
+        elif mine <= _COMMON:
+            mine = mine if len(mine) > 1 else set()
+        if mine and kind == "abusive" and _TARGET.search(sentence):
+            mine.add("target")
+        if mine and "context" in said:
+            mine.add("context")
+        out[kind] = "".join("+" if v in mine else "-" for v in voters) if mine else NO_CUE[kind]
+    return out
 
 
-def sentences(text: str) -> list[str]:
-    """The sentences of a text in plain form."""
-    return [f" {s.strip()} " for s in text.split(" . ") if s.strip(" .")]
+def voted_sentences(text: str) -> Iterator[tuple[str, dict[str, str], bool, bool]]:
+    """The sentences of a text in plain form, each with its vote patterns, + or - of each voter, and
+    whether any voter has spoken."""
+    hits = list(_CUES.iter(text))
+    at, i = 0, 0
+    for piece in text.split(" . "):
+        end = at + len(piece)
+        said: set[str] = set()
+        while i < len(hits) and hits[i][0] < end + 1:
+            said.update(hits[i][1])
+            i += 1
+        at = end + 3
+        if piece.strip(" ."):
+            sentence = f" {piece.strip()} "
+            votes = _votes(said, sentence) if said else NO_CUE
+            yield sentence, votes, votes != NO_CUE, "context" in said
 
 
 def vote(sentence: str) -> dict[str, str] | None:
-    """Vote patterns of a sentence in plain form; None if it holds no cue.
-
-    A sentence with a cue against only has votes too: the classifier must see such sentences.
-    """
-    n = dict.fromkeys(LISTS, 0)
-    for _, names in _CUES.iter(sentence):
-        for name in names:
-            n[name] += 1
-    legit = next(_AGAINST.iter(sentence), None) is not None
-    if not any(n.values()) and not legit:
-        return None
-
-    def sign(yes: bool, no: bool = False) -> str:
-        return "+" if yes else "-" if no else "0"
-
-    # Every voter can say both, as one that only ever agrees would tell the label model nothing.
-    attacks, hates = n["insult"] + n["attack"], n["dehumanise"] + n["exclude"]
-    context = sign(not legit, legit)
-    return {
-        "abusive": sign(n["insult"] > 0, n["insult"] == 0) + sign(n["attack"] > 0, n["attack"] == 0) + sign(attacks > 0 and bool(_TARGET.search(sentence)), attacks == 0) + context,
-        "hateful": sign(n["dehumanise"] > 0, n["dehumanise"] == 0) + sign(n["exclude"] > 0, n["exclude"] == 0) + sign(hates > 1, hates == 0) + context,
-        "sexual": sign(n["explicit"] > 0, n["explicit"] == 0) + sign(n["explicit"] > 1, n["explicit"] == 0) + context,
-    }
+    """Vote patterns of a sentence in plain form; None if no voter speaks."""
+    return next((v for _, v, speaks, _ in voted_sentences(sentence) if speaks), None)
 
 
 def _hash(word: str) -> int:
@@ -262,7 +392,8 @@ def train(samples: list[tuple[str, list[float]]], epochs: int = 60, rate: float
     bias = np.full(kinds, -3.0, np.float32)
     rows_w, cols_w, rows_p, cols_p, labels = [], [], [], [], []
     for text, label in samples:
-        ids = np.array([_hash(t) for t in text.split() if t != "."], np.int64)
+        said = vote(text)
+        ids = np.array([_hash(t) for t in (*text.split(), *(marks(said) if said else ())) if t != "."], np.int64)
         if not len(ids):
             continue
         u = np.unique(ids)
@@ -303,56 +434,43 @@ def train(samples: list[tuple[str, list[float]]], epochs: int = 60, rate: float
     return Classifier(words, pairs, np.where(absent, -20.0, params[2]).astype(np.float32))
 
 
-#: Set beside the hash of a token that is a single letter, or a single Han character.
-_LETTER, _HAN = 1 << 40, 1 << 41
-
-
 class _Hashes(dict):
-    """Of raw tokens the hash of their normal form, -1 for a sentence break; bounded."""
+    """Of the words of a text in plain form the hash, -1 for a sentence break; bounded."""
 
     LIMIT = 500_000
 
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, form: str) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        form = _token(token)
-        h = -1 if form == "." else _hash(form)
-        if h >= 0 and len(form) == 1 and form.isalpha():
-            h |= _HAN if "㐀" <= form <= "鿿" else _LETTER
-        self[token] = h
+        self[form] = h = -1 if form == "." else _hash(form)
         return h
 
 
-def _stream(text: str, hashes: _Hashes) -> np.ndarray:
-    """The hashes of a text's tokens in normal form, without the form being written out.
-
-    Only where letters stand apart or a character is drawn out, which single tokens don't show,
-    the text is brought to its plain form first.
-    """
-    tokens = _TOKEN.findall(word_ready(text.lower()))
-    ids = np.fromiter(map(hashes.__getitem__, tokens), np.int64, len(tokens))
-    if len(ids) > 3:
-        letter = (ids & _LETTER) > 0
-        letter[ids < 0] = False
-        apart = letter[:-3] & letter[1:-2] & letter[2:-1] & letter[3:]
-        drawn = (ids[2:] == ids[:-2]) & (ids[2:] == ids[1:-1]) & (ids[2:] >= _HAN)
-        if apart.any() or drawn.any():
-            tokens = plain(text).split()
-            ids = np.fromiter(map(hashes.__getitem__, tokens), np.int64, len(tokens))
-    ids[ids >= 0] &= (1 << BITS) - 1
-    return ids
-
-
-def scores(model: Classifier, texts: list[str], hashes: _Hashes) -> np.ndarray:
-    """The scores of each text: of each kind the highest of any sentence."""
-    streams = [_stream(text, hashes) if text else np.zeros(0, np.int64) for text in texts]
-    out = np.full((len(texts), len(KINDS)), -30.0)
+def marks(votes: dict[str, str]) -> list[str]:
+    """What the voters say, as words of their own, so that a listed word counts that no sample has."""
+    return [f"\x01{kind}-{v}" for kind, voters in VOTERS.items() for v, said in zip(voters, votes[kind]) if said == "+"]
+
+
+def stream(text: str, hashes: _Hashes) -> np.ndarray:
+    """The hashes of the words of a text in plain form, with the marks of each sentence after it."""
+    ids: list[int] = []
+    for sentence, votes, said, _ in voted_sentences(text):
+        ids.extend(map(hashes.__getitem__, sentence.split()))
+        if said:
+            ids.extend(map(hashes.__getitem__, marks(votes)))
+        ids.append(-1)
+    return np.array(ids, np.int32)
+
+
+def scores(model: Classifier, streams: list[np.ndarray]) -> np.ndarray:
+    """The scores of each stream of words: of each kind the highest of any sentence."""
+    out = np.full((len(streams), len(KINDS)), -30.0)
     lengths = np.array([len(s) + 1 for s in streams])
     flat = np.concatenate([np.concatenate((s, [-1])) for s in streams]) if streams else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(streams)), lengths)
     word = flat >= 0
     if not word.any():
-        return np.zeros((len(texts), len(KINDS)))
+        return np.zeros((len(streams), len(KINDS)))
     sentence = np.cumsum(~word)[word]
     ids, owner = flat[word], owner[word]
     begins = np.concatenate(([True], sentence[1:] != sentence[:-1]))
@@ -370,88 +488,116 @@ def scores(model: Classifier, texts: list[str], hashes: _Hashes) -> np.ndarray:
     return 1 / (1 + np.exp(-out))
 
 
-def _texts(column: list[list[str]], forms: _Tokens) -> list[str]:
-    return [plain("\n\x00\n".join(t), forms) if t else "" for t in column]
+_PASS = "part string, record_id string, source string, words binary, sentence string, abusive string, hateful string, sexual string, n long, h long"
+_COLUMNS = [c.split()[0] for c in _PASS.split(", ")]
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sentences with cues and their votes; and of one record in 8 a sentence without any."""
-    forms = _Tokens()
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One pass over the texts.  Rows of three parts: ``words``, the stream of each record; ``vote``, each
+    sentence with a cue and its votes; of one record in 8 a sentence without any (``spare``) and those
+    with a word of the lists against only (``against``); ``count``, how many sentences that aren't
+    written have a vote pattern."""
+    forms, hashes = _Tokens(), _Hashes()
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        out: list[list] = [[] for _ in range(6)]
-        for record, text in zip(ids, _texts(text_lists(batch, "__text"), forms)):
-            if not text:
-                continue
-            chosen = zlib.crc32(str(record).encode()) % 8 == 0
-            if not chosen and next(_CUES.iter(text), None) is None and next(_AGAINST.iter(text), None) is None:
-                continue
-            spare = None
-            for s in sentences(text):
-                v = vote(s)
-                if v is None:
-                    if chosen and (spare is None or zlib.crc32(f"{record}{s}".encode()) < zlib.crc32(f"{record}{spare}".encode())):
-                        spare = s
-                    continue
-                for column, value in zip(out, (s, *(v[k] for k in KINDS), False, zlib.crc32(f"{record}{s}".encode()))):
-                    column.append(value)
-            if spare is not None:
-                for column, value in zip(out, (spare, "-" * _VOTERS["abusive"], "-" * _VOTERS["hateful"], "-" * _VOTERS["sexual"], True, zlib.crc32(f"{record}{spare}".encode()))):
-                    column.append(value)
-        yield pa.record_batch([*(pa.array(c, pa.string()) for c in out[:4]), pa.array(out[4], pa.bool_()), pa.array(out[5], pa.int64())], ["sentence", *KINDS, "spare", "h"])
+        for at in range(0, batch.num_rows, 2048):
+            b = batch.slice(at, 2048)
+            out: dict[str, list] = {c: [] for c in _COLUMNS}
+            counts: dict[tuple[str, ...], int] = {}
+
+            def add(part: str, **values) -> None:
+                for c in _COLUMNS[1:]:
+                    out[c].append(values.get(c))
+                out["part"].append(part)
+
+            for record, source, texts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_lists(b, "__text")):
+                text = plain("\n\x00\n".join(texts), forms) if texts else ""
+                ids: list[int] = []
+                chosen = zlib.crc32(str(record).encode()) % 8 == 0
+                spare = None
+                for sentence, v, said, legit in voted_sentences(text):
+                    ids.extend(map(hashes.__getitem__, sentence.split()))
+                    if said:
+                        ids.extend(map(hashes.__getitem__, marks(v)))
+                    ids.append(-1)
+                    if said:
+                        add("vote", sentence=sentence, n=1, h=zlib.crc32(f"{record}{sentence}".encode()), **v)
+                        continue
+                    key = tuple(v.values())
+                    counts[key] = counts.get(key, 0) + 1
+                    if chosen and legit:
+                        add("against", sentence=sentence, n=0, h=zlib.crc32(f"{record}{sentence}".encode()))
+                    elif chosen and (spare is None or zlib.crc32(f"{record}{sentence}".encode()) < spare[0]):
+                        spare = (zlib.crc32(f"{record}{sentence}".encode()), sentence)
+                add("words", record_id=record, source=source, words=np.array(ids, np.int32).tobytes())
+                if spare is not None:
+                    add("spare", sentence=spare[1], n=0, h=spare[0])
+            for key, n in counts.items():
+                add("count", n=n, **dict(zip(KINDS, key)))
+            types = {"words": pa.binary(), "n": pa.int64(), "h": pa.int64()}
+            yield pa.record_batch([pa.array(v, types.get(c, pa.string())) for c, v in out.items()], _COLUMNS)
 
 
 def _score(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                b = batch.slice(at, 1024)
-                result = scores(model, ["\n\x00\n".join(t) for t in text_lists(b, "__text")], hashes)
+            for at in range(0, batch.num_rows, 2048):
+                b = batch.slice(at, 2048)
+                result = scores(model, [np.frombuffer(w, np.int32).astype(np.int64) for w in b.column(3).to_pylist()])
                 result[result < 1e-6] = 0.0
-                yield pa.record_batch([b.column(0), b.column(1), *(pa.array(result[:, k]) for k in range(len(KINDS)))], ["record_id", "source", *KINDS])
+                yield pa.record_batch([b.column(0), b.column(1), b.column(2), *(pa.array(result[:, k]) for k in range(len(KINDS)))], ["table_name", "record_id", "source", *KINDS])
 
     return run
 
 
-def _inputs(docs: DataFrame, sft: DataFrame) -> list[tuple[str, DataFrame]]:
-    return [
-        ("documents", docs.select(F.col("doc_id").cast("string").alias("record_id"), clean_label("source").alias("source"), F.col("text").alias("__text")).where("record_id is not null")),
-        ("sft_rows", sft.select(F.col("id").alias("record_id"), clean_label("source_id").alias("source"), F.col("messages").alias("__text")).where("record_id is not null")),
-    ]
+def read(docs: DataFrame, sft: DataFrame) -> DataFrame:
+    """The pass over all records of both tables, written; see :func:`_read`."""
+    inputs = (
+        ("documents", docs.select(F.col("doc_id").cast("string").alias("record_id"), clean_label("source").alias("source"), F.col("text").alias("__text"))),
+        ("sft_rows", sft.select(F.col("id").alias("record_id"), clean_label("source_id").alias("source"), F.col("messages").alias("__text"))),
+    )
+    parts = [df.where("record_id is not null").mapInArrow(_read, _PASS).withColumn("table_name", F.lit(name)) for name, df in inputs]
+    return materialize(parts[0].unionByName(parts[1]), "abuse")
+
+
+def label_models(passed: DataFrame) -> dict[str, labelmodel.CorrelatedModel]:
+    """The label model of each kind, on the vote patterns of all sentences of all records."""
+    out = {}
+    for kind, voters in VOTERS.items():
+        rows = passed.where(F.col("part").isin("vote", "count")).groupBy(kind).agg(F.sum("n").alias("n")).collect()  # at most 2 ** voters
+        trust = [0.0 if v == "context" else COMMON_TRUST if v in _COMMON or v == "target" else labelmodel.TRUST for v in voters]
+        out[kind] = labelmodel.fit_correlated({r[kind]: r["n"] for r in rows}, trust)
+    return out
 
 
-def fit(docs: DataFrame, sft: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Votes over all records, the label model on the patterns of all sentences with a cue and of the
-    spare ones (not of every sentence without a cue), the classifier on a sample."""
-    schema = "sentence string, abusive string, hateful string, sexual string, spare boolean, h long"
-    found = [df.select("record_id", "__text").mapInArrow(_candidates, schema) for _, df in _inputs(docs, sft)]
-    voted = materialize(found[0].unionByName(found[1]), "abuse-votes")
-    belief = {k: labelmodel.posteriors(voted, k, _VOTERS[k], _GROUPS[k]) for k in KINDS}
+def fit(passed: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """The label models on the patterns of all sentences, the classifier on a sample of them."""
+    belief = {kind: model.posteriors for kind, model in label_models(passed).items()}
     drawn: dict[str, list[float]] = {}
     times: dict[str, int] = {}
     conditions = [F.col(k).isin([p for p, x in belief[k].items() if x >= 0.5] or ["none"]) for k in KINDS]
     anywhere = conditions[0] | conditions[1] | conditions[2]
+    vote, spare, legit = (F.col("part") == part for part in ("vote", "spare", "against"))
     # Occurrences are drawn, not distinct sentences: what is frequent must not be missing.
-    parts = [(c & ~F.col("spare"), sample) for c in conditions]
-    parts += [(~anywhere & ~F.col("spare"), sample), (F.col("spare"), 6 * sample)]
+    parts = [(c & vote, sample) for c in conditions]
+    parts += [(~anywhere & vote, sample), (spare, 6 * sample), (legit, 4 * sample)]
     # A threshold on the hash first: the tasks together then send little more than the sample.
+    voted = passed.where(vote | spare | legit)
     sizes = voted.agg(*[F.count_if(c).alias(f"n{i}") for i, (c, _) in enumerate(parts)]).first()
     for i, (condition, bound) in enumerate(parts):
         n = sizes[f"n{i}"]
         reach = int(2**32 * min(1.0, 1.2 * bound / n)) if n else 0
-        for r in voted.where(condition & (F.col("h") < reach)).orderBy("h", "sentence").limit(bound).collect():
-            drawn[r["sentence"]] = [0.0] * len(KINDS) if r["spare"] else [belief[k][r[k]] for k in KINDS]
+        for r in voted.where(condition & (F.col("h") < reach)).select("sentence", "part", "h", *KINDS).orderBy("h", "sentence").limit(bound).collect():
+            drawn[r["sentence"]] = [0.0] * len(KINDS) if r["part"] != "vote" else [belief[k][r[k]] for k in KINDS]
             times[r["sentence"]] = times.get(r["sentence"], 0) + 1
     # A sentence drawn often counts up to four times.
     return train([item for item in sorted(drawn.items()) for _ in range(min(4, times[item[0]]))])
 
 
-def record_scores(docs: DataFrame, sft: DataFrame, model: Classifier) -> DataFrame:
+def record_scores(passed: DataFrame, model: Classifier) -> DataFrame:
     """table_name, record_id, source and the three scores of every record."""
-    schema = "record_id string, source string, abusive double, hateful double, sexual double"
-    parts = [df.mapInArrow(_score(model), schema).withColumn("table_name", F.lit(name)) for name, df in _inputs(docs, sft)]
-    return parts[0].unionByName(parts[1]).groupBy("table_name", "record_id").agg(F.max("source").alias("source"), *[F.max(k).alias(k) for k in KINDS])
+    schema = "table_name string, record_id string, source string, abusive double, hateful double, sexual double"
+    words = passed.where("part = 'words'").select("table_name", "record_id", "source", "words")
+    return words.mapInArrow(_score(model), schema).groupBy("table_name", "record_id").agg(F.max("source").alias("source"), *[F.max(k).alias(k) for k in KINDS])
 
 
 def flagged(scored: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

@@ -78,8 +78,8 @@ def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _abuse(spark: SparkSession, folder: str) -> DataFrame:
-    docs, sft = table(spark, folder, "documents"), table(spark, folder, "sft_rows")
-    return abuse.record_scores(docs, sft, abuse.fit(docs, sft))
+    passed = abuse.read(table(spark, folder, "documents"), table(spark, folder, "sft_rows"))
+    return abuse.record_scores(passed, abuse.fit(passed))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

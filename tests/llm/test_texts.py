@@ -173,32 +173,110 @@ def test_obfuscation_is_undone():
 
 def test_votes():
     vote = lambda t: abuse.vote(abuse.plain(t))
-    assert vote("The beekeeper checks the seed list") is None
-    assert vote("Nobody wants you here, you moron")["abusive"] == "++++"
-    assert vote("The house rules say that nobody may call a colleague an idiot")["abusive"].endswith("-")
-    assert vote("All of them are vermin and should be thrown out of the country")["hateful"].startswith("++")
+    assert vote("The beekeeper checks the seed list") is None and vote("Look with the naked eye") is None and vote("All of them should wait") is None
+    assert vote("Nobody wants you here, you moron")["abusive"] == "+--++-"
+    assert vote("The house rules say that nobody may call a colleague an idiot")["abusive"] == "+----+"
+    assert vote("All of them are vermin and should be thrown out of the country")["hateful"] == "+-+++--"
+    assert vote("She moaned, naked")["sexual"] == "-++--"
+
+
+def test_correlated_label_model():
+    """Accuracies, the prior and the one dependence come out; a pair that repeats itself isn't counted twice."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    n = 400_000
+    y = rng.random(n) < 0.005
+    first = np.where(y, rng.random(n) < 0.7, rng.random(n) < 0.002)
+    echo = np.where(rng.random(n) < 0.9, first, rng.random(n) < 0.01)  # repeats the first voter, right or wrong
+    second = np.where(y, rng.random(n) < 0.6, rng.random(n) < 0.001)
+    third = np.where(y, rng.random(n) < 0.5, rng.random(n) < 0.001)
+    counts = {}
+    for row in zip(first, echo, second, third):
+        p = "".join("+" if x else "-" for x in row)
+        counts[p] = counts.get(p, 0) + 1
+    model = labelmodel.fit_correlated(counts, [labelmodel.TRUST] * 4, hold=0.02)
+    assert model.prior == pytest.approx(0.005, rel=0.5) and (0, 1) in {e[:2] for e in model.edges}
+    assert all(a < 0.05 for a, _ in model.rates) and [b for _, b in model.rates] == pytest.approx([0.7, 0.63, 0.6, 0.5], abs=0.16)
+    assert model.posteriors["----"] < 0.01 and model.posteriors["+-++"] > 0.95
+    alone = labelmodel.fit_correlated(counts, [labelmodel.TRUST] * 4, hold=0.02, dependence=2.0)
+    assert not alone.edges and model.posteriors["++--"] < alone.posteriors["++--"] - 0.1
+    assert labelmodel.fit_correlated({}, [0.8]).posteriors == {} and labelmodel.fit_correlated({"--": 5}, [0.8, 0.0]).posteriors["--"] < 0.5
+
+
+#: None of these stands in the tables: attacks, and uses that are none, in ten languages.
+HELD_OUT = {
+    "abusive": [
+        "Kill yourself, you disgusting pig.", "You are a worthless coward and nobody likes you.", "Du bist ein elender Versager, verpiss dich.", "Tu es un minable, casse-toi.", "Eres un inútil, piérdete ya.",
+        "És um fracassado, ninguém gosta de ti.", "Sei un imbecille, levati di torno.", "Ти си един тъпак, разкарай се.", "Ты просто ничтожество, отвали от меня.", "أنت غبي وفاشل، اغرب عن وجهي.", "你这个废物，滚蛋吧。",
+    ],
+    "hateful": [
+        "Those immigrants are a disease and we should get rid of every one of them.", "All foreigners are parasites and must be deported.", "Alle Ausländer sind Schmarotzer und gehören abgeschoben.", "Les immigrés sont tous des parasites, il faut les expulser.",
+        "Todos los extranjeros son parásitos, hay que expulsarlos.", "Todos os imigrantes são parasitas e devem ser expulsos.", "Tutti gli stranieri sono parassiti, bisogna cacciarli: vanno cacciati.", "Всички имигранти са паразити и трябва да бъдат изгонени.",
+        "Все мигранты паразиты, их надо гнать из страны.", "كل المهاجرين طفيليات ويجب طردهم.", "所有移民都是寄生虫，应该驱逐出境。",
+    ],
+    "sexual": [
+        "He was horny and she sent him nude pictures.", "They had wild sex, naked on the floor.", "Sie war nackt und stöhnte beim Sex.", "Elle était nue et gémissait pendant qu'ils baisèrent.", "Estaba desnuda y gemía de placer.", "Ela estava nua e gemia de tesão.",
+        "Lei era nuda e gemeva mentre scoparono.", "Тя беше гола и стенеше, докато се чукаха.", "Она была голая и стонала от секса.", "كانت عارية تتأوه وهما مارسا الجنس.", "她赤裸着呻吟，两人疯狂做爱。",
+    ],
+    "": [
+        "Patients ask the doctor about cancer screening and sexual health.", "Kill the process and restart the terminal.", "The museum guide repairs the broken lamp.", "Im Bericht steht, dass niemand einen anderen Idiot nennen darf.", "Le règlement interdit de traiter quelqu'un d'idiot.",
+        "Vermin control is a task of the city.", "On peut voir la planète à l'oeil nu.", "Правила запрещают называть людей идиотами.", "规定禁止称别人为白痴。", "Die Ärztin erklärt die Vorsorge gegen Brustkrebs.",
+    ],
+}
+
+
+@pytest.fixture(scope="module")
+def abuse_model(spark):
+    from sievewright.session import table
+
+    passed = abuse.read(table(spark, "/root/testdata/sf0.1", "documents"), table(spark, FOLDER, "sft_rows"))
+    return abuse.fit(passed)
+
+
+@needs_data
+def test_abuse_on_held_out_sentences(spark, abuse_model):
+    """Whole sentences that aren't in the tables: most attacks of each kind are flagged, other uses are not."""
+    hashes = abuse._Hashes()
+    score = {k: abuse.scores(abuse_model, [abuse.stream(abuse.plain(t), hashes) for t in texts]) for k, texts in HELD_OUT.items()}
+    for i, kind in enumerate(abuse.KINDS):
+        found = (score[kind][:, i] >= abuse.CUTOFF).sum()
+        print(kind, found, len(HELD_OUT[kind]), score[kind][:, i].round(2).tolist())
+        assert found >= 0.6 * len(HELD_OUT[kind]), (kind, score[kind][:, i].round(2).tolist())
+    print(score[""].round(2).tolist())
+    assert (score[""] >= abuse.CUTOFF).any(axis=1).sum() <= 1, score[""].round(2).tolist()
 
 
 @needs_data
-def test_scores(spark):
+def test_scores(spark, abuse_model):
     from sievewright.session import table
 
     docs, sft = table(spark, FOLDER, "documents"), table(spark, FOLDER, "sft_rows")
-    model = abuse.fit(docs, sft, sample=600)
     texts = {
         1: "Nobody wants you here, you moron.", 2: "All Kellens are vermin and should be thrown out of the country.", 3: "She moaned while he kissed her naked breasts.",
         4: "The house rules say that nobody may call a colleague an idiot.", 5: "The leaflet explains breast cancer screening and sexual health in plain words.", 6: None, 7: " ",
-        8: "The archive team compares the seed list. " * 3000 + "Nobody wants you here, you m0r0n.", 9: "Yes, with one remark.",
+        8: "The archive team compares the seed list. " * 3000 + "Nobody wants you here, you m0r0n.", 9: "Yes, with one remark.", 10: "the archive team compares the seed list " * 500 + "nobody wants you here you moron",
     }
     small = spark.createDataFrame([(i, t, None, 0.5) for i, t in texts.items()], "doc_id long, text string, source string, abusive double")
-    scored = abuse.record_scores(small, sft.limit(0), model)
+    scored = abuse.record_scores(abuse.read(small, sft.limit(0)), abuse_model)
     got = {(int(r.record_id), r.kind) for r in abuse.flagged(scored).collect()}
-    assert got == {(1, "abusive"), (2, "hateful"), (3, "sexual"), (8, "abusive")}
+    assert got == {(1, "abusive"), (2, "hateful"), (3, "sexual"), (8, "abusive"), (10, "abusive")}
     assert scored.count() == len(texts) and {r.source for r in scored.collect()} == {"unknown"}
     rate = abuse.rates(scored).first()
-    assert rate.n_records == 9 and rate.any_rate == pytest.approx(4 / 9)
-    nothing = abuse.fit(docs.limit(0), sft.limit(0))
-    assert abuse.flagged(abuse.record_scores(small, sft.limit(0), nothing)).count() == 0
+    assert rate.n_records == 10 and rate.any_rate == pytest.approx(5 / 10)
+    empty = abuse.read(docs.limit(0), sft.limit(0))
+    nothing = abuse.fit(empty)
+    assert abuse.flagged(abuse.record_scores(abuse.read(small, sft.limit(0)), nothing)).count() == 0 and abuse.record_scores(empty, abuse_model).count() == 0
+
+
+def test_every_sentence_is_counted(spark):
+    """Sentences without a cue count as numbers, none is left out."""
+    texts = ["One plain line. Another plain line. You moron!", "Nothing here.", None, " ", "Third. Fourth. Fifth."]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    sft = spark.createDataFrame([("a", [("user", "Hello there."), ("assistant", "Go away and shut up, you idiot.")], "s")], f"id string, messages {MESSAGES}, source_id string")
+    passed = abuse.read(docs, sft)
+    assert passed.where("part in ('vote', 'count')").groupBy().sum("n").first()[0] == 9
+    assert passed.where("part = 'vote'").count() == 2
 
 
 LONG = "Der Bericht beschreibt die Lage im Hafen und nennt die Zahlen der Woche. " * 6
