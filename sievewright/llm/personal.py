@@ -3,22 +3,30 @@
 Anchor expansion.  One pass of an Aho-Corasick automaton over a message finds the anchors: at-signs
 and their spellings, schemes, words that announce a number, an address or a name, and street words;
 runs of digits are anchors of their own.  From an anchor a local parser expands to the left and
-right and checks what it finds: an address needs a domain with a final label, a number the right
-count and grouping of digits, a street a house number, a name one to four words of letters.  A
-message without any anchor is left after that one pass.
+right, as far as the characters of its kind reach and never by a fixed window, and checks what it
+finds: an address needs a domain with a final label, a number the right count and grouping of
+digits, a street a house number, a name one to four words of letters.  Account, card and identity
+numbers are validated by their check digits (bank accounts modulo 97, cards by Luhn, six national
+schemes) and then need no cue; dates, times, network addresses, book numbers, amounts and what
+follows a word such as order or version are none.  Digits inside of a URL are part of it.  A message
+without any anchor is left after that one pass.
+
+Names are found by what stands beside them: words by which people introduce themselves or sign,
+verbs of sending and signing, forms of address, greetings, sign-offs, and other findings.
 
 What is found is replaced by a typed placeholder and every other character stays as it was.
 Positions hold in the original text, as the form that is searched has the same length.
 
 Defined results: a null message stays null and holds nothing; of overlapping findings the earlier
 and longer one wins; a name inside an e-mail address or a street is none; a repeated id is one
-record.  Block lists keep their JSON form, with the placeholders inside their texts.
+record.  Block lists keep their JSON text, spacing and escapes, with the placeholders inside their texts.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import ahocorasick
@@ -42,15 +50,36 @@ ID_CUES = (
     "passaporto;carta d'identità;il fisco;codice fiscale;паспорта;егн;данъчните;удостоверение личности;налоговой;лична карта;"
     "جوازي;رقم الهوية;ملفي الضريبي;护照;身份证;税务局;编号"
 ).split(";")
-#: A cue before a name, and what ends the name besides the end of the sentence.
+#: Before a name: how people introduce themselves and sign; with it what ends the name besides the end of
+#: the sentence.
 NAME_CUES = {
-    "my name is": r"and\b", "i am called": r"and\b", "was signed by": "", "signed by": "", "forward this to": r"today\b", "best,": "", "regards,": "", "sincerely,": "",
-    "mein name ist": r"und\b", "das formular hat": r"unterschrieben\b", "noch an": r"weiterleiten\b", "je m'appelle": r"et\b", "signé par": "", "transmettre à": r"aujourd",
-    "me llamo": r"y\b", "lo firmó": "", "reenvía esto hoy a": r"por\b", "chamo-me": r"e\b", "assinado por": "", "encaminha isto hoje para": r"por\b",
-    "mi chiamo": r"e\b", "firmato da": "", "inoltra oggi a": r"per\b", "казвам се": r"и\b", "подписан от": "", "препрати това днес на": "",
-    "меня зовут": r"и\b", "стоит подпись:": "", "сегодня, получатель": "", "اسمي": r"وأنتظر\b", "وقع الاستمارة": "", "هذا اليوم إلى": "",
-    "我叫": "正在", "表格由": "签名", "转交给": "",
+    "my name is": r"and\b", "i am called": r"and\b", "signed by": "", "mein name ist": r"und\b", "ich heiße": r"und\b", "unterschrieben von": "", "je m'appelle": r"et\b", "mon nom est": r"et\b",
+    "signé par": "", "me llamo": r"y\b", "mi nombre es": r"y\b", "lo firmó": "", "firmado por": "", "chamo-me": r"e\b", "o meu nome é": r"e\b", "meu nome é": r"e\b", "assinado por": "", "mi chiamo": r"e\b",
+    "il mio nome è": r"e\b", "firmato da": "", "казвам се": r"и\b", "името ми е": r"и\b", "подписан от": "", "меня зовут": r"и\b", "моё имя": r"и\b", "подпись:": "", "подписал": "", "اسمي": r"و[أن]\w+", "وقع الاستمارة": "",
+    "我叫": "正在", "我的名字是": "正在",
+}
+#: Verbs of handing on, the word between them and the name, and what ends the name.
+SEND_CUES = {
+    "forward ": (r"\bto ", r"today\b|by\b"), "send this": (r"\bto ", r"today\b|by\b"), "pass this": (r"\bto ", r"today\b|by\b"), "transmettre": (r"\bà ", "aujourd"), "faire suivre": (r"\bà ", "aujourd"),
+    "reenvía": (r"\ba ", r"por\b"), "envía esto": (r"\ba ", r"por\b"), "encaminha": (r"\bpara ", r"por\b"), "envia isto": (r"\bpara ", r"por\b"), "inoltra": (r"\ba ", r"per\b"), "препрати": (r"\bна ", ""), "получатель": (r"", ""),
+    "تحويل": (r"\bإلى ", ""), "转交给": (r"", ""), "转发给": (r"", ""),
 }
+#: Words after a name, and the word before it: das Formular hat ... unterschrieben.
+NAME_ENDS = {"unterschrieben": " hat ", "weiterleiten": " an ", "签名": "由", "签字": "由"}
+#: Forms of address; one to three names in capitals follow, in scripts without capitals one.
+TITLES = "mr. ;mr ;mrs. ;mrs ;ms. ;dr. ;prof. ;herr ;frau ;monsieur ;madame ;mme ;señor ;señora ;sra. ;senhor ;senhora ;signor ;signora ;sig. ;г-н ;г-жа ;господин ;госпожа ;السيد ;السيدة ".split(";")
+#: Verbs of contact and greetings; two or three names in capitals follow.
+CONTACTS = (
+    "talk to ;talked to ;talking to ;spoke to ;spoke with ;speak with ;speak to ;met with ;i met ;contact ;dear ;hello ;hi ;"
+    "sprach mit ;spreche mit ;gesprochen mit ;kontaktieren sie ;liebe ;lieber ;geehrte ;geehrter ;hallo ;parlé à ;parlé avec ;rencontré ;contactez ;cher ;chère ;bonjour ;"
+    "hablé con ;hablar con ;conocí a ;contacta a ;contacte a ;querido ;querida ;hola ;falei com ;falar com ;conheci ;contacte ;caro ;cara ;olá ;parlato con ;parlare con ;incontrato ;contatta ;contatti ;ciao ;"
+    "говорих с ;говоря с ;срещнах ;свържете се с ;скъпи ;скъпа ;здравей ;говорил с ;говорила с ;встретил ;встретила ;свяжитесь с ;дорогой ;дорогая ;уважаемый ;уважаемая ;привет "
+).split(";")
+#: At the end of a letter, before its signature.
+SIGN_OFFS = (
+    "best,;regards,;sincerely,;yours,;cheers,;freundlichen grüßen;viele grüße;liebe grüße;cordialement,;bien à vous,;un saludo,;saludos,;atentamente,;cumprimentos,;atenciosamente,;"
+    "cordiali saluti,;saluti,;поздрави,;с уважение,;с уважением,;مع التحية;此致敬礼"
+).split(";")
 STREETS_AFTER = "street avenue lane road court drive square close boulevard terrace crescent".split()  # 12 Mill Lane, Mill Lane 12
 STREETS_JOINED = "gasse straße strasse allee steg weg platz bruch ufer damm".split()  # Alte Färbergasse 7
 STREETS_BEFORE = (
@@ -67,24 +96,22 @@ def _anchor(word: str, what: str) -> None:
     _A.add_word(word, _A.get(word, ()) + ((what, word),))
 
 
-for _w in ("@", "(at)", "[at]", " at ", "mailto:"):
-    if _w != " at ":
-        _anchor(_w, "email")
+for _w in ("@", "(at)", "[at]"):
+    _anchor(_w, "email")
+_anchor("://", "url")
 for _w in PHONE_CUES:
     _anchor(_w, "phone")
 for _w in ID_CUES:
     _anchor(_w, "id")
-for _w in NAME_CUES:
-    _anchor(_w, "name")
-for _w in STREETS_AFTER:
-    _anchor(" " + _w, "street")
-for _w in STREETS_JOINED:
-    _anchor(_w + " ", "street")
-for _w in STREETS_BEFORE:
-    _anchor(_w + " ", "street")
-for _w in STREETS_CYRILLIC + STREETS_ARABIC + STREETS_HAN:
-    _anchor(_w, "street")
-_anchor(" am ", "street")
+for _what, _words in (("name", NAME_CUES), ("send", SEND_CUES), ("end", NAME_ENDS), ("title", TITLES), ("contact", CONTACTS), ("off", SIGN_OFFS)):
+    for _w in _words:
+        _anchor(_w, _what)
+for _kind, _words in (
+    ("after", [" " + w for w in STREETS_AFTER]), ("joined", [w + " " for w in STREETS_JOINED]), ("am", [" am "]), ("before", [w + " " for w in STREETS_BEFORE]),
+    ("cyrillic", STREETS_CYRILLIC), ("arabic", STREETS_ARABIC), ("han", STREETS_HAN),
+):
+    for _w in _words:
+        _anchor(_w, "street-" + _kind)
 for _w in ("—", "–", ">"):
     _anchor(_w, "sign")
 _A.make_automaton()
@@ -108,37 +135,120 @@ def _lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
 
 
-_LOCAL = re.compile(r"[A-Za-z0-9_][A-Za-z0-9._+\-]*$")
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9\-]+(?:(?:\s?\[dot\]\s?|\s?\(dot\)\s?|\.)[A-Za-z0-9\-]+)*(?:\s?\[dot\]\s?|\s?\(dot\)\s?|\.)[A-Za-z]{2,}")
 
 
 def _email(text: str, start: int, end: int) -> tuple[int, int] | None:
-    """An address around an at-sign at start:end."""
-    left = text[max(0, start - 80) : start].rstrip(" ")
-    local = _LOCAL.search(left)
-    if not local or start - max(0, start - 80) - len(left) > 2:
+    """An address around an at-sign at start:end, as far as its characters reach on either side."""
+    stop = start
+    while stop > 0 and text[stop - 1] == " " and start - stop < 2:
+        stop -= 1
+    first = stop
+    while first > 0 and text[first - 1] in _LOCAL:
+        first -= 1
+    while first < stop and text[first] in ".+-":
+        first += 1
+    if first == stop:
         return None
     at = end
     while at < len(text) and text[at] == " " and at - end < 2:
         at += 1
     domain = _DOMAIN.match(text, at)
-    return (max(0, start - 80) + local.start(), domain.end()) if domain else None
+    return (first, domain.end()) if domain else None
+
+
+_URL = re.compile(r"[^\s<>\"'）)\]]+")
+
+
+def _url(text: str, start: int) -> tuple[int, int]:
+    """The URL around a scheme's colon and slashes."""
+    first = start
+    while first > 0 and text[first - 1].isalnum():
+        first -= 1
+    return first, _URL.match(text, start).end()
 
 
 #: A run of digits with the signs that group them.
-_DIGITS = re.compile(r"(?<![\w.])(?:\+|\()?\d(?:[\d().\-/]| (?=[\d(])){5,24}(?!\w)")
+_DIGITS = re.compile(r"(?<![\w.])(?:\+|\()?\d(?:[\d().\-/]| (?=[\d(])){5,}(?!\w)")
 _ID_SHAPES = re.compile(r"\d{3}-\d\d-\d{4}|\d{3} \d\d \d{4}|\d\d\.\d\d\.\d{6}|\d{6}-\d{4}|\d{17}[\dXx]")
 _ID_LETTERS = re.compile(r"(?<!\w)[A-Za-z]{2} ?\d{3} \d{3} \d\d ?[A-Za-z](?!\w)|(?<!\w)[A-Za-z]{2}\d{5}[A-Za-z0-9]\d(?!\w)")
-_BUILD = re.compile(r"\d{4}-\d{5}")
-_NOT_NUMBERS = re.compile(r"(?:\bbuild|\border|\bbatch|\bentry|\bversion|\bline|\bpage|\bmanual)\s*$", re.I)
+#: Accounts and identities with letters, which their check characters must confirm.
+_CHECKED = re.compile(
+    r"(?<!\w)(?:(?P<account>[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)|(?P<dni>\d{8}-?[A-HJ-NP-TV-Z])|(?P<nie>[XYZ]-?\d{7}-?[A-HJ-NP-TV-Z])|(?P<fiscal>[A-Z]{6}\d\d[A-EHLMPRST]\d\d[A-Z]\d{3}[A-Z])"
+    r"|(?P<card>[2-6]\d{3}(?:[ \-]?\d{4}){2}[ \-]?\d{2,7})|(?P<cpf>\d{3}\.\d{3}\.\d{3}-\d\d)|(?P<nir>[12] \d\d \d\d \d\d \d{3} \d{3} \d\d)|(?P<resident>\d{17}[\dXx]))(?!\w)"
+)
+_SERIAL = re.compile(r"(?:19|20|21)\d\d-\d{5}")  # a year and a running number
+#: Words before a number that is no person's, and units after one.
+_NOT_NUMBERS = re.compile(
+    r"(?:\b(?:build|order|batch|entry|version|line|page|manual|ticket|invoice|serial|model|port|isbn(?:-1[03])?|issue|commit|row|bestellung|rechnung|commande|facture|pedido|factura|encomenda|fatura|ordine|fattura|поръчка|фактура|заказ|счёт)\s*(?:no\.?|number|nr\.?|n[oº°]\.?|№|#)?:?"
+    r"|[$€£¥])\s*$",
+    re.I,
+)
+_UNITS = re.compile(r"\s?(?:bytes?|bits?|[kmgt]i?b|tokens?|rows?|records?|words?|characters?|lines?|pixels?|px|km|cm|mm|kg|mg|ms|seconds?|minutes?|hours?|days?|years?|miles?|percent|euros?|dollars?|usd|eur|gbp)(?!\w)|\s?[%€$£¥°]", re.I)
+_DATE = re.compile(r"(?:\d{1,2}[./\-]\d{1,2}[./\-](?:19|20)?\d\d|(?:19|20)\d\d[./\-]\d{1,2}[./\-]\d{1,2})(?: \d{1,2})?")
+_NETWORK = re.compile(r"(?:\d{1,3}\.){3}\d{1,3}")
+
+
+def _valid_date(run: str) -> bool:
+    parts = [int(x) for x in re.findall(r"\d+", run)][:3]
+    day, month = (parts[2], parts[1]) if parts[0] > 31 else (min(parts[:2]), max(parts[:2])) if max(parts[:2]) <= 12 else (max(parts[:2]), min(parts[:2]))
+    return 1 <= day <= 31 and 1 <= month <= 12
+
+
+def _luhn(digits: str) -> bool:
+    total = sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits)))
+    return total % 10 == 0 and len(set(digits)) > 1
+
+
+def _book(digits: str) -> bool:
+    """A book number by its check digit."""
+    return len(digits) == 13 and digits[:3] in ("978", "979") and sum(int(d) * (1, 3)[i % 2] for i, d in enumerate(digits)) % 10 == 0
+
+
+def _fiscal(code: str) -> bool:
+    """The Italian code: letters and digits at odd places count by a fixed table, the others by value."""
+    odd = dict(zip("0123456789", (1, 0, 5, 7, 9, 13, 15, 17, 19, 21)))
+    odd |= dict(zip("ABCDEFGHIJKLMNOPQRSTUVWXYZ", (1, 0, 5, 7, 9, 13, 15, 17, 19, 21, 2, 4, 18, 20, 11, 3, 6, 8, 12, 14, 16, 10, 22, 25, 24, 23)))
+    total = sum(odd[c] if i % 2 == 0 else int(c) if c.isdigit() else ord(c) - 65 for i, c in enumerate(code[:15]))
+    return chr(65 + total % 26) == code[15]
 
 
-def _cue_before(cues: list[tuple[int, str]], at: int, reach: int = 26) -> str | None:
-    """The last phone or id cue that ends shortly before a place."""
-    for end, what in reversed(cues):
-        if end <= at:
-            return what if at - end <= reach else None
-    return None
+def _confirmed(m: re.Match) -> bool:
+    """Whether check characters confirm an account or identity number."""
+    kind, bare = m.lastgroup, re.sub(r"[ .\-]", "", m.group()).upper()
+    if kind == "account":
+        return 15 <= len(bare) <= 34 and int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+    if kind == "card":
+        return 13 <= len(bare) <= 19 and _luhn(bare) and not _book(bare)
+    if kind in ("dni", "nie"):
+        number = bare[:-1].translate(str.maketrans("XYZ", "012"))
+        return "TRWAGMYFPDXBNJZSQVHLCKE"[int(number) % 23] == bare[-1]
+    if kind == "fiscal":
+        return _fiscal(bare)
+    if kind == "cpf":
+        checks = [sum(int(d) * w for d, w in zip(bare, range(n + 1, 1, -1))) * 10 % 11 % 10 for n in (9, 10)]
+        return checks == [int(bare[9]), int(bare[10])] and len(set(bare)) > 1
+    if kind == "nir":
+        return 97 - int(bare[:13]) % 97 == int(bare[13:])
+    weights = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2)
+    return "10X98765432"[sum(int(d) * w for d, w in zip(bare, weights)) % 11] == bare[17]
+
+
+_BREAK = re.compile(r"[\n!?。！？؟;；]|\.(?=\s|$)")
+
+
+class _Sentences:
+    """Where the sentences of a text begin; found once, when first asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.begins = text, None
+
+    def begin(self, at: int) -> int:
+        if self.begins is None:
+            # The point of an initial doesn't end a sentence.
+            self.begins = [0] + [m.end() for m in _BREAK.finditer(self.text) if m.group() != "." or not re.search(r"(?:^|[\s,])[^\W\d_]$", self.text[max(0, m.start() - 2) : m.start()])]
+        return self.begins[bisect_right(self.begins, at) - 1]
 
 
 _NUMBER = r"\d{1,4}\s?[a-z]?(?![\w])"
@@ -146,7 +256,7 @@ _W = r"[^\W\d_][\w'\-]*"
 _AFTER, _JOINED, _BEFORE = ("|".join(x) for x in (STREETS_AFTER, STREETS_JOINED, STREETS_BEFORE))
 #: A town after the house number; words that don't belong to it are taken off by _trim.
 _TOWN = rf"(?:,? (?:in|à|a|em) {_W}(?: {_W}){{0,2}}|, (?:\d{{5}} )?{_W}(?: {_W}){{0,2}}(?: \d{{5}})?)?"
-_ADDRESS = [
+_PATTERNS = [
     re.compile(rf"(?<!\w)\d{{1,4}}\s?[a-z]? (?:{_W} ){{1,3}}(?:{_AFTER})\b(?:,? flat \d+)?{_TOWN}", re.I),
     re.compile(rf"(?<!\w)(?:{_W} ){{1,3}}(?:{_AFTER}),? (?:no\.? ?)?{_NUMBER}(?:,? flat \d+)?{_TOWN}", re.I),
     re.compile(rf"(?<!\w)(?:(?:alte|neue|alter|am|an der|obere|untere) )?[\wäöüß]*(?:{_JOINED})\s+(?:nr\.? ?)?{_NUMBER}{_TOWN}", re.I),
@@ -160,17 +270,26 @@ _ADDRESS = [
 ]
 
 
-def _address(text: str, at: int) -> tuple[int, int] | None:
-    """A street with a house number around an anchor."""
-    low = max(text.rfind("\n", 0, at), at - 60) + 1 if at - 60 > 0 or "\n" in text[:at] else 0
-    low = max(0, low)
-    high = text.find("\n", at)
-    window = text[low : min(high if high >= 0 else len(text), at + 110)]
-    for pattern in _ADDRESS:
-        for m in pattern.finditer(window):
-            if low + m.start() <= at + 3 and low + m.end() >= at:
-                return _trim(text, low + m.start(), low + m.end())
-    return None
+#: The patterns that each sort of street word stands in.
+_ADDRESS = {"after": _PATTERNS[:2], "joined": _PATTERNS[2:3], "am": _PATTERNS[3:4], "before": _PATTERNS[4:6], "cyrillic": _PATTERNS[6:8], "arabic": _PATTERNS[8:9], "han": _PATTERNS[9:]}
+
+
+def _addresses(text: str, anchors: list[tuple[int, str]]) -> list[tuple[int, int]]:
+    """Streets with a house number around anchors; each line is searched once for each sort of anchor."""
+    lines: dict[tuple[int, str], list[int]] = {}
+    for at, kind in anchors:
+        lines.setdefault((text.rfind("\n", 0, at) + 1, kind), []).append(at)
+    out: list[tuple[int, int]] = []
+    for (low, kind), places in lines.items():
+        high = text.find("\n", low)
+        high = high if high >= 0 else len(text)
+        for pattern in _ADDRESS[kind]:
+            for m in pattern.finditer(text, low, high):
+                a, b = m.span()
+                # Some anchor must stand in it.
+                if any(a <= at + 3 and b >= at for at in places[bisect_right(places, a - 4) : bisect_right(places, b)]) and not any(a < y and x < b for x, y in out):
+                    out.append(_trim(text, a, b))
+    return out
 
 
 _BEFORE_STREET = re.compile(
@@ -202,7 +321,7 @@ _NAME_WORD = r"(?:[^\W\d_]\.|[^\W\d_][^\W\d_'\-]*(?:['\-][^\W\d_]+)*)"
 _NAME = re.compile(rf"{_NAME_WORD}(?:,? {_NAME_WORD}){{0,3}}")
 _HAN_NAME = re.compile(r"[㐀-鿿]{2,4}?(?=正在|签名|[，,。.!！；;\s]|$)|[㐀-鿿]{1,2}(?:先生|女士|小姐)")
 _NO_NAME = frozenset(
-    "id tel cc fax email e-mail phone telefon tel. telephone mail user assistant human system q a usuario the and my call send please batch according veyra-2 to in on at of for "
+    "id tel cc fax email e-mail phone telefon tel. telephone mail user assistant human system q a usuario the and my call send please batch according to in on at of for "
     "or if is it an as by no so yes nie und der die das ein le la les un une et de du des el los y en con per il lo e di da o os um uma que não и в на не по с что от за".split()
 )
 
@@ -230,17 +349,14 @@ def _name_at(text: str, at: int, stop: str) -> tuple[int, int] | None:
         after = text[at + w.end() : at + w.end() + 1]
         if after == "." and not w.group().endswith("."):
             break
-    if not kept:
+    if not kept or re.match(r"[\-']?\d", text[at + kept[-1].end() : at + kept[-1].end() + 2]):
         return None
     if not stop and len(kept) > 2 and not any("," in text[at + a.end() : at + b.start()] for a, b in zip(kept, kept[1:])):
         kept = kept[:2]
     return at, at + kept[-1].end()
 
 
-_SEGMENT = re.compile(r"[\n.!?。！？؟;；>]")
-
-
-def _name_before(text: str, start: int, floor: int) -> tuple[int, int] | None:
+def _name_before(text: str, start: int, floor: int, sentences: _Sentences) -> tuple[int, int] | None:
     """A name that stands before a finding, set off by a bracket, a dot or a comma."""
     at = start
     while at > floor and text[at - 1] in " <":
@@ -252,12 +368,8 @@ def _name_before(text: str, start: int, floor: int) -> tuple[int, int] | None:
     at -= 1
     while at > floor and text[at - 1] == " ":
         at -= 1
-    low = floor
-    for m in _SEGMENT.finditer(text, max(floor, at - 60), at):
-        # The point of an initial doesn't end a sentence.
-        if m.group() == "." and m.start() and re.search(r"(?:^|[\s,])[^\W\d_]$", text[max(0, m.start() - 2) : m.start()]):
-            continue
-        low = m.end()
+    low = max(floor, sentences.begin(at - 1) if at > 0 else 0)
+    low = max(low, text.rfind(">", low, at) + 1)
     piece = text[low:at]
     lead = len(piece) - len(piece.lstrip(" \t*_\"'«„“—–-"))
     piece = piece[lead:]
@@ -270,7 +382,137 @@ def _name_before(text: str, start: int, floor: int) -> tuple[int, int] | None:
 
 
 _SIGNED = re.compile(r"(?:^|\n|[.!?。！？؟)\d])\s*$")
-_HEADER = re.compile(r" ?([^\n:：]{1,32})[:：]")
+_HEADER = re.compile(r" ?([^\n:：]+)[:：]")
+_CAPITALS = re.compile(r"(?:[^\W\d_]\. ?)?[^\W\d_][\w'’\-]*(?: (?:(?:van|von|de|da|di|del|della|du|bin|al|el|la)\b ?)*[^\W\d_][\w'’\-]*){0,2}")
+_NO_PERSON = frozenset(
+    "support service team office department desk center centre bank company inc ltd gmbh sales customer human world everyone everybody all there monday tuesday wednesday thursday friday saturday sunday january february march april "
+    "june july august september october november december montag dienstag mittwoch donnerstag freitag samstag sonntag gott god".split()
+)
+
+
+def _capitals(text: str, at: int, least: int) -> tuple[int, int] | None:
+    """One to three names in capitals that begin at a place; in scripts without capitals one."""
+    m = _CAPITALS.match(text, at)
+    if not m:
+        return None
+    words = re.findall(r"[^\W\d_][\w'’\-]*\.?", m.group())
+    kept = []
+    for w in words:
+        arabic = "\u0600" <= w[0] <= "\u06ff"
+        if not (w[0].isupper() and (not w.isupper() or len(w) < 3) or (arabic and not kept) or w.lower() in ("van", "von", "de", "da", "di", "del", "della", "du", "bin", "al", "el", "la")):
+            break
+        if w.lower().rstrip(".") in _NO_PERSON or w.lower() in _NO_NAME and not kept or any(c.isdigit() for c in w):
+            return None
+        kept.append(w)
+    while kept and kept[-1][0].islower():
+        kept.pop()
+    if len([w for w in kept if w[0].isupper() or "\u0600" <= w[0] <= "\u06ff"]) < least:
+        return None
+    end = at
+    for w in kept:
+        end = text.index(w, end) + len(w)
+    return at, end - (text[end - 1] == "." and len(kept[-1]) > 2)
+
+
+def _begins_word(low: str, start: int, word: str) -> bool:
+    return not (start and low[start - 1].isalpha() and word[0].isalpha() and not "㐀" <= word[0] <= "鿿" and not "؀" <= word[0] <= "ۿ")
+
+
+def _numbers(folded: str, hits: list, sentences: _Sentences, free) -> Iterator[tuple[int, int, str]]:
+    """Phone and identity numbers among the runs of digits."""
+    cues = sorted((end, what) for _, end, what, _ in hits if what in ("phone", "id"))
+    ends = [end for end, _ in cues]
+    for m in _DIGITS.finditer(folded):
+        spans = [(m.start(), m.end())]
+        if sum(c.isdigit() for c in m.group()) > 18:  # several numbers in a row
+            spans = [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"[^ /]+", m.group())]
+        for a, b in spans:
+            run = folded[a:b].rstrip(" .-/(")
+            b = a + len(run)
+            digits = sum(c.isdigit() for c in run)
+            if not 6 <= digits <= 18 or not free(a, b):
+                continue
+            i = bisect_right(ends, a) - 1
+            # A cue holds for the rest of its sentence.
+            cue = cues[i][1] if i >= 0 and sentences.begin(a) <= ends[i] else None
+            plain = re.sub(r"\D", "", run)
+            if cue != "phone":
+                if _SERIAL.fullmatch(run) or _book(plain) or (_DATE.fullmatch(run) and _valid_date(run)) or (_NETWORK.fullmatch(run) and all(int(x) < 256 for x in run.split("."))):
+                    continue
+                if _NOT_NUMBERS.search(folded[max(0, a - 24) : a]) or (run.isdigit() and _UNITS.match(folded, b)):
+                    continue
+            elif _DATE.fullmatch(run) and _valid_date(run):
+                continue
+            dotted = folded[max(0, a - 3) : a].rstrip().endswith("·")
+            if _ID_SHAPES.fullmatch(run) and cue != "phone":
+                kind = "id_number"
+            elif cue == "id" or dotted:
+                kind = "id_number" if digits >= 7 else None
+            elif cue == "phone" or run[0] in "+(" or digits >= 9 or re.fullmatch(r"\d{3}-\d{4}|\d{3}-\d\d-\d\d|\d{3} \d{4}", run):
+                kind = "phone" if digits <= 15 else "id_number"
+            elif digits >= 7 and re.search(r"[/,،，(·]\s*$|(?:^|\n)\s*$", folded[max(0, a - 3) : a]):
+                kind = "phone"
+            else:
+                kind = None
+            if kind:
+                yield a, b, kind
+
+
+def _names(folded: str, low: str, hits: list, sentences: _Sentences) -> Iterator[tuple[int, int]]:
+    """Names by the words beside them."""
+    for start, end, what, word in hits:
+        if what in ("name", "off", "send", "title", "contact", "end") and not _begins_word(low, start, word):
+            continue
+        span = None
+        if what == "name":
+            span = _name_at(folded, end, NAME_CUES[word])
+        elif what == "off":
+            at = end
+            while at < len(folded) and folded[at] in ", \n\r\t":
+                at += 1
+            span = _name_at(folded, at, "")
+        elif what == "send":
+            link, stop = SEND_CUES[word]
+            at = end
+            if link:
+                m = re.compile(rf"[^.!?\n。！？]*?{link}").match(low, end)
+                at = m.end() if m else -1
+            else:
+                while at < len(folded) and folded[at] in " :：,":
+                    at += 1
+            span = _name_at(folded, at, stop) if at >= 0 else None
+            # A single word in small letters is a name only where the sentence goes on as expected.
+            if span and " " not in folded[span[0] : span[1]] and folded[span[0]].islower() and not (stop and re.match(rf"\s+(?:{stop})", folded[span[1] :], re.I)):
+                span = None
+        elif what in ("title", "contact"):
+            span = _capitals(folded, end, 1 if what == "title" else 2)
+        elif what == "end":
+            opener = NAME_ENDS[word]
+            begin = sentences.begin(start - 1) if start else 0
+            at = low.rfind(opener, begin, start)
+            if at >= 0:
+                a, b = at + len(opener), start
+                while b > a and folded[b - 1] == " ":
+                    b -= 1
+                piece = folded[a:b]
+                words = piece.replace(",", " ").split()
+                if "㐀" <= piece[:1] <= "鿿":
+                    span = (a, b) if 2 <= len(piece) <= 5 else None
+                elif 1 <= len(words) <= 4 and all(re.fullmatch(_NAME_WORD, w) for w in words) and not any(w.lower() in _NO_NAME for w in words):
+                    span = (a, b)
+        elif what == "sign" and word == ">":
+            line = folded.rfind("\n", 0, start) + 1
+            if not folded[line:start].strip() or re.search(r"[.!?)。]\s*$", folded[max(line, start - 8) : start]):
+                m = _HEADER.match(folded, end)
+                words = m.group(1).replace(",", " ").split() if m else []
+                if m and (1 <= len(words) <= 4 and all(re.fullmatch(_NAME_WORD, w) for w in words) and not any(w.lower() in _NO_NAME for w in words)):
+                    span = m.span(1)
+        elif what == "sign" and _SIGNED.search(folded[max(0, start - 4) : start]):
+            span = _name_at(folded, end, "")
+            if span and not (folded[span[0]].isupper() or "㐀" <= folded[span[0]] <= "鿿" or not folded[span[1] :].split("\n", 1)[0].strip()):
+                span = None
+        if span:
+            yield span
 
 
 def find(text: str) -> list[tuple[int, int, str]]:
@@ -280,75 +522,41 @@ def find(text: str) -> list[tuple[int, int, str]]:
     folded = _fold(text)
     low = _lower(folded)
     hits = [(end + 1 - len(word), end + 1, what, word) for end, found in _A.iter(low) for what, word in found]
-    numbers = list(_DIGITS.finditer(folded))
-    letters = list(_ID_LETTERS.finditer(folded))
-    if not hits and not numbers and not letters:
+    letters = [(m.start(), m.end(), "id_number") for m in _CHECKED.finditer(folded) if _confirmed(m)]
+    letters += [(m.start(), m.end(), "id_number") for m in _ID_LETTERS.finditer(folded)]
+    if not hits and not letters and not _DIGITS.search(folded):
         return []
-    spans: list[tuple[int, int, str]] = []
+    urls = [_url(folded, start) for start, _, what, _ in hits if what == "url"]
+    taken: list[tuple[int, int, str]] = []
     for start, end, what, _ in hits:
-        if what == "email" and low[start:end] != "mailto:":
+        # The user part of a URL is no address, what stands in its query may be.
+        if what == "email" and not any(a <= start < b and not ({"/", "?"} & set(folded[folded.index("://", a) + 3 : start])) for a, b in urls):
             if span := _email(folded, start, end):
-                spans.append((*span, "email"))
-    for start, end, what, word in hits:
-        if what == "street" and (span := _address(folded, start + word.startswith(" "))):
-            spans.append((*span, "address"))
-    cues = sorted((end, what) for start, end, what, _ in hits if what in ("phone", "id") and not (start and low[start - 1].isalpha() and not "㐀" <= low[start] <= "鿿" and not "؀" <= low[start] <= "ۿ"))
-    taken = list(spans)
+                taken.append((*span, "email"))
+    streets = [(start + word.startswith(" "), what[7:]) for start, _, what, word in hits if what.startswith("street-")]
+    taken += [(*span, "address") for span in _addresses(folded, streets)] if streets else []
 
     def free(a: int, b: int) -> bool:
         return not any(a < y and x < b for x, y, _ in taken)
 
-    for m in letters:
-        if free(m.start(), m.end()):
-            taken.append((m.start(), m.end(), "id_number"))
-    for m in numbers:
-        a, b = m.start(), m.end()
-        run = folded[a:b].rstrip(" .-/(")
-        b = a + len(run)
-        digits = sum(c.isdigit() for c in run)
-        if not free(a, b) or not 6 <= digits <= 18 or _NOT_NUMBERS.search(folded[max(0, a - 10) : a]):
-            continue
-        cue = _cue_before(cues, a)
-        if _BUILD.fullmatch(run) and cue != "phone":
-            continue
-        dotted = folded[max(0, a - 3) : a].rstrip().endswith("·")
-        if _ID_SHAPES.fullmatch(run) and cue != "phone":
-            kind = "id_number"
-        elif cue == "id" or dotted:
-            kind = "id_number" if digits >= 7 else None
-        elif cue == "phone" or run[0] in "+(" or digits >= 9 or re.fullmatch(r"\d{3}-\d{4}|\d{3}-\d\d-\d\d|\d{3} \d{4}", run):
-            kind = "phone" if digits <= 15 else "id_number"
-        elif digits >= 7 and re.search(r"[/,،，(·]\s*$|(?:^|\n)\s*$", folded[max(0, a - 3) : a]):
-            kind = "phone"
-        else:
-            kind = None
-        if kind:
+    for a, b, kind in letters:
+        if free(a, b):
             taken.append((a, b, kind))
-    names: list[tuple[int, int, str]] = []
-    for start, end, what, word in hits:
-        if what == "name" and not (start and low[start - 1].isalpha() and word[0].isalpha() and not "㐀" <= word[0] <= "鿿" and not "؀" <= word[0] <= "ۿ"):
-            if span := _name_at(folded, end, NAME_CUES[word]):
-                names.append((*span, "name"))
-        elif what == "sign" and word == ">":
-            line = folded.rfind("\n", 0, start) + 1
-            if not folded[line:start].strip() or re.search(r"[.!?)。]\s*$", folded[line:start]):
-                m = _HEADER.match(folded, end)
-                words = m.group(1).replace(",", " ").split() if m else []
-                if m and (1 <= len(words) <= 4 and all(re.fullmatch(_NAME_WORD, w) for w in words) and not any(w.lower() in _NO_NAME for w in words)):
-                    names.append((m.start(1), m.end(1), "name"))
-        elif what == "sign" and _SIGNED.search(folded[max(0, start - 4) : start]):
-            span = _name_at(folded, end, "")
-            if span and (folded[span[0]].isupper() or "㐀" <= folded[span[0]] <= "鿿" or not folded[span[1] :].split("\n", 1)[0].strip()):
-                names.append((*span, "name"))
+    sentences = _Sentences(folded)
+    cued = [h for h in hits if h[2] not in ("phone", "id") or _begins_word(low, h[0], h[3])]
+    outside = lambda a, b: free(a, b) and not any(x <= a < y for x, y in urls)
+    for a, b, kind in _numbers(folded, cued, sentences, outside):
+        taken.append((a, b, kind))
+    names = [(*span, "name") for span in _names(folded, low, hits, sentences)]
     floor = 0
-    for a, b, kind in sorted(taken):
-        if span := _name_before(folded, a, floor):
+    for a, b, _ in sorted(taken):
+        if span := _name_before(folded, a, floor, sentences):
             names.append((*span, "name"))
         floor = b
-    out: list[tuple[int, int, str]] = []
     for a, b, kind in sorted(names, key=lambda s: (s[0], -s[1])):
         if free(a, b):
             taken.append((a, b, kind))
+    out: list[tuple[int, int, str]] = []
     for a, b, kind in sorted(taken, key=lambda s: (s[0], -s[1])):
         if not out or a >= out[-1][1]:
             out.append((a, b, kind))
@@ -385,6 +593,24 @@ def find_in_message(content: str | None) -> set[str]:
     return {kind for t in texts for _, _, kind in find(t)}
 
 
+_TEXT_VALUE = re.compile(r'"text"\s*:\s*("(?:[^"\\]|\\.)*")')
+_LITERAL = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\.|.", re.S)
+
+
+def _redact_literal(literal: str) -> str:
+    """A JSON string with placeholders in place of the findings of its value; the rest of it unchanged."""
+    found = find(json.loads(literal))
+    if not found:
+        return literal
+    # Each character of the value with its place in the literal.
+    places = [m.start() + 1 for m in _LITERAL.finditer(literal[1:-1])] + [len(literal) - 1]
+    parts, at = [], 0
+    for a, b, kind in found:
+        parts += [literal[at : places[a]], PLACEHOLDERS[kind]]
+        at = places[b]
+    return "".join((*parts, literal[at:]))
+
+
 def redact_message(content: str | None) -> str | None:
     """The message with placeholders; the same object if it holds nothing."""
     if not content:
@@ -393,11 +619,19 @@ def redact_message(content: str | None) -> str | None:
     if blocks is None:
         found = find(content)
         return redact(content, found) if found else content
-    changed = False
-    for b in blocks:
-        if b.get("type") == "text" and isinstance(b.get("text"), str) and (found := find(b["text"])):
-            b["text"], changed = redact(b["text"], found), True
-    return json.dumps(blocks, ensure_ascii=False) if changed else content
+    values = list(_TEXT_VALUE.finditer(content))
+    owners = [b for b in blocks if isinstance(b.get("text"), str)]
+    if len(values) != len(owners) or any(json.loads(m[1]) != b["text"] for m, b in zip(values, owners)):
+        # Not a plain list of blocks: written anew.
+        for b in owners:
+            b["text"] = redact(b["text"], find(b["text"])) if b.get("type") == "text" else b["text"]
+        return json.dumps(blocks, ensure_ascii=False)
+    parts, at = [], 0
+    for m, b in zip(values, owners):
+        if b.get("type") == "text":
+            parts += [content[at : m.start(1)], _redact_literal(m[1])]
+            at = m.end(1)
+    return "".join((*parts, content[at:])) if parts else content
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

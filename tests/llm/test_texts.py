@@ -34,6 +34,30 @@ CASES = [
     ("The firmware went from 4.27.0 to 5.0.27 in build 2031-61973.", {}),
     ("The meeting is from 10:58 to 12:30 in hall 58. Batch 80755 shows it.", {}),
     ("An @ alone, a [at] too, and > a quote — with a dash", {}),
+    # Other wording than that of the tables.
+    ("I talked to John Smith yesterday.", {"name": "John Smith"}),
+    ("Contact Maria Lopez tomorrow", {"name": "Maria Lopez"}),
+    ("Das hat Herr Müller gesagt.", {"name": "Müller"}),
+    ("Hablé con Lucía Ferrer y con nadie más.", {"name": "Lucía Ferrer"}),
+    ("Viele Grüße\nAnna Schmidt", {"name": "Anna Schmidt"}),
+    ("Уважаемый Иван Петров, пишу вам.", {"name": "Иван Петров"}),
+    ("Das Blatt hat gestern Uwe Kern bekommen.", {}),
+    ("Das Blatt hat Uwe Kern unterschrieben.", {"name": "Uwe Kern"}),
+    ("Pay into DE89 3704 0044 0532 0130 00 today.", {"id_number": "DE89 3704 0044 0532 0130 00"}),
+    ("Pay into DE88 3704 0044 0532 0130 00 today.", {"id_number": "3704 0044 0532 0130 00"}),  # no account, still a long number
+    ("It is 4111 1111 1111 1111, valid.", {"id_number": "4111 1111 1111 1111"}),
+    ("Soy 12345678Z.", {"id_number": "12345678Z"}),
+    ("Soy 12345678A.", {}),
+    ("Il codice RSSMRA85T10A562S basta.", {"id_number": "RSSMRA85T10A562S"}),
+    ("O CPF 529.982.247-25 vale.", {"id_number": "529.982.247-25"}),
+    ("Phones 555-0103 / 555-0104 / 555-0105 / 555-0106", None),
+    ("On 12/05/2024 10:30 it rained, on 2024-05-12 too.", {}),
+    ("ISBN 978-3-16-148410-0 is out of print.", {}),
+    ("The host 192.168.100.200 answers.", {}),
+    ("It takes 1234567890 bytes.", {}),
+    ("See https://user@host.example/12345678901 for it.", {}),
+    ("Die Frau geht. Dear Customer Support, contact us.", {}),
+    ("See mailto:bob@x.example for it", {"email": "bob@x.example"}),
     ("", {}),
 ]
 
@@ -41,6 +65,9 @@ CASES = [
 @pytest.mark.parametrize("text,wanted", CASES, ids=range(len(CASES)))
 def test_personal_information(text, wanted):
     found = personal.find(text)
+    if wanted is None:  # several of a kind
+        assert [text[a:b] for a, b, _ in found] == ["555-0103", "555-0104", "555-0105", "555-0106"]
+        return
     assert {kind: text[a:b] for a, b, kind in found} == wanted
     redacted = personal.redact(text, found)
     for kind, value in wanted.items():
@@ -51,6 +78,20 @@ def test_personal_information(text, wanted):
     assert redacted == text
 
 
+@pytest.mark.parametrize("length", [79, 80, 81, 300, 20_000])
+def test_an_address_is_replaced_whole(length):
+    text = "Mail " + "a" * length + "@mail.example now"
+    assert personal.redact(text, personal.find(text)) == "Mail [EMAIL] now"
+    street = "word " * length + "I live at 12 Mill Lane " + "word " * length
+    assert [street[a:b] for a, b, _ in personal.find(street)] == ["12 Mill Lane"]
+
+
+def test_block_lists_keep_their_text():
+    content = '[ {"type":"image","image_path":"x"},\n {"text" : "caf\\u00e9 \\ud83d\\ude00 a@b.example\\n\\"ok\\"" ,"type":"text"}]'
+    want = content.replace("a@b.example", "[EMAIL]")
+    assert personal.redact_message(content) == want and json.loads(want)[1]["text"].startswith("café 😀 [EMAIL]")
+
+
 def test_personal_tables(spark):
     blocks = json.dumps([{"type": "image", "image_path": "x"}, {"type": "text", "text": "Mail a@b.example"}])
     rows = [("1", [("user", blocks), ("assistant", "no"), ("user", None)], 0), ("1", [("user", blocks), ("assistant", "no"), ("user", None)], 0), ("2", None, 0), (None, [("user", "a@b.example")], 0), ("3", [], 0), ("4", [("user", "plain " * 50_000 + "a@b.example")], 0)]
