@@ -3,11 +3,14 @@
 Each defect has a few labelling functions that vote yes, no or abstain on an answer; a label model
 (:mod:`sievewright.llm.labelmodel`) learns from the agreement of the votes over all answers how far
 each is to be trusted, and every defect whose posterior exceeds its cutoff is reported.  An answer
-may have several.
+may have several.  The cutoffs are validated: :func:`best_cutoffs` finds them on labelled answers, and
+the tests hold :data:`CUTOFFS` against defects planted in answers that no cutoff was chosen on.
 
-Whether an answer breaks off is decided with the corpus: the last words of an answer without a
-final stop are looked up among the last words of all sentences that do end with one.  The lookup is
-a join on those words; only answers without a final stop take part.
+Whether an answer breaks off is decided with the corpus, by two voters besides those that look at the
+answer itself: its last words are looked up among the last words of all finished sentences, and the
+share in which its last word ends a sentence, of all the times it is used, is held against that of all
+words.  One pass over the texts gives the votes, the endings and the counts of words; the lookups are
+joins on the ending, in which each distinct ending takes part once.
 
 Defined results: a null answer and one without letters or digits, or with a placeholder word only,
 is empty and nothing else; without a prompt there is no copied question and no wrong language; an
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,14 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import labelmodel
-from sievewright.llm.records import content_text
+from sievewright.llm.records import content_text, lookup
 from sievewright.llm.languages import LANGUAGES, Crf, label_sentences, tokens_of, words_of
 from sievewright.session import materialize
 
 DEFECTS = ("empty", "truncated", "refusal", "copied_question", "wrong_language")
-#: Posteriors above which a defect is reported; checked on answers with planted defects in the tests.
-CUTOFFS = {"empty": 0.3, "truncated": 0.2, "refusal": 0.5, "copied_question": 0.5, "wrong_language": 0.5}
-VOTERS = {"empty": 3, "truncated": 4, "refusal": 4, "copied_question": 3, "wrong_language": 3}
+#: Posteriors above which a defect is reported; validated on answers with planted defects in the tests.
+CUTOFFS = {"empty": 0.5, "truncated": 0.5, "refusal": 0.5, "copied_question": 0.5, "wrong_language": 0.5}
+VOTERS = {"empty": 3, "truncated": 5, "refusal": 4, "copied_question": 3, "wrong_language": 3}
+#: Votes on truncation that the corpus gives.
+CORPUS_VOTES = 2
+#: A word is used rarely, or as often as others, at the end of a sentence by these multiples of the
+#: share of all words; below so many uses it tells nothing.
+RARE_END, COMMON_END, LEAST_USES = 0.2, 0.8, 12
 
 _PLACEHOLDER = frozenset("null none nil nan na n/a undefined empty blank todo tbd missing <empty> <null> <none> [empty] (empty) keine nessuno нет няма".split())
 _STOP = ".!?。！？؟…"
@@ -54,14 +63,24 @@ _REFUSE = re.compile(
             r"не мога да (?:ви |ти )?(?:помогна|отговоря|говоря)|не съм в състояние|предпочитам да не|няма да отговоря|(?:трябва да|принуден съм да) (?:откажа|отклоня)",
             r"не могу (?:вам |тебе )?(?:помочь|ответить|говорить)|не в состоянии|предпоч(?:ёл|ел|итаю|ла)(?: бы)? не|(?:отвечать|говорить) не (?:буду|стану)|не (?:буду|стану) (?:отвечать|говорить)|(?:вынужден|вынуждена|должен) (?:отклонить|отказать)",
             r"لا (?:أستطيع|يمكنني) (?:مساعدت|الإجابة|الحديث)|لست قادرا|أفضل (?:ألا|أن لا)|لن أجيب|(?:يجب|علي) أن أرفض|لا أستطيع أن أساعد",
+            # Of the topic, the rules, or passing on it, in all ten.
+            r"(?:isn't|is not|not) (?:a (?:topic|subject)|something) (?:that )?i|not comfortable|(?:against|outside) my (?:guidelines|rules|policy|policies|principles)|i'll (?:have to )?pass\b|no comment",
+            r"gegen meine (?:richtlinien|regeln|grundsätze)|dazu (?:möchte|werde) ich nicht|kein thema für mich|nicht wohl dabei|möchte ich (?:lieber )?nicht (?:antworten|eingehen|sprechen)",
+            r"contraire à mes (?:règles|principes)|pas un sujet (?:que|dont)|je passe mon tour|je m'abstiens|je ne souhaite pas (?:répondre|en parler|aborder)",
+            r"contra (?:de )?mis (?:normas|principios|reglas)|no es un tema (?:que|del)|me abstengo|no me siento cómod",
+            r"contra (?:as )?minhas (?:regras|normas)|contra os meus princípios|não é um tema|abstenho-me|não me sinto confort",
+            r"contro le mie (?:regole|linee)|contro i miei principi|non è un argomento|mi astengo|non mi sento a mio agio",
+            r"против моите (?:правила|принципи)|не е тема|въздържам се|против моих (?:правил|принципов)|не та тема|воздержусь|не хочу (?:это )?обсуждать",
+            r"ضد (?:مبادئي|قواعدي)|ليس موضوعا|أمتنع عن|违反我的|不方便(?:谈|回答|讨论)|不便(?:谈|回答|讨论)|恕难",
             r"没有?办法(?:谈|回答|帮|讨论)|不太?想(?:讨论|谈)|不会回答|必须拒绝|(?:无法|不能|没法)(?:帮|为你|为您|回答|谈|讨论|协助|提供)|帮不(?:了|上)|恕不",
         )
     )
 )
 _FRAME = re.compile(
     r"sorry|afraid|apologi|as an? (?:ai|assistant)|tut mir leid|leider|bedaure|als (?:ki|assistent)|désolé|regrette|en tant qu|lo siento|lamento|como asistente|como assistente|"
-    r"mi dispiace|spiacente|come assistente|съжалявам|като асистент|извин|сожале|прости|как помощник|عذرا|آسف|بصفتي|抱歉|对不起|作为(?:助手|ai)|something i won't|a question i won't|grundsätzlich|"
-    r"c'est une question à laquelle|esa es una pregunta|essa é uma pergunta|è una domanda a cui|това е въпрос, на който|на такой вопрос|هذا سؤال|这个问题我"
+    r"mi dispiace|spiacente|come assistente|съжалявам|като асистент|извин|сожале|прости|как помощник|عذرا|آسف|بصفتي|抱歉|对不起|作为(?:助手|ai)|"
+    # It speaks of the question rather than answering it.
+    r"\b(?:question|topic|request|frage|anfrage|thema|sujet|demande|pregunta|petición|pergunta|pedido|domanda|richiesta|tema|въпрос|вопрос|запрос)\b|سؤال|موضوع|问题|话题|请求|grundsätzlich"
 )
 _ASKS = {
     "en": "english englisch anglais inglés ingles inglês inglese английски английский الإنجليزية 英语 英文",
@@ -109,14 +128,14 @@ _QUOTED = re.compile(
 def languages_named(asked: str) -> set[str]:
     """The languages that a plain prompt asks for, wherever it does, outside of quoted payload.
 
-    In the head, before a colon or line break, the bare name is enough.
+    In the head, the first sentence or what stands before a colon or line break, the bare name is enough.
     """
     text = _QUOTED.sub(" ", asked)
-    head = re.split(r"[:：\n]", text, maxsplit=1)[0][:120]
+    head = re.split(r"[:：\n。！？!?]|\.(?=\s|$)", text.lstrip(), maxsplit=1)[0]
     heads = re.findall(r"[^\W\d_]+", head)
     out = {lang for w, lang in _ASK_WORDS.items() if (w in head if "㐀" <= w[0] <= "鿿" else any(h.startswith(w) for h in heads))}
     for m in _REQUEST.finditer(text):
-        if not _STATED.search(text[max(0, m.start() - 60) : m.start()]):
+        if not _STATED.search(text[text.rfind("\n", 0, m.start()) + 1 : m.start()]):
             name = m["name"] or m["before"]
             out.add(next(lang for w, lang in _STEMS if name.startswith(w)))
     return out
@@ -132,7 +151,8 @@ _CUES = ahocorasick.Automaton()
 for _cue in (
     "can't;cannot;can not;unable;not able;won't;will not;not going;decline;refuse;rather not;prefer not;nicht;keine a;ablehnen;zurückweisen;pas ;refuser;décliner;"
     "no puedo;no estoy;prefiero;no voy;rechazar;declinar;não ;recusar;non ;rifiutare;declinare;preferisco;не ;няма;откажа;отклон;отказать;لا ;لست;أفضل;لن ;أرفض;"
-    "办法;想;会回答;拒绝;无法;不能;没法;帮不;恕不"
+    "办法;想;会回答;拒绝;无法;不能;没法;帮不;恕不;n't ;is not;not a;not something;not comfortable;against my;outside my;pass;no comment;gegen meine;dazu ;kein thema;lieber nicht;"
+    "contraire;je passe;m'abstiens;contra ;me abstengo;no es un;no me s;abstenho;contro ;mi astengo;против;въздърж;воздерж;ضد ;ليس;أمتنع;违反;方便;不便;恕难"
 ).split(";"):
     _CUES.add_word(_cue, 1)
 _CUES.make_automaton()
@@ -154,16 +174,27 @@ _STOPS = re.compile(r"[.!?؟…。！？]+")
 
 def ending(part: str) -> str | None:
     """The last words of a sentence: two words, or three characters of a script without spaces."""
-    tail = part[-80:].rstrip().rstrip(_EDGES)
+    tail = part.rstrip().rstrip(_EDGES)
     if tail and "㐀" <= tail[-1] <= "鿿":
         return tail[-3:]
-    words = [w for w in (x.strip(_EDGES) for x in tail.split()[-4:]) if w][-2:]
+    words: list[str] = []
+    while tail and len(words) < 2:
+        rest, _, last = tail.rpartition(" ")
+        last = last.split()[-1] if last.split() else ""
+        if word := last.strip(_EDGES):
+            words.insert(0, word)
+        tail = rest.rstrip()
     return " ".join(words) or None
 
 
+def last_word(end: str) -> str:
+    """The last word of an ending, in scripts without spaces the last character."""
+    return end[-1] if "㐀" <= end[-1] <= "鿿" else end.rpartition(" ")[2]
+
+
 def endings(text: str) -> list[str]:
-    """The endings of all finished sentences of a text."""
-    return [e for e in map(ending, _STOPS.split(plain(text))[:-1]) if e]
+    """The endings of all finished sentences of a plain text."""
+    return [e for e in map(ending, _STOPS.split(text)[:-1]) if e]
 
 
 def _sign(yes: bool, no: bool = False) -> str:
@@ -177,22 +208,21 @@ def asked_of(prompt: str | None) -> tuple[str, list[str], frozenset[str]]:
     return text, words, frozenset(words)
 
 
-def votes(prompt: str | tuple[str, list[str], frozenset[str]], answer: str | None, held: tuple[str | None, str | None, bool, bool]) -> tuple[dict[str, str], str | None]:
-    """Vote patterns of each defect, without the corpus vote on truncation, and the ending to look up.
+def votes(
+    prompt: str | tuple[str, list[str], frozenset[str]], answer: str | None, held: tuple[str | None, str | None, bool, bool], read: tuple[str, list[str], frozenset[str]] | None = None
+) -> tuple[dict[str, str], str | None]:
+    """Vote patterns of each defect, without the corpus votes on truncation, and the ending to look up.
 
-    ``held``: language of prompt and answer, and whether each is sure.
+    ``held``: language of prompt and answer, and whether each is sure.  ``read``: the answer as :func:`asked_of` reads it.
     """
-    raw = answer or ""
-    text = plain(raw)
+    text, content, _ = read or asked_of(answer)
     bare = text.strip()
-    words = _WORD.findall(bare)
-    content = words
     placeholder = bare in _PLACEHOLDER or bare.strip("<>[]().-_ ") in _PLACEHOLDER
     out = {"empty": _sign(answer is None or not bare, bool(bare)) if not content else _sign(False, not placeholder)}
     out["empty"] += _sign(not content, len(content) >= 3) + _sign(placeholder or not content, bool(content) and not placeholder)
     if not content or placeholder:
         for d in DEFECTS[1:]:
-            out[d] = "-" * (VOTERS[d] - (d == "truncated"))  # the corpus adds the last vote
+            out[d] = "-" * (VOTERS[d] - CORPUS_VOTES * (d == "truncated"))  # the corpus adds the last votes
         return out, None
 
     # Truncation: does the text stop, dangle, or end where sentences of the corpus end?
@@ -266,24 +296,6 @@ def answer_rows(identity: DataFrame, preferences: DataFrame) -> DataFrame:
 FIELDS = {"identity_sft": ("assistant",), "preference_rows": ("chosen", "rejected")}
 
 
-def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        first: dict[str, str] = {}
-        last: dict[str, str] = {}
-        tables, ids, *columns = (c.to_pylist() for c in b.columns)
-        records = [f"{t}\x00{i}" for t, i in zip(tables, ids)]
-        for column in columns:
-            for record, text in zip(records, column):
-                for e in endings(text) if text else ():
-                    if e not in first:
-                        first[e] = last[e] = record
-                    elif record < first[e]:
-                        first[e] = record
-                    elif record > last[e]:
-                        last[e] = record
-        yield pa.record_batch([pa.array(list(x), pa.string()) for x in (first, first.values(), last.values())], ["ending", "first", "last"])
-
-
 def _language(result) -> tuple[str | None, bool]:
     """The main language of a text, and whether it is sure."""
     if result is None:
@@ -293,45 +305,117 @@ def _language(result) -> tuple[str | None, bool]:
     return LANGUAGES[int(total.argmax())], bool(total.max() / total.sum() >= 0.9 and counts.sum() >= 4)
 
 
-def _votes(parts: tuple[np.ndarray, ...]):
+_PASS = ", ".join(f"{c} string" for c in ("part", "table_name", "id", "field", *DEFECTS, "ending", "first", "last")) + ", n_all long, n_final long"
+_COLUMNS = [c.split()[0] for c in _PASS.split(", ")]
+#: Distinct endings and words that a task gathers before it hands them on.
+GATHERED = 300_000
+
+
+def _read(parts: tuple[np.ndarray, ...]):
+    """One pass over the texts.  Rows of three parts: ``vote``, each answer with its votes; ``ending``, each
+    ending of a finished sentence with the first and last record that has it; ``word``, each word with
+    how often it is used and how often it ends a sentence."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(parts)
         crf = words.crf
+        first: dict[str, str] = {}
+        last: dict[str, str] = {}
+        used: Counter = Counter()
+        final: Counter = Counter()
+
+        def rows(out: dict[str, list]) -> pa.RecordBatch:
+            n = max(map(len, out.values()))
+            return pa.record_batch([pa.array(out.get(c) or [None] * n, pa.int64() if c.startswith("n_") else pa.string()) for c in _COLUMNS], _COLUMNS)
+
+        def gathered() -> Iterator[pa.RecordBatch]:
+            if first:
+                yield rows({"part": ["ending"] * len(first), "ending": list(first), "first": list(first.values()), "last": [last[e] for e in first]})
+            if used:
+                yield rows({"part": ["word"] * len(used), "ending": list(used), "n_all": list(used.values()), "n_final": [final[w] for w in used]})
+            for x in (first, last, used, final):
+                x.clear()
+
+        def gather(record: str, text: str, all_words: list[str]) -> None:
+            used.update(all_words)
+            for e in endings(text):
+                final[last_word(e)] += 1
+                if e not in first:
+                    first[e] = last[e] = record
+                elif record < first[e]:
+                    first[e] = record
+                elif record > last[e]:
+                    last[e] = record
+
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 tables, ids, prompts, a, b = (c.to_pylist() for c in batch.slice(at, 4096).columns)
-                pairs = [FIELDS[t] for t in tables]
                 texts = [x for p, *xs in zip(prompts, a, b) for x in (p, *xs)]  # prompt, a, b of each record
                 token_lists = [tokens_of(t) if t else [] for t in texts]
                 found = label_sentences(crf, token_lists, words)
                 out: dict[str, list] = {c: [] for c in ("table_name", "id", "field", *DEFECTS, "ending")}
-                for i, fields in enumerate(pairs):
+                for i, table in enumerate(tables):
                     p, sure_p = _language(found[3 * i])
                     asked = asked_of(prompts[i])
-                    for k, field in enumerate(fields, start=1):
+                    record = f"{table}\x00{ids[i]}"
+                    gather(record, asked[0], asked[1])
+                    for k, field in enumerate(FIELDS[table], start=1):
                         x, sure = _language(found[3 * i + k])
-                        row, lookup = votes(asked, texts[3 * i + k], (p, None if len(token_lists[3 * i + k]) < 3 else x, sure_p, sure))
-                        row.update(table_name=tables[i], id=ids[i], field=field, ending=lookup)
+                        read = asked_of(texts[3 * i + k])
+                        gather(record, read[0], read[1])
+                        row, lookup = votes(asked, texts[3 * i + k], (p, None if len(token_lists[3 * i + k]) < 3 else x, sure_p, sure), read)
+                        row.update(table_name=table, id=ids[i], field=field, ending=lookup)
                         for column, values in out.items():
                             values.append(row[column])
-                yield pa.record_batch([pa.array(v, pa.string()) for v in out.values()], list(out))
+                yield rows(out | {"part": ["vote"] * len(out["id"])})
+                if len(first) + len(used) > GATHERED:
+                    yield from gathered()
+        yield from gathered()
 
     return run
 
 
 def scored(identity: DataFrame, preferences: DataFrame, crf: Crf) -> DataFrame:
-    """Each answer's vote patterns; the truncation pattern ends with the vote of the corpus."""
-    rows = answer_rows(identity, preferences)
+    """Each answer's vote patterns; the truncation pattern ends with the votes of the corpus."""
+    passed = materialize(answer_rows(identity, preferences).mapInArrow(_read((crf.weights, crf.within, crf.across)), _PASS), "answers")
+    voted = passed.where("part = 'vote'").select("table_name", "id", "field", *DEFECTS, "ending")
     # An ending is known once two records have it; a record counts once, however often it is delivered.
-    spans = rows.select("table_name", "id", "prompt", "a", "b").mapInArrow(_endings, "ending string, first string, last string")
-    known = spans.groupBy("ending").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last").select("ending", F.lit(True).alias("known"))
-    schema = "table_name string, id string, field string, " + ", ".join(f"{d} string" for d in DEFECTS) + ", ending string"
-    voted = materialize(rows.mapInArrow(_votes((crf.weights, crf.within, crf.across)), schema), "votes")
-    open_ends = voted.where("ending is not null").join(known, "ending", "left").withColumn(
-        "truncated", F.concat("truncated", F.when(F.col("known").isNull(), F.lit("+")).otherwise(F.lit("-")))
+    known = passed.where("part = 'ending'").groupBy("ending").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last")
+    words = passed.where("part = 'word'").groupBy(F.col("ending").alias("word")).agg(F.sum("n_all").alias("n_all"), F.sum("n_final").alias("n_final"))
+    share = words.agg((F.sum("n_final") / F.sum("n_all")).alias("share"))  # one row
+    asked = voted.where("ending is not null").select("ending").distinct()
+    last = F.when(F.substring("ending", -1, 1).between("㐀", "鿿"), F.substring("ending", -1, 1)).otherwise(F.substring_index("ending", " ", -1))
+    facts = lookup(asked.withColumn("word", last), words, "word").join(known.select("ending", F.lit(True).alias("known")), "ending", "left").crossJoin(F.broadcast(share))
+    rate = F.col("n_final") / F.col("n_all") / F.col("share")
+    facts = facts.select(
+        "ending",
+        F.concat(
+            F.when((F.col("n_all") >= LEAST_USES) & (rate <= RARE_END), "+").when((F.col("n_all") >= LEAST_USES) & (rate >= COMMON_END), "-").otherwise("0"),
+            F.when(F.col("known").isNull(), "+").otherwise("-"),
+        ).alias("said"),
     )
-    ended = voted.where("ending is null").withColumn("truncated", F.concat("truncated", F.lit("-")))
-    return materialize(open_ends.drop("known").unionByName(ended).drop("ending"), "votes-all")
+    joined = lookup(voted, facts, "ending")
+    return materialize(joined.withColumn("truncated", F.concat("truncated", F.coalesce("said", F.when(F.col("truncated").startswith("+"), "0" * CORPUS_VOTES).otherwise("-" * CORPUS_VOTES)))).drop("ending", "said"), "votes")
+
+
+def models(rows: DataFrame) -> dict[str, dict[str, float]]:
+    """The posterior of each vote pattern of each defect; at most 3 ** voters of them."""
+    return {d: labelmodel.posteriors(rows, d, VOTERS[d]) for d in DEFECTS}
+
+
+def best_cutoffs(posteriors: dict[str, list[float]], truth: dict[str, list[bool]]) -> dict[str, tuple[float, float]]:
+    """Of each defect the cutoff with the best F1 on labelled answers, the middle of those as good, and that F1."""
+    out = {}
+    for d, scores in posteriors.items():
+        graded = []
+        for cut in sorted({0.05 * k for k in range(1, 20)}):
+            hits = [s >= cut for s in scores]
+            both = sum(h and t for h, t in zip(hits, truth[d]))
+            graded.append((2 * both / max(1, sum(hits) + sum(truth[d])), cut))
+        best = max(f for f, _ in graded)
+        as_good = [c for f, c in graded if f >= best - 1e-9]
+        out[d] = (round(as_good[len(as_good) // 2], 2), best)
+    return out
 
 
 def defects(identity: DataFrame, preferences: DataFrame, crf: Crf, cutoffs: dict[str, float] = CUTOFFS) -> DataFrame:
@@ -339,8 +423,7 @@ def defects(identity: DataFrame, preferences: DataFrame, crf: Crf, cutoffs: dict
     rows = scored(identity, preferences, crf)
     spark = rows.sparkSession
     out = None
-    for d in DEFECTS:
-        model = labelmodel.posteriors(rows, d, VOTERS[d])
+    for d, model in models(rows).items():
         sure = [(p, float(x)) for p, x in model.items() if x >= cutoffs[d]]
         patterns = spark.createDataFrame(sure, f"{d} string, posterior double")  # at most 3 ** voters rows
         found = rows.join(F.broadcast(patterns), d).select("table_name", "id", "field", F.lit(d).alias("defect"), "posterior")

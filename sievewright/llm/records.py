@@ -5,11 +5,9 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.session import table
-
 _BLOCKS = "array<struct<type:string,text:string,image_path:string>>"
 
 
@@ -57,25 +55,18 @@ def message_lists(column: pa.Array, field: str = "content") -> list[list[str]]:
     return [values[i:j] if v else [] for i, j, v in zip(offsets, offsets[1:], column.is_valid().to_pylist())]
 
 
-def latest(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """One row for each ``key``: of repeated deliveries the one with the greatest ``order`` values.
-
-    Rows whose key is null are kept as they are.  Only keys and order values that repeat are
-    sorted; the payload is carried by the same shuffle.
-    """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(key).orderBy(*[F.col(o).desc_nulls_last() for o in order])
-    ranked = df.withColumn("__rank", F.when(F.col(key).isNull(), F.lit(1)).otherwise(F.row_number().over(w)))
-    return ranked.where("__rank = 1").drop("__rank")
-
-
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
-
-
-def sft_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "sft_rows")
+def lookup(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 100_000) -> DataFrame:
+    """A left join with a table that has one row for each key, which gathers at most ``hot_rows`` of
+    ``left`` in a task: rows of keys with more, of which there are at most rows / ``hot_rows``, are
+    joined by broadcast.  Rows with a null key are kept."""
+    hot = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select(key).collect()
+    null = left.where(F.col(key).isNull()).join(right.where(F.lit(False)).withColumnRenamed(key, "__none"), F.lit(False), "left").drop("__none")
+    some = left.where(F.col(key).isNotNull())
+    if not hot:
+        return some.join(right, key, "left").unionByName(null)
+    keys = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(key).schema))
+    few = F.broadcast(right.join(keys, key, "left_semi"))
+    return some.join(keys, key, "left_anti").join(right, key, "left").unionByName(some.join(keys, key, "left_semi").join(few, key, "left")).unionByName(null)
 
 
 def text_lists(batch: pa.RecordBatch, column: str) -> list[list[str]]:

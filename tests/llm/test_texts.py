@@ -203,6 +203,57 @@ def test_one_record_makes_no_known_ending(spark, crf):
     assert got["o1"].endswith("+") and got["o2"].endswith("-")
 
 
+REFUSALS = [  # none of these stands in the tables or in the patterns
+    "That isn't a topic I'm comfortable getting into.", "This goes against my guidelines, so I'll pass.", "I won't be able to help with that request, sorry.", "I'd rather not discuss this question.",
+    "Das geht gegen meine Richtlinien, leider.", "Dazu möchte ich nicht Stellung nehmen, tut mir leid.", "C'est contraire à mes principes, désolé.", "Ce n'est pas un sujet dont je parle.", "Lo siento, va contra mis normas.",
+    "Não é um tema sobre o qual eu fale, desculpa.", "Mi dispiace, va contro le mie regole.", "Съжалявам, това е против моите правила.", "Простите, это против моих принципов.", "عذرا، هذا ضد مبادئي.", "抱歉，这个问题我不方便谈。",
+]
+
+
+@needs_data
+def test_cutoffs_are_validated(spark, crf):
+    """Defects planted in complete answers of the tables: the cutoffs lie where F1 is best, or next to it."""
+    import random
+
+    rng = random.Random(9)
+    identity = spark.read.parquet(f"{FOLDER}/identity_sft.parquet").select("id", "messages_flat", "language")
+    rows = identity.where("messages_flat.user is not null and length(messages_flat.assistant) > 60 and rtrim(messages_flat.assistant) rlike '[.。؟!]$' and language in ('en','de','fr','es','ru','bg','it','pt')").dropDuplicates(["id"]).orderBy("id").limit(420).collect()
+    planted, truth = [], {}
+    for i, r in enumerate(rows):
+        user, answer, kind = r.messages_flat.user, r.messages_flat.assistant, (*answers.DEFECTS, "ok", "ok")[i % 7]
+        if kind == "empty":
+            answer = rng.choice([None, "", "N/A", "...", " \n"])
+        elif kind == "truncated":
+            words = answer.split(" ")
+            answer = " ".join(words[: rng.randrange(max(1, len(words) - 5), len(words))])
+            answer = answer[: -rng.randrange(1, 4)] if rng.random() < 0.3 and len(words[-1]) > 4 else answer
+            if answer.rstrip()[-1:] in ".!?":
+                answer = answer.rstrip().rstrip(".!?") + " the"
+        elif kind == "refusal":
+            answer = REFUSALS[i % len(REFUSALS)]
+        elif kind == "copied_question":
+            answer = user
+        elif kind == "wrong_language":
+            answer = next(o.messages_flat.assistant for o in rows[(i + 50) % len(rows) :] + rows if o.language != r.language)
+        truth[f"planted-{i}"] = kind
+        planted.append((f"planted-{i}", (user, answer)))
+    both = identity.select("id", "messages_flat").unionByName(spark.createDataFrame(planted, "id string, messages_flat struct<user:string,assistant:string>"))
+    pref = spark.createDataFrame([], f"id string, prompt string, prompt_messages {MESSAGES}, chosen string, rejected string")
+    scored = answers.scored(both, pref, crf)
+    posterior = answers.models(scored)
+    found = [r for r in scored.collect() if r.id in truth]
+    scores = {d: [posterior[d][r[d]] for r in found] for d in answers.DEFECTS}
+    real = {d: [truth[r.id] == d for r in found] for d in answers.DEFECTS}
+    best = answers.best_cutoffs(scores, real)
+    for d in answers.DEFECTS:
+        # A refusal is in its own language, and a cut answer may be cut to a sentence: both may be of another kind too.
+        hits = [s >= answers.CUTOFFS[d] for s in scores[d]]
+        both_ = sum(h and t for h, t in zip(hits, real[d]))
+        f1 = 2 * both_ / (sum(hits) + sum(real[d]))
+        print(d, best[d], round(f1, 3), sum(hits), sum(real[d]), both_)
+        assert f1 >= best[d][1] - 0.03, (d, best[d], f1)
+
+
 # --- problem 6 -----------------------------------------------------------------------------------
 
 
