@@ -37,9 +37,14 @@ LANGUAGES = ("en", "de", "fr", "es", "pt", "it", "bg", "ru", "ar", "zh")
 TRAIN_ROWS = 80
 TRAIN_CHARS = 4_000
 FEATURES = 1 << 15
-#: Words of a stretch of whole sentences that forward-backward runs over at once.  Longer records are
-#: cut into stretches at sentence breaks, where the chain carries next to nothing.
+#: Words of a stretch of whole sentences that forward-backward runs over at first.  The messages of
+#: longer records are then carried from stretch to stretch until they no longer change, so that the
+#: posteriors are those of the whole record, whatever the length of a stretch.
 STRETCH = 96
+#: Change of a message, of all its mass, that counts as none.
+SETTLED = 1e-6
+#: Words of a training sequence; longer sentences are trained on in parts.
+PART = 60
 #: A sentence counts as held in a language from so many words and such a mean posterior.
 SENTENCE_WORDS = 5
 SENTENCE_CONFIDENCE = 0.9
@@ -98,8 +103,8 @@ def _hash(feature: str) -> int:
 def word_features(word: str) -> list[int]:
     """Hashed features: the word in canonical form, its affixes and n-grams, and its script."""
     word = canonical_form(word) or word
-    w = f"^{word}$" if len(word) < 40 else f"^{word[:20]}{word[-20:]}$"
-    found = {"w" + word[:60]}
+    w = f"^{word}$"
+    found = {"w" + word}
     found.update("p" + w[: n + 1] for n in (1, 2, 3, 4) if len(w) > n + 1)
     found.update("s" + w[-n - 1 :] for n in (1, 2, 3, 4) if len(w) > n + 1)
     found.update("g" + w[i : i + n] for n in (1, 2, 3) for i in range(len(w) - n + 1))
@@ -177,8 +182,7 @@ def fit(texts: list[tuple[str, str]], epochs: int = 8, seed: int = 7) -> Crf:
         current: list[str] = []
         for token in [*tokens_of(text), "."]:
             if _BREAK.match(token):
-                if current:
-                    sentences.append((current[:60], LANGUAGES.index(lang)))
+                sentences += [(current[i : i + PART], LANGUAGES.index(lang)) for i in range(0, len(current), PART)]
                 current = []
             else:
                 current.append(token)
@@ -299,6 +303,58 @@ def words_of(parts: tuple[np.ndarray, ...]) -> _Words:
     return _KEPT[key]
 
 
+def _messages(scores: np.ndarray, breaks: np.ndarray, lengths: np.ndarray, within: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward messages over padded sequences, each of them adding up to one."""
+    b, t, k = scores.shape
+    alpha, beta = np.empty_like(scores), np.empty_like(scores)
+    live = np.arange(t)[None, :] < lengths[:, None]
+    a = scores[:, 0] / scores[:, 0].sum(axis=1, keepdims=True)
+    alpha[:, 0] = a
+    for i in range(1, t):
+        step = np.where(breaks[:, i, None], a @ across, a @ within) * scores[:, i]
+        a = np.where(live[:, i, None], step / step.sum(axis=1, keepdims=True), a)
+        alpha[:, i] = a
+    m = np.full((b, k), 1 / k, np.float32)
+    beta[:, t - 1] = m
+    for i in range(t - 1, 0, -1):
+        g = scores[:, i] * m
+        back = np.where(breaks[:, i, None], g @ across.T, g @ within.T)
+        m = np.where(live[:, i, None], back / back.sum(axis=1, keepdims=True), m)
+        beta[:, i - 1] = m
+    return alpha, beta
+
+
+def _settle(alpha: np.ndarray, beta: np.ndarray, table: np.ndarray, ids: np.ndarray, begin: np.ndarray, fresh: np.ndarray, first: np.ndarray, length: np.ndarray, crf: Crf) -> None:
+    """Carry the messages over the edges of stretches.
+
+    From each edge within a record a front runs on, rewriting messages from those of the neighbour,
+    until what it writes is what stood there; the chain forgets within a few words.  Fronts that
+    reach the next edge go on over it.
+    """
+    last = first + length - 1
+    inner = ~fresh[first]  # stretches that continue a record
+    at = first[inner]
+    while len(at):
+        step = np.where(begin[at, None], alpha[at - 1] @ crf.across, alpha[at - 1] @ crf.within) * table[ids[at]]
+        step /= step.sum(axis=1, keepdims=True)
+        moved = np.abs(step - alpha[at]).max(axis=1) > SETTLED
+        alpha[at] = step
+        at = at[moved] + 1
+        at = at[at < len(ids)]
+        at = at[~fresh[at]]
+    ends = np.append(fresh[1:], True)  # the last word of a record
+    at = last[~ends[last]]
+    while len(at):
+        g = table[ids[at + 1]] * beta[at + 1]
+        step = np.where(begin[at + 1, None], g @ crf.across.T, g @ crf.within.T)
+        step /= step.sum(axis=1, keepdims=True)
+        moved = np.abs(step - beta[at]).max(axis=1) > SETTLED
+        beta[at] = step
+        at = at[moved] - 1
+        at = at[at >= 0]
+        at = at[~ends[at]]
+
+
 def label_sentences(crf: Crf, token_lists: list[list[str]], words: _Words | None = None):
     """For each record, arrays of its sentences: language, mean posterior, words, place in the
     tokens and posterior mass; None for a record without words."""
@@ -329,7 +385,8 @@ def label_sentences(crf: Crf, token_lists: list[list[str]], words: _Words | None
         room = (STRETCH if cut[s] else room) - size
     first = starts[cut]
     length = np.diff(np.concatenate((first, [len(ids)])))
-    post = np.empty((len(ids), len(LANGUAGES)), np.float32)
+    alpha = np.empty((len(ids), len(LANGUAGES)), np.float32)
+    beta = np.empty_like(alpha)
     order = np.argsort(length, kind="stable")
     at = 0
     while at < len(order):
@@ -345,8 +402,11 @@ def label_sentences(crf: Crf, token_lists: list[list[str]], words: _Words | None
         cells = np.where(live, cells, first[group][:, None])
         breaks = begin[cells] & live
         breaks[:, 0] = False
-        p, _, _ = _posteriors(words.table[ids[cells]], breaks, length[group], crf.within, crf.across)
-        post[cells[live]] = p[live]
+        x, y = _messages(words.table[ids[cells]], breaks, length[group], crf.within, crf.across)
+        alpha[cells[live]], beta[cells[live]] = x[live], y[live]
+    _settle(alpha, beta, words.table, ids, begin, fresh, first, length, crf)
+    post = alpha * beta
+    post /= post.sum(axis=1, keepdims=True)
     mass = np.add.reduceat(post, starts, axis=0)
     lang, sure = mass.argmax(axis=1), mass.max(axis=1) / sizes
     of = owner[starts]
@@ -396,78 +456,86 @@ def conversation_source(sft: DataFrame) -> tuple[DataFrame, str, str, Column]:
     return sft, "id", "language", F.array_join(F.transform("messages", lambda m: content_text(m["content"])), "\n\n")
 
 
+#: What is found of a record: its languages, or its segments.
+_LANGUAGE = "struct<language:string,confidence:double,n_sentences:int>"
+_SEGMENT = "struct<first_sentence:int,language:string,confidence:double,n_sentences:int,n_words:int>"
+
+
 def _label(crf_parts: tuple[np.ndarray, ...], segments: bool):
+    names = ["first_sentence", "language", "confidence", "n_sentences", "n_words"] if segments else ["language", "confidence", "n_sentences"]
+    types = {"first_sentence": pa.int32(), "language": pa.string(), "confidence": pa.float64(), "n_sentences": pa.int32(), "n_words": pa.int32()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(crf_parts)
         crf = words.crf
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 b = batch.slice(at, 2048)
-                ids = b.column(0).to_pylist()
-                texts = ["\n\n".join(t) for t in text_lists(b, "__text")]
-                token_lists = [tokens_of(t) for t in texts]
-                found = label_sentences(crf, token_lists, words)
-                out = ([], [], [], []) if not segments else ([], [], [], [], [], [])
+                found = label_sentences(crf, [tokens_of("\n\n".join(t)) for t in text_lists(b, "__text")], words)
+                out: dict[str, list] = {n: [] for n in names}
+                kept, offsets = [], [0]
                 for i, result in enumerate(found):
                     if result is None:
                         continue
-                    if not segments:
-                        for x, c in sorted(held_languages(result).items()):
-                            for column, value in zip(out, (ids[i], LANGUAGES[x], c, int((result[0] == x).sum()))):
-                                column.append(value)
-                        continue
-                    lang, confidence, counts, places, _ = result
-                    first = 0
-                    for s in range(1, len(lang) + 1):
-                        if s == len(lang) or lang[s] != lang[first]:
-                            n = int(counts[first:s].sum())
-                            row = (ids[i], first, LANGUAGES[lang[first]], float((confidence[first:s] * counts[first:s]).sum() / n), s - first, n)
-                            for column, value in zip(out, row):
-                                column.append(value)
-                            first = s
-                if segments:
-                    yield pa.record_batch([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string()), pa.array(out[3], pa.float64()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.int32())], ["record_id", "first_sentence", "language", "confidence", "n_sentences", "n_words"])
-                else:
-                    yield pa.record_batch([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.int32())], ["record_id", "language", "confidence", "n_sentences"])
+                    if segments:
+                        rows = _segments(result)
+                    else:
+                        rows = [(LANGUAGES[x], c, int((result[0] == x).sum())) for x, c in sorted(held_languages(result).items())]
+                    for row in rows:
+                        for column, value in zip(out.values(), row):
+                            column.append(value)
+                    kept.append(i)
+                    offsets.append(offsets[-1] + len(rows))
+                rows = pa.StructArray.from_arrays([pa.array(v, types[n]) for n, v in out.items()], names)
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
+                keys = b.select(["record_id", "label", "t", "h"]).take(pa.array(kept, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*keys.columns, lists], ["record_id", "label", "t", "h", "found"])
 
     return run
 
 
+def _segments(result: tuple[np.ndarray, ...]) -> list[tuple]:
+    """Runs of sentences of one language: first sentence, language, confidence, sentences, words."""
+    lang, confidence, counts, _, _ = result
+    edges = [0, *(np.flatnonzero(lang[1:] != lang[:-1]) + 1).tolist(), len(lang)]
+    out = []
+    for i, j in zip(edges, edges[1:]):
+        n = int(counts[i:j].sum())
+        out.append((i, LANGUAGES[lang[i]], float((confidence[i:j] * counts[i:j]).sum() / n), j - i, n))
+    return out
+
+
 def _both(docs: DataFrame, sft: DataFrame, crf: Crf, segments: bool) -> DataFrame:
+    """table_name, record_id, label, found: one row for each id, its latest delivery (of equally late ones
+    that with the greatest hash).  Texts aren't shuffled: a delivery is labelled where it lies."""
     parts = (crf.weights, crf.within, crf.across)
-    schema = (
-        "record_id string, first_sentence int, language string, confidence double, n_sentences int, n_words int" if segments
-        else "record_id string, language string, confidence double, n_sentences int"
+    late = lambda df, c: F.coalesce(F.unix_micros(F.col(c).cast("timestamp")), F.lit(-(2**62))) if c in df.columns else F.lit(0).cast("long")
+    inputs = (
+        ("documents", docs, F.col("doc_id").cast("string"), "lang", "text", late(docs, "collected_at")),
+        ("sft_rows", sft, F.col("id").cast("string"), "language", "messages", late(sft, "ingested_at")),
     )
-    a = docs.select(F.col("doc_id").cast("string").alias("record_id"), F.col("text").alias("__text")).where("record_id is not null")
-    b = sft.select(F.col("id").alias("record_id"), F.col("messages").alias("__text")).where("record_id is not null")
-    found = [x.mapInArrow(_label(parts, segments), schema).withColumn("table_name", F.lit(name)) for name, x in (("documents", a), ("sft_rows", b))]
-    return found[0].unionByName(found[1])
+    found = None
+    for name, df, key, label, text, t in inputs:
+        rows = df.select(key.alias("record_id"), label_code(label).alias("label"), t.alias("t"), F.xxhash64(text).alias("h"), F.col(text).alias("__text")).where("record_id is not null")
+        part = rows.mapInArrow(_label(parts, segments), f"record_id string, label string, t long, h long, found array<{_SEGMENT if segments else _LANGUAGE}>")
+        part = part.withColumn("table_name", F.lit(name))
+        found = part if found is None else found.unionByName(part)
+    mark = F.struct("t", "h")
+    return found.groupBy("table_name", "record_id").agg(F.max_by(F.struct("label", "found"), mark).alias("x")).select("table_name", "record_id", "x.label", "x.found")
 
 
 def languages(docs: DataFrame, sft: DataFrame, crf: Crf) -> DataFrame:
     """table_name, record_id, language, confidence, n_sentences: a row for each language a record holds."""
-    return _both(docs, sft, crf, False).dropDuplicates(["table_name", "record_id", "language"])
+    return _both(docs, sft, crf, False).select("table_name", "record_id", F.inline("found"))
 
 
 def segments(docs: DataFrame, sft: DataFrame, crf: Crf) -> DataFrame:
     """The segments of every record: runs of sentences of one language, with confidence."""
-    return _both(docs, sft, crf, True).dropDuplicates(["table_name", "record_id", "first_sentence"])
+    return _both(docs, sft, crf, True).select("table_name", "record_id", F.inline("found"))
 
 
 def wrong_labels(docs: DataFrame, sft: DataFrame, crf: Crf) -> DataFrame:
-    """table_name, record_id, language of the records whose label is missing, wrong or one of several.
-
-    The label travels with the text, so that nothing is joined back by id.
-    """
-    sep = "\u001f"
-    a = docs.select(F.concat_ws(sep, F.col("doc_id").cast("string"), F.coalesce(label_code("lang"), F.lit(""))).alias("doc_id"), "text").where(F.col("doc_id").isNotNull())
-    b = sft.select(F.concat_ws(sep, F.col("id"), F.coalesce(label_code("language"), F.lit(""))).alias("id"), "messages").where(F.col("id").isNotNull())
-    found = languages(a, b, crf)
-    key = F.split("record_id", sep)
-    rows = found.select("table_name", key[0].alias("record_id"), key[1].alias("label"), "language")
-    by = rows.groupBy("table_name", "record_id", "label").agg(F.collect_set("language").alias("held"))  # at most ten
-    return (
-        by.where((F.col("label") == "") | ~F.array_contains("held", F.col("label")) | (F.size("held") > 1))
-        .select("table_name", "record_id", F.explode("held").alias("language")).distinct()
-    )
+    """table_name, record_id, language of the records whose label is missing, wrong or one of several."""
+    held = F.transform("found", lambda x: x["language"])
+    rows = _both(docs, sft, crf, False).select("table_name", "record_id", "label", held.alias("held"))
+    return rows.where(F.col("label").isNull() | ~F.array_contains("held", F.col("label")) | (F.size("held") > 1)).select("table_name", "record_id", F.explode("held").alias("language"))

@@ -144,6 +144,42 @@ def test_mixed_and_wrong_labels(spark, crf):
     assert languages.wrong_labels(docs.limit(0), sft.limit(0), crf).count() == 0
 
 
+@needs_data
+def test_stretches_give_what_the_whole_record_gives(spark, crf):
+    """Records below, at and far above a stretch: sentences and posteriors are those of one chain over all words."""
+    import numpy as np
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("length(text) > 40").orderBy("doc_id").limit(150).collect()
+    lists = [languages.tokens_of(r.text) for r in docs]
+    mixed = [t for a, b in zip(lists[:60:2], lists[1:60:2]) for t in (*a, ".", *b, ".")]
+    lists += [mixed * 6, ("archive team seed list " * 3000).split(), [w for t in lists[:40] for w in t if w != "."]]
+    for size in (95, 96, 97, 10_000):
+        lists.append([w for w in ("the archive team compares the seed list . " * 2000).split()][:size])
+    assert max(map(len, lists)) > 10_000
+    cut = languages.label_sentences(crf, lists)
+    whole, languages.STRETCH = languages.STRETCH, 10**9
+    try:
+        one = languages.label_sentences(crf, lists)
+    finally:
+        languages.STRETCH = whole
+    for a, b in zip(cut, one):
+        assert (a is None) == (b is None)
+        if a is not None:
+            assert (a[0] == b[0]).all() and (a[2] == b[2]).all()
+            assert np.abs(a[1] - b[1]).max() < 1e-4 and languages.held_languages(a).keys() == languages.held_languages(b).keys()
+
+
+@needs_data
+def test_of_two_deliveries_the_latest_counts(spark, crf):
+    en, de = "The archive team compares the seed list behind the workshop.", "Das Archivteam vergleicht die Saatliste hinter der Werkstatt."
+    rows = [("a", [("user", en)], "en", "2024-01-02"), ("a", [("user", de)], "en", "2024-01-01"), ("b", [("user", en)], "en", None), ("b", [("user", de)], "en", "2024-01-01")]
+    sft = spark.createDataFrame(rows, f"id string, messages {MESSAGES}, language string, ingested_at string")
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    got = {(r.record_id, r.language) for r in languages.languages(docs, sft, crf).collect()}
+    assert got == {("a", "en"), ("b", "de")}
+    assert {(r.record_id, r.language) for r in languages.wrong_labels(docs, sft, crf).collect()} == {("b", "de")}
+
+
 # --- label model and problem 5 ---------------------------------------------------------------------
 
 
