@@ -9,6 +9,11 @@ from sievewright.functions.text import squeeze
 
 BLOCKS = "array<struct<type:string,text:string,image:string,path:string,image_path:string,image_bytes_b64:string>>"
 
+TURN = "struct<role:string,content:string>"
+IMAGE_FIELDS = ("image", "path", "image_path", "image_bytes_b64")
+#: Stands for a message that holds images only.
+IMAGE_ONLY = "Image reference omitted for text-only training."
+
 # Role names of other layouts, and older bucket names of categories.
 ROLE_ALIASES = {"user": "user", "human": "user", "assistant": "assistant", "gpt": "assistant", "model": "assistant", "bot": "assistant"}
 BUCKETS = {
@@ -31,12 +36,6 @@ def content_text(content: Column, joint: str = " ") -> Column:
     return F.coalesce(F.when(content.startswith("[{"), F.coalesce(F.array_join(texts, joint), content)).otherwise(content), F.lit(""))
 
 
-def as_blocks(content: Column) -> Column:
-    """The block list; plain text becomes one text block, null and empty an empty list."""
-    one = F.array(F.struct(F.lit("text").alias("type"), content.alias("text"), *[F.lit(None).cast("string").alias(n) for n in ("image", "path", "image_path", "image_bytes_b64")]))
-    return F.when(is_blocks(content), F.from_json(content, BLOCKS)).when(content.isNull() | (content == ""), F.array().cast(BLOCKS)).otherwise(one.cast(BLOCKS))
-
-
 def texts(messages: Column, role: str | None = None, joint: str = " ") -> Column:
     """Texts of all messages, or of those of one role."""
     kept = F.filter(messages, lambda m: m["role"] == role) if role else messages
@@ -83,16 +82,20 @@ def role(name: Column) -> Column:
 
 def image_kind(block: Column) -> Column:
     """How a block refers to its image, by priority."""
-    ref = F.coalesce(block["image_path"], block["image"], block["path"])
+    held = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
     return (
-        F.when(F.coalesce(block["image_bytes_b64"], F.lit("")) != "", "image_bytes_b64")
-        .when((F.coalesce(block["image_path"], F.lit("")) != "") & ~ref.rlike("^(image|synthetic)://"), "image_path")
-        .when(ref.rlike("^(image|synthetic)://"), "placeholder_uri")
-        .when(F.coalesce(ref, F.lit("")) != "", "image_path_like")
-        .otherwise("missing")
+        F.when(held(block["image_bytes_b64"]), "image_bytes_b64").when(held(block["image_path"]), "image_path")
+        .when(held(block["image"]) & F.lower(F.trim(block["image"])).rlike("^(image|synthetic)://"), "placeholder_uri").when(held(block["image"]), "image_path_like").otherwise("missing")
     )
 
 
+def chat_text(content: Column) -> Column:
+    """A message as plain text: its text blocks, each trimmed, in lines; a fixed sentence for a list without text."""
+    parts = F.filter(F.transform(F.filter(F.from_json(content, BLOCKS), lambda b: b["type"] == "text"), lambda b: F.trim(F.regexp_replace(b["text"], r"^\s+|\s+$", ""))), lambda t: t != "")
+    listed = F.when(F.size(parts) > 0, F.array_join(parts, "\n")).otherwise(IMAGE_ONLY)
+    return F.coalesce(F.when(is_blocks(content), listed).otherwise(F.regexp_replace(content, r"^\s+|\s+$", "")), F.lit(""))
+
+
 def collapse_to_text(messages: Column) -> Column:
-    """Messages with their text blocks joined by line breaks, images dropped."""
-    return F.transform(messages, lambda m: F.struct(m["role"].alias("role"), content_text(m["content"], "\n").alias("content")))
+    """Messages as plain text, images dropped; a missing role is the user's."""
+    return F.transform(messages, lambda m: F.struct(F.coalesce(F.nullif(m["role"], F.lit("")), F.lit("user")).alias("role"), chat_text(m["content"]).alias("content")))

@@ -82,6 +82,16 @@ def scrub_markers(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def scrubbed(text: Column) -> Column:
+    """The text without reasoning blocks and markers, and how many of them went: text, removed."""
+    removed = F.lit(0)
+    current = text
+    for pattern in [*(f"(?is){b}" for b in MARKER_BLOCKS), *(f"(?i){p}" for p in MARKERS.values())]:
+        removed = removed + F.regexp_count(current, F.lit(pattern))
+        current = F.regexp_replace(current, pattern, " ")
+    return F.struct(F.trim(F.regexp_replace(current, r"\s+", " ")).alias("text"), removed.alias("removed"))
+
+
 def dedupe_form(text: Column) -> Column:
     """The form in which exact duplicates are compared."""
     lowered = F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))
@@ -124,12 +134,6 @@ def garbled(text: Column) -> Column:
     return text.isNull() | (F.trim(F.regexp_replace(text, r"\s+", " ")) == "") | F.contains(text, F.lit("�")) | (control > 0.02)
 
 
-def first_phrase(text: Column, phrases: tuple[str, ...] = FORBIDDEN_PHRASES) -> Column:
-    """The first listed phrase that a text holds; null if none."""
-    low = F.lower(text)
-    return F.coalesce(*[F.when(F.contains(low, F.lit(p)), F.lit(p)) for p in phrases])
-
-
 def script_score(text: Column, language: Column) -> Column:
     """10, or 6 where a language with a script of its own shows none of it."""
     own = {"ru": "[Ѐ-ӿ]", "ar": "[؀-ۿ]", "zh": "[一-鿿]"}
@@ -144,7 +148,7 @@ def hash_index(key: Column, size: int, shift: int = 1) -> Column:
     return F.conv(F.substring(F.md5(key), shift, 8), 16, 10).cast("bigint") % size
 
 
-def hash_unit(*keys: Column | str, seed: int = 0) -> Column:
-    """A fixed pseudo-random number in [0, 1)."""
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+def hash_unit(key: Column | str, seed: int = 0) -> Column:
+    """A fixed pseudo-random number in [0, 1) from a value's text and a seed."""
+    column = F.col(key) if isinstance(key, str) else key
+    return hash_index(F.concat(column.cast("string"), F.lit(f"/{seed}")), 1 << 32) / float(1 << 32)

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.operators.order import numbered
+from sievewright.session import materialize
+
 
 def first_of_each(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first row of each key.  A grouped minimum finds it, combined before the shuffle, so that
-    a key with a third of all rows is no problem; rows are not sorted."""
-    winner = df.groupBy(key).agg(F.min(F.struct(*order)).alias("__first"))
-    fields = [F.col(f"__first.{o}").alias(o) for o in order]
-    return df.join(winner.select(F.col(key), *fields), [key, *order], "left_semi")
+    """The first row of each key, any one of equally early ones.  A grouped minimum finds it, combined
+    before the shuffle, so that a key with a third of all rows is no problem; rows are not sorted."""
+    rest = [c for c in df.columns if c != key]
+    first = df.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first"))
+    return first.select(*[F.col(key) if c == key else F.col(f"__first.{c}").alias(c) for c in df.columns])
 
 
 def copy_counts(df: DataFrame, key: str, member: str) -> DataFrame:
@@ -24,9 +27,19 @@ def copy_counts(df: DataFrame, key: str, member: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(member).alias(member), F.count(F.lit(1)).alias("n_copies"))
 
 
-def not_in_ledger(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
+def not_in_ledger(df: DataFrame, ledger: DataFrame, *keys: str) -> DataFrame:
     """Rows whose key no earlier batch had."""
-    return df.join(ledger.select(key).distinct(), key, "left_anti")
+    return df.join(ledger.select(*keys), list(keys), "left_anti")
+
+
+def first_not_in_ledger(df: DataFrame, earlier: Column, key: str, member: str) -> DataFrame:
+    """``key`` and the least ``member`` of the new rows of each key that no earlier row has.
+
+    Earlier rows are those of the same table where ``earlier`` holds: one aggregation, combined before
+    the shuffle, instead of a join of the table with itself.
+    """
+    by = df.groupBy(key).agg(F.bool_or(F.coalesce(earlier, F.lit(False))).alias("__old"), F.min(member).alias(member))
+    return by.where("not __old").select(member, key)
 
 
 def near_duplicates(
@@ -42,21 +55,21 @@ def near_duplicates(
     pass over each block then carries the real look-back from slice to slice and judges rows again
     until it equals the guessed one, from where on the guess is right.
     """
-    place = Window.partitionBy(*block).orderBy(order)
-    numbered = df.select(*block, order, prompt, answer).withColumn("__n", F.row_number().over(place).cast("long") - 1).withColumn("__slice", F.floor(F.col("__n") / slice_rows))
-    lead = numbered.where(F.col("__n") % slice_rows >= slice_rows - 2 * window).withColumn("__slice", F.col("__slice") + 1).withColumn("__lead", F.lit(True))
-    rows = numbered.withColumn("__lead", F.lit(False)).unionByName(lead)
+    placed = numbered(df.select(*block, order, prompt, answer), [order], "__n", block)
+    placed = materialize(placed.withColumn("__n", F.col("__n") - 1).withColumn("__slice", F.floor(F.col("__n") / slice_rows)), "near")
+    lead = placed.where(F.col("__n") % slice_rows >= slice_rows - 2 * window).withColumn("__slice", F.col("__slice") + 1).withColumn("__lead", F.lit(True))
+    rows = placed.withColumn("__lead", F.lit(False)).unionByName(lead)
     kinds = dict(df.dtypes)
 
-    def judge(p: str, a: str, kept: deque) -> bool:
-        return not any(_near(p, a, q, b, ratio) for _, q, b in kept)
+    def judge(p: Seen, a: Seen, kept: deque) -> bool:
+        return not any(p.near(q, ratio) and a.near(b, ratio) for _, q, b in kept)
 
     def guess(t: pa.Table) -> pa.Table:
         t = t.sort_by("__n")
         kept: deque = deque(maxlen=window)
         flags, start = [], None
         for n, p, a, is_lead in zip(*(t[c].to_pylist() for c in ("__n", prompt, answer, "__lead"))):
-            p, a = p or "", a or ""
+            p, a = Seen(p or ""), Seen(a or "")
             if not is_lead and start is None:
                 start = [m for m, _, _ in kept]
             keep = judge(p, a, kept)
@@ -84,7 +97,7 @@ def near_duplicates(
         for batch in batches:
             flags = []
             for n, p, a, keep, start in zip(*(batch[c].to_pylist() for c in guessed[-5:])):
-                p, a = p or "", a or ""
+                p, a = Seen(p or ""), Seen(a or "")
                 if n == 0:  # a new block
                     real.clear()
                     places.clear()
@@ -106,12 +119,19 @@ def near_duplicates(
     return first.repartition(*block).sortWithinPartitions(*block, "__n").mapInArrow(settle, f"`{order}` {kinds[order]}, kept boolean")
 
 
-def _near(p: str, a: str, q: str, b: str, ratio: float) -> bool:
-    for x, y in ((p, q), (a, b)):
-        # Cheap upper bounds first; the ratio itself is quadratic.
-        if 2 * min(len(x), len(y)) < ratio * (len(x) + len(y)):
-            return False
-        m = SequenceMatcher(None, x, y)
-        if m.quick_ratio() < ratio or m.ratio() < ratio:
+class Seen:
+    """A text of the look-back with what cheap bounds need."""
+
+    __slots__ = ("text", "counts", "size")
+
+    def __init__(self, text: str):
+        self.text, self.counts, self.size = text, Counter(text), len(text)
+
+    def near(self, other: Seen, ratio: float) -> bool:
+        """Whether the edit ratio reaches ``ratio``; length and common characters bound it from above first."""
+        whole = self.size + other.size
+        if not whole:
+            return True
+        if 2 * min(self.size, other.size) < ratio * whole or 2 * (self.counts & other.counts).total() < ratio * whole:
             return False
-    return True
+        return self.text == other.text or SequenceMatcher(None, self.text, other.text).ratio() >= ratio

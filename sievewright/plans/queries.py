@@ -2,33 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Callable
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievewright.functions import messages as M
 from sievewright.functions import text as T
-from sievewright.operators import dedupe, filters, mixing, reports, rubric
-from sievewright.session import table
+from sievewright.operators import dedupe, filters, mixing, normalize, reports
+from sievewright.plans.registry import QUERIES, SQL, Query, query
+from sievewright.session import materialize, scratch_dir, table
 from sievewright.sources import jsonl, upstream
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql:
-            SQL[function.__name__] = sql
-        return function
-
-    return add
-
-
 # SQL of the building blocks; {0} is the argument.
 _TXT = "CASE WHEN {0} LIKE '[{{%' AND json_valid({0}) THEN array_to_string(json_extract_string({0}, '$[*].text'), ' ') ELSE coalesce({0}, '') END"
 _TOK = "coalesce(len(regexp_extract_all({0}, '" + T.TOKEN_PATTERN + "')), 0)"
@@ -190,27 +175,55 @@ _ATTEST = (
     "starts_with(upper(coalesce(source_id, '')), 'PRIVATE_LOCAL') AND NOT coalesce(coalesce(trim(private_local_attestation.provenance_attestation) <> '', false) AND "
     "coalesce(trim(private_local_attestation.license) <> '', false) AND coalesce(trim(private_local_attestation.pii_policy) <> '', false) AND private_local_attestation.redistribution_allowed IS NOT NULL, false)"
 )
-_STRICT = (
-    "CASE WHEN schema_version IS NULL OR schema_version <> '1.0' THEN 'schema_version' WHEN id IS NULL OR trim(id) = '' THEN 'id' "
-    "WHEN source_id IS NULL OR trim(source_id) = '' THEN 'source_id' WHEN license IS NULL OR trim(license) = '' THEN 'license' "
-    "WHEN category IS NULL OR trim(category) = '' THEN 'category' WHEN modality IS NULL OR modality NOT IN ('text', 'image_text') THEN 'modality' "
-    f"WHEN NOT ({_OFF}) THEN 'thinking' WHEN coalesce(chat_template_kwargs.enable_thinking, false) THEN 'chat_template_kwargs' "
-    "WHEN messages IS NULL OR len(messages) = 0 THEN 'messages' WHEN len(list_filter(messages, lambda m: m.role IS NULL OR m.role NOT IN ('system', 'user', 'assistant'))) > 0 THEN 'role' "
-    r"WHEN len(list_filter(messages, lambda m: regexp_replace(" + txt("m.content") + r", '^\s+|\s+$', '', 'g') = '')) > 0 THEN 'content' "
-    f"WHEN ({marks(_ALL_TEXT)}) > 0 THEN 'marker' WHEN {_ATTEST} THEN 'attestation' ELSE 'ok' END"
+_LISTED = "(m.content LIKE '[{%' AND json_valid(m.content))"
+_MARKS_OF = "(" + marks("(" + txt("m.content") + ")") + ") > 0"
+_FIRST = "list_filter({0}, lambda c: c IS NOT NULL)[1]"
+_BLOCK = (
+    r"CASE json_extract_string(b, '$.type') WHEN 'text' THEN CASE WHEN coalesce(regexp_replace(json_extract_string(b, '$.text'), '^\s+|\s+$', '', 'g'), '') = '' THEN 'block_text' END "
+    "WHEN 'image' THEN CASE WHEN coalesce(trim(json_extract_string(b, '$.image_path')), '') = '' AND coalesce(trim(json_extract_string(b, '$.image')), '') = '' AND coalesce(trim(json_extract_string(b, '$.image_bytes_b64')), '') = '' THEN 'image_reference' END ELSE 'block_type' END"
+)
+_VISION = (
+    "coalesce("
+    + _FIRST.format(
+        f"list_transform(messages, lambda m: CASE WHEN NOT {_LISTED} THEN CASE WHEN m.role = 'user' THEN 'user_content' WHEN "
+        + r"regexp_replace(m.content, '^\s+|\s+$', '', 'g') = '' THEN 'content' END ELSE "
+        + _FIRST.format(f"list_transform(TRY_CAST(m.content AS JSON[]), lambda b: {_BLOCK})")
+        + " END)"
+    )
+    + f", CASE WHEN len(list_filter(messages, lambda m: m.role = 'user' AND {_LISTED} AND len(list_filter(TRY_CAST(m.content AS JSON[]), lambda b: json_extract_string(b, '$.type') = 'image')) > 0)) = 0 THEN 'no_user_image' END)"
 )
 
 
+def _strict_sql(images: bool) -> str:
+    return (
+        "CASE WHEN schema_version IS NULL OR schema_version <> '1.0' THEN 'schema_version' WHEN id IS NULL OR trim(id) = '' THEN 'id' "
+        "WHEN source_id IS NULL OR trim(source_id) = '' THEN 'source_id' WHEN license IS NULL OR trim(license) = '' THEN 'license' "
+        "WHEN coalesce(trim(modality), 'text') NOT IN ('text', 'image_text') THEN 'modality' WHEN messages IS NULL OR len(messages) = 0 THEN 'messages' ELSE coalesce("
+        + _FIRST.format(
+            "list_transform(messages, lambda m: CASE WHEN m.role IS NULL OR m.role NOT IN ('system', 'user', 'assistant') THEN 'role' WHEN m.content IS NULL THEN 'content' "
+            f"WHEN NOT {_LISTED} AND {_MARKS_OF} THEN 'marker' END)"
+        )
+        + r", CASE WHEN len(list_filter(messages, lambda m: m.role = 'user' AND regexp_replace(" + txt("m.content") + r", '^\s+|\s+$', '', 'g') <> '')) = 0 THEN 'user_prompt' "
+        + f"WHEN len(list_filter(messages, lambda m: {_LISTED} AND {_MARKS_OF})) > 0 THEN 'marker' WHEN NOT ({_OFF}) THEN 'thinking' WHEN coalesce(chat_template_kwargs.enable_thinking, false) THEN 'chat_template_kwargs' "
+        + f"WHEN {_ATTEST} THEN 'attestation' "
+        + (f"WHEN coalesce(trim(modality), 'text') = 'image_text' AND ({_VISION}) IS NOT NULL THEN 'image:' || ({_VISION}) " if images else "")
+        + "ELSE 'ok' END) END"
+    )
+
+
+_STRICT = _strict_sql(True)
+
+
 @query(f"SELECT id, ingested_at, {_STRICT} AS reason FROM sft_rows")
 def q14_strict_validate(spark, folder):
     df = sft(spark, folder)
     return df.select("id", "ingested_at", filters.strict_reason(df).alias("reason"))
 
 
-_LISTED = "(SELECT trim(source_id) AS s, arg_max(enabled, coalesce(license, '') || chr(1) || coalesce(default_split, '')) AS enabled FROM allowlist_entries GROUP BY 1)"
+_ALLOWED = "(SELECT trim(source_id) AS s, arg_max(enabled, coalesce(license, '') || chr(1) || coalesce(default_split, '')) AS enabled FROM allowlist_entries GROUP BY 1)"
 
 
-@query(f"SELECT CASE WHEN l.s IS NULL THEN 'not_listed' WHEN l.enabled THEN 'ok' ELSE 'not_enabled' END AS admission, r.source_id, count(*) AS n_rows FROM sft_rows r LEFT JOIN {_LISTED} l ON trim(r.source_id) = l.s GROUP BY ALL")
+@query(f"SELECT CASE WHEN l.s IS NULL THEN 'not_listed' WHEN l.enabled THEN 'ok' ELSE 'not_enabled' END AS admission, r.source_id, count(*) AS n_rows FROM sft_rows r LEFT JOIN {_ALLOWED} l ON trim(r.source_id) = l.s GROUP BY ALL")
 def q15_source_admission(spark, folder):
     admitted = filters.admit(sft(spark, folder).select("source_id"), table(spark, folder, "allowlist_entries"))
     return admitted.groupBy("admission", "source_id").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -226,10 +239,13 @@ def q18_category_alias(spark, folder):
     return sft(spark, folder).groupBy(M.category(F.lit(None).cast("string"), F.col("category")).alias("category")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("SELECT coalesce(nullif(trim(source), ''), 'unknown') AS source, coalesce(nullif(trim(lang), ''), 'unknown') AS language, count(*) AS n_rows FROM documents GROUP BY ALL")
+_TRIM = "nullif(regexp_replace({0}, '^\\s+|\\s+$', '', 'g'), '')"
+
+
+@query(f"SELECT coalesce({_TRIM.format('source')}, 'unknown') AS source, coalesce({_TRIM.format('lang')}, 'unknown') AS language, count(*) AS n_rows FROM documents GROUP BY ALL")
 def q19_source_language(spark, folder):
-    plain = lambda c: F.coalesce(F.nullif(F.trim(F.col(c)), F.lit("")), F.lit("unknown"))
-    return docs(spark, folder).groupBy(plain("source").alias("source"), plain("lang").alias("language")).agg(F.count(F.lit(1)).alias("n_rows"))
+    named = docs(spark, folder).select(normalize.source_id(F.col("source")).alias("source"), normalize.language(F.col("lang")).alias("language"))
+    return named.groupBy("source", "language").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 _SQ = _SQUEEZE.format("(" + txt("m.content") + ")")
@@ -315,8 +331,7 @@ def q28_exact_dedupe(spark, folder):
 def q29_ledger_dedupe(spark, folder):
     signed = docs(spark, folder).where("text is not null").select("doc_id", "collected_at", F.sha2(T.dedupe_form(F.col("text")), 256).alias("signature"))
     day = F.lit("2025-06-01 00:00:00+00:00").cast("timestamp")
-    fresh = dedupe.not_in_ledger(signed.where((F.col("collected_at") >= day) | F.col("collected_at").isNull()), signed.where(F.col("collected_at") < day), "signature")
-    return dedupe.first_of_each(fresh, "signature", "doc_id").select("doc_id", "signature")
+    return dedupe.first_not_in_ledger(signed, F.col("collected_at") < day, "signature", "doc_id")
 
 
 @query()
@@ -379,7 +394,7 @@ def q34_allocate(spark, folder):
 
 
 @query(
-    "WITH RECURSIVE t AS (SELECT doc_id, n, row_number() OVER (ORDER BY doc_id) AS i FROM (SELECT doc_id, CAST(" + tok("text") + " AS BIGINT) AS n FROM documents) WHERE n > 0), "
+    "WITH RECURSIVE t AS MATERIALIZED (SELECT doc_id, n, row_number() OVER (ORDER BY doc_id) AS i FROM (SELECT doc_id, CAST(" + tok("text") + " AS BIGINT) AS n FROM documents) WHERE n > 0), "
     "f AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS doc_id, CAST(0 AS BIGINT) AS n, CAST(100000 AS BIGINT) AS room "
     "UNION ALL SELECT t.i, CASE WHEN t.n <= f.room THEN t.doc_id END, t.n, CASE WHEN t.n <= f.room THEN f.room - t.n ELSE f.room END FROM f JOIN t ON t.i = f.i + 1) "
     "SELECT doc_id, n AS n_tokens FROM f WHERE doc_id IS NOT NULL"
@@ -447,73 +462,15 @@ def q42_length_report(spark, folder):
     return reports.floor_percentiles(lengths, "lang", "v")
 
 
-TERMS = ("veyra-2", "noctule")
-
-
-def _any_sql(c: str, phrases) -> str:
-    return "(" + " OR ".join(f"contains({c}, '{p.replace(chr(39), chr(39) * 2)}')" for p in phrases) + ")"
-
-
-def _score_sql(t: str, lang: str) -> str:
-    low, words = f"lower({t})", f"greatest({_LENGTH.format(t)}, 1)"
-    neg, d = _any_sql(low, rubric.NEGATIVE), "::DOUBLE"
-    parts = {
-        "identity": f"10{d} - (0{d}" + "".join(f" + CASE WHEN contains({low}, '{x}') THEN 0{d} ELSE 4{d} END" for x in TERMS) + ")",
-        "tone": f"10{d} - CASE WHEN contains({t}, '!!') THEN 2.5{d} ELSE 0{d} END + CASE WHEN {_any_sql(low, rubric.FRIENDLY)} THEN 0.5{d} ELSE 0{d} END - CASE WHEN length({t}) > 2200 THEN 4{d} ELSE 0{d} END",
-        "brevity": f"CASE WHEN {words} > 220 THEN greatest(0{d}, 10 - ({words} - 220) / 60{d}) WHEN {words} < 11 THEN greatest(0{d}, 10 - (11 - {words}) * (10{d} / 11)) ELSE 10{d} END",
-        "honesty": f"CASE WHEN {neg} THEN 5{d} ELSE 10{d} END",
-        "capability": f"10{d}",
-        "no_tools": f"CASE WHEN {_any_sql(low, rubric.TOOLS)} THEN 0{d} ELSE 10{d} END",
-        "no_reasoning": f"CASE WHEN {neg} THEN 0{d} ELSE 10{d} END",
-        "language": f"CASE WHEN {lang} = 'zh' AND NOT regexp_matches({t}, '[\\x{{4e00}}-\\x{{9fff}}]') THEN 6{d} WHEN {lang} = 'ar' AND NOT regexp_matches({t}, '[\\x{{0600}}-\\x{{06ff}}]') THEN 6{d} WHEN {lang} = 'ru' AND NOT regexp_matches({t}, '[\\x{{0400}}-\\x{{04ff}}]') THEN 6{d} ELSE 10{d} END",
-    }
-    total = f"0{d}" + "".join(f" + ({parts[n]}) * {w}{d}" for n, w in rubric.WEIGHTS.items())
-    return f"greatest(0{d}, least(100{d}, ({total}) * 10{d}))"
-
-
-_ANSWERS = "(SELECT id, seed_id, language, messages_flat.assistant AS a FROM identity_sft WHERE messages_flat.assistant IS NOT NULL)"
-
-
-def scored_identity(spark, folder):
-    answers = table(spark, folder, "identity_sft").where("messages_flat.assistant is not null")
-    return answers.select("id", "seed_id", F.col("messages_flat.assistant").alias("a"), "language", rubric.score(F.col("messages_flat.assistant"), F.col("language"), TERMS).alias("score"))
-
-
-@query(f"SELECT id, {_score_sql('a', 'language')} AS score FROM {_ANSWERS}")
-def q43_rubric_score(spark, folder):
-    return scored_identity(spark, folder).select("id", "score")
-
-
-@query(f"SELECT seed_id, score, id FROM (SELECT seed_id, id, {_score_sql('a', 'language')} AS score FROM {_ANSWERS}) QUALIFY row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, id) = 1")
-def q44_best_candidate(spark, folder):
-    return rubric.best_of(scored_identity(spark, folder).select("seed_id", "score", "id"), ["seed_id"], "score", "id")
-
-
-_WORSE = f"(SELECT a.id, a.language, m.mode, a.a, a.a || m.tail AS w FROM {_ANSWERS} a, (VALUES {', '.join(f'({k!r}, {v!r})' for k, v in rubric.FAILURES.items())}) m(mode, tail))"
+def _unit_sql(key: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE"
 
 
-def worsened(spark, folder):
-    modes = F.explode(F.array(*[F.lit(m) for m in rubric.FAILURES]))
-    return scored_identity(spark, folder).withColumn("mode", modes).withColumn("w", rubric.worsen(F.col("a"), F.col("mode")))
-
-
-@query(f"SELECT id, mode, w AS worse FROM {_WORSE}")
-def q45_failure_injection(spark, folder):
-    return worsened(spark, folder).select("id", "mode", F.col("w").alias("worse"))
-
-
-@query(
-    f"SELECT mode, count(*) AS n_pairs, CAST(sum(CASE WHEN margin >= 0.8::DOUBLE THEN 1 ELSE 0 END) AS BIGINT) AS n_kept FROM (SELECT mode, {_score_sql('a', 'language')} - {_score_sql('w', 'language')} AS margin FROM {_WORSE}) GROUP BY mode"
-)
-def q46_margin_filter(spark, folder):
-    rows = worsened(spark, folder).withColumn("margin", F.col("score") - rubric.score(F.col("w"), F.col("language"), TERMS))
-    return rows.groupBy("mode").agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.col("margin") >= 0.8).alias("n_kept"))
-
-
-@query()
+@query(f"SELECT doc_id, source, {_unit_sql("CAST(doc_id AS VARCHAR) || '/3407'")} AS u FROM documents ORDER BY u, doc_id LIMIT 500")
 def q48_hash_sample(spark, folder):
     """A sample of 500 documents without replacement, the same every time."""
-    return docs(spark, folder).select("doc_id", "source", T.hash_unit("doc_id", seed=3407).alias("u")).orderBy("u", "doc_id").limit(500)
+    u = T.hash_unit(F.col("doc_id").cast("string"), 3407)
+    return docs(spark, folder).select("doc_id", "source", u.alias("u")).orderBy("u", "doc_id").limit(500)
 
 
 @query("SELECT doc_id, CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 7 AS BIGINT) AS fragment FROM documents")
@@ -540,7 +497,7 @@ def q51_training_surface(spark, folder):
 
 
 @query(
-    "SELECT CASE WHEN regexp_matches(p, '^(image|synthetic)://') THEN 'placeholder_uri' WHEN coalesce(p, '') <> '' THEN 'image_path' ELSE 'missing' END AS kind, count(*) AS n_blocks FROM "
+    "SELECT CASE WHEN coalesce(trim(p), '') <> '' THEN 'image_path' ELSE 'missing' END AS kind, count(*) AS n_blocks FROM "
     "(SELECT b.image_path AS p FROM (SELECT unnest(m.content) AS b FROM (SELECT unnest(messages) AS m FROM identity_sft)) WHERE b.type = 'image') GROUP BY ALL"
 )
 def q52_image_kind(spark, folder):
@@ -549,9 +506,15 @@ def q52_image_kind(spark, folder):
     return wide.groupBy(M.image_kind(F.col("b")).alias("kind")).agg(F.count(F.lit(1)).alias("n_blocks"))
 
 
-@query("SELECT id, ingested_at, array_to_string(list_transform(messages, lambda m: coalesce(m.role, '') || '=' || CASE WHEN m.content LIKE '[{%' AND json_valid(m.content) THEN array_to_string(json_extract_string(m.content, '$[*].text'), chr(10)) ELSE coalesce(m.content, '') END), chr(10)) AS chat FROM sft_rows")
+_CHAT_TEXT = (
+    "CASE WHEN m.content LIKE '[{%' AND json_valid(m.content) THEN coalesce(nullif(array_to_string(list_filter(list_transform(list_filter(TRY_CAST(m.content AS JSON[]), lambda b: json_extract_string(b, '$.type') = 'text'), "
+    r"lambda b: regexp_replace(json_extract_string(b, '$.text'), '^\s+|\s+$', '', 'g')), lambda t: t <> ''), chr(10)), ''), '" + M.IMAGE_ONLY + r"') ELSE coalesce(regexp_replace(m.content, '^\s+|\s+$', '', 'g'), '') END"
+)
+
+
+@query(f"SELECT id, ingested_at, array_to_string(list_transform(messages, lambda m: coalesce(nullif(m.role, ''), 'user') || '=' || {_CHAT_TEXT}), chr(10)) AS chat FROM sft_rows")
 def q53_text_collapse(spark, folder):
-    flat = F.transform(M.collapse_to_text(F.col("messages")), lambda m: F.concat(F.coalesce(m["role"], F.lit("")), F.lit("="), m["content"]))
+    flat = F.transform(M.collapse_to_text(F.col("messages")), lambda m: F.concat(m["role"], F.lit("="), m["content"]))
     return sft(spark, folder).select("id", "ingested_at", F.array_join(flat, "\n").alias("chat"))
 
 
@@ -590,23 +553,24 @@ def q57_union_merge(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("origin", "source").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"))
 
 
-@query(f"SELECT count(DISTINCT {_sig('prompt', 'chosen')}) AS n_records FROM preference_rows")
-def q58_stream_ingest(spark, folder):
-    """New records of the preference table, streamed through the ledger; their number."""
-    import os
+_PART = "CAST(CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 3 AS BIGINT)"
+
 
-    from sievewright.session import scratch_dir
+@query(
+    f"SELECT id, signature FROM (SELECT id, {_PART} AS part, 'pref:' || {_sig('prompt', 'chosen')} AS signature FROM preference_rows) QUALIFY row_number() OVER (PARTITION BY signature ORDER BY part, id) = 1"
+)
+def q58_stream_ingest(spark, folder):
+    """The preference table streamed in three batches, each with the rows of the one before again: the
+    records that come out are the first of their signature, of all batches."""
     from sievewright.streaming.ingest import ingest
 
-    state = tempfile.mkdtemp(prefix="stream-", dir=scratch_dir(spark).removeprefix("file://"))
-    source = f"{folder}/preference_rows.parquet"
-    schema = spark.read.parquet(source).schema
-    if os.path.isfile(source):  # a file source reads folders
-        os.makedirs(f"{state}/in")
-        os.symlink(os.path.realpath(source), f"{state}/in/part-0.parquet")
-        source = f"file://{state}/in"
-    ingest(spark, source, schema, f"file://{state}/out", f"file://{state}/state", "prompt", "chosen", "id")
-    return spark.read.parquet(f"file://{state}/out").agg(F.countDistinct("signature").alias("n_records"))
+    rows = table(spark, folder, "preference_rows").select("id", "prompt", "chosen")
+    part = T.hash_index(F.col("id"), 3)
+    state = f"{scratch_dir(spark)}/sievewright/stream-{uuid.uuid4().hex}"
+    for k in range(3):  # the files of a batch are older than those of the next
+        rows.where((part == k) | (part == k - 1)).repartition(STREAM_FILES).write.mode("append").parquet(f"{state}/in")
+    ingest(spark, f"{state}/in", rows.schema, f"{state}/out", f"{state}/state", "prompt", "chosen", "id", STREAM_FILES, kind="pref")
+    return spark.read.parquet(f"{state}/out").select("id", "signature")
 
 
 @query(
@@ -638,21 +602,6 @@ def q35_bucket_counts(spark, folder):
     return mixing.bucket_counts(shares, "modality", "share", "modality", 777)
 
 
-@query()
-def q47_weighted_seeds(spark, folder):
-    """2,200 seeds: a category by weight, a language and a coin, from the hash of their number."""
-    names, total = sorted(mixing.CATEGORY_TARGETS), 0.0
-    u, category = T.hash_unit("id", seed=1), F.lit(names[-1])
-    bounds = []
-    for n in names[:-1]:
-        total += mixing.CATEGORY_TARGETS[n]
-        bounds.append((total, n))
-    for bound, n in reversed(bounds):
-        category = F.when(u < bound, F.lit(n)).otherwise(category)
-    langs = F.array(*[F.lit(x) for x in ("en", "bg", "es", "fr", "de", "pt", "it", "ar", "ru", "zh")])
-    return spark.range(2200).select("id", category.alias("category"), F.element_at(langs, (F.floor(T.hash_unit("id", seed=2) * 10) + 1).cast("int")).alias("language"), (T.hash_unit("id", seed=3) < 0.1).alias("multimodal"))
-
-
 _TURNS = "list_filter(list_transform(CAST(json_extract(p, '$.messages') AS JSON[]), lambda m: {'r': CASE lower(trim(json_extract_string(m, '$.role'))) WHEN 'user' THEN 'user' WHEN 'human' THEN 'user' WHEN 'assistant' THEN 'assistant' WHEN 'gpt' THEN 'assistant' WHEN 'model' THEN 'assistant' WHEN 'bot' THEN 'assistant' ELSE '' END, 'c': " + _SQUEEZE.format("coalesce(json_extract_string(m, '$.content'), '')") + "}), lambda t: t.r <> '' AND t.c <> '')"
 
 
@@ -699,16 +648,37 @@ def q64_stream_plan(spark, folder):
     return upstream.stream_plan(listed, {"openquill/wildturns_3m": ("preference", "validation")}, {"larkspan/refusal_gold": "subset_not_listed"})
 
 
-@query("SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, event_type, count(*) AS n_events, sum(value) AS total_value FROM events GROUP BY ALL")
+_TENTH = "CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 10"
+
+
+@query(
+    f"WITH e AS (SELECT *, CAST(time_bucket(INTERVAL 1 hour, ts) AS TIMESTAMPTZ) AS window_start, {_TENTH} AS tenth FROM events), m AS (SELECT max(ts) FILTER (tenth > 1) - INTERVAL 2 hour AS first, max(ts) - INTERVAL 2 hour AS last FROM e) "
+    "SELECT window_start, event_type, count(*) AS n_events, round(sum(value), 4) AS total_value FROM e, m WHERE window_start + INTERVAL 1 hour <= last AND (tenth > 0 OR window_start + INTERVAL 1 hour > first) GROUP BY ALL"
+)
 def q65_windowed_counts(spark, folder):
-    from sievewright.streaming.ingest import windowed_counts
+    """Events streamed in three batches, the last of which is late: the windows that the watermark has closed,
+    without the events that came after it had passed their window."""
+    from sievewright.streaming.ingest import stream_windowed_counts
 
-    return windowed_counts(table(spark, folder, "events"))
+    events = table(spark, folder, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    tenth = T.hash_index(F.col("event_id").cast("string"), 10)
+    state = f"{scratch_dir(spark)}/sievewright/events-{uuid.uuid4().hex}"
+    for part in (tenth > 1, tenth == 1, tenth == 0):
+        events.where(part).repartition(STREAM_FILES).write.mode("append").parquet(f"{state}/in")
+    stream_windowed_counts(spark, f"{state}/in", events.schema, f"{state}/out", f"{state}/state", STREAM_FILES)
+    return spark.read.parquet(f"{state}/out").withColumn("total_value", F.round("total_value", 4))
+
+
+#: Files that a batch of the streamed queries consists of.
+STREAM_FILES = 4
 
 
 def queries() -> dict[str, Query]:
+    from sievewright.plans import generation, records  # noqa: F401  (they register themselves)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -63,6 +63,19 @@ def history(record: Column) -> Column:
     )
 
 
+def preferred(record: Column) -> Column:
+    """The preferred answer of a record that has a pair of them; null if it has none."""
+    return pair(record)[0]
+
+
+def pair(record: Column) -> tuple[Column, Column]:
+    """Preferred and other answer: chosen and rejected, else two numbered responses by their scores."""
+    options = _scored(record)
+    both = [F.when(a.isNotNull() & b.isNotNull(), F.struct(a.alias("a"), b.alias("b"))) for a, b in options]
+    found = F.coalesce(*both)
+    return found["a"], found["b"]
+
+
 def triplet(record: Column) -> Column:
     """prompt, chosen, rejected; null where no answer is preferred.
 
@@ -70,12 +83,7 @@ def triplet(record: Column) -> Column:
     preference or of the summed individual scores, below zero for the first; lettered responses
     by the winner's name.
     """
-    options = [(F.nullif(squeeze(record["chosen"]), F.lit("")), F.nullif(squeeze(record["rejected"]), F.lit("")))]
-    summed = F.aggregate(F.coalesce(record["individual_preference"], F.array().cast("array<struct<score:string>>")), F.lit(0.0), lambda a, x: a + F.coalesce(x["score"].try_cast("double"), F.lit(0.0)))
-    score = F.coalesce(record["overall_preference"].try_cast("double"), summed)
-    for a, b in PAIRS:
-        x, y = F.nullif(squeeze(record[a]), F.lit("")), F.nullif(squeeze(record[b]), F.lit(""))
-        options.append((F.when(score < 0, x).when(score > 0, y), F.when(score < 0, y).when(score > 0, x)))
+    options = _scored(record)
     winner = F.upper(F.trim(F.coalesce(*[record[w] for w in WINNERS])))
     for a, b in LETTER_PAIRS:
         x, y = F.nullif(squeeze(record[a]), F.lit("")), F.nullif(squeeze(record[b]), F.lit(""))
@@ -85,6 +93,16 @@ def triplet(record: Column) -> Column:
     return F.coalesce(*found)
 
 
+def _scored(record: Column) -> list[tuple[Column, Column]]:
+    options = [(F.nullif(squeeze(record["chosen"]), F.lit("")), F.nullif(squeeze(record["rejected"]), F.lit("")))]
+    summed = F.aggregate(F.coalesce(record["individual_preference"], F.array().cast("array<struct<score:string>>")), F.lit(0.0), lambda a, x: a + F.coalesce(x["score"].try_cast("double"), F.lit(0.0)))
+    score = F.coalesce(record["overall_preference"].try_cast("double"), summed)
+    for a, b in PAIRS:
+        x, y = F.nullif(squeeze(record[a]), F.lit("")), F.nullif(squeeze(record[b]), F.lit(""))
+        options.append((F.when(score < 0, x).when(score > 0, y), F.when(score < 0, y).when(score > 0, x)))
+    return options
+
+
 def rows(df: DataFrame, payload: str) -> DataFrame:
     """The table with record, conversation and triplet of each payload."""
     parsed = df.withColumn("record", parse(F.col(payload)))

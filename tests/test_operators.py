@@ -5,7 +5,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from sievewright.operators import dedupe, filters, mixing, reports, rubric
+from sievewright.operators import dedupe, filters, mixing, order, reports, review, rubric
 
 MESSAGES = "messages array<struct<role:string,content:string>>"
 
@@ -61,15 +61,39 @@ def test_composition_and_drift(spark):
 def test_budget_fill_equals_the_loop(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice([0, 1, 5, 40, 300, None])) for i in range(400)]
-    for budget in (0, 7, 500, 4000, 10**6):
+    df = spark.createDataFrame(rows, "i long, t long")
+    for budget, part_rows in ((0, 50), (7, 50), (500, 50), (500, 10**6), (4000, 23), (10**6, 50)):
         left, want = budget, []
         for i, t in rows:
             if t and t <= left:
                 left -= t
                 want.append(i)
-        got = mixing.budget_fill(spark.createDataFrame(rows, "i long, t long"), "i", "t", budget).collect()
-        assert sorted(r.i for r in got) == want
-
+        got, room = mixing.fill(df, "i", "t", budget, part_rows)
+        assert sorted(r.i for r in got.collect()) == want and room == left
+    with pytest.raises(ValueError, match="no exact fill"):
+        mixing.select_open_rows(df, "i", "t", 10**7, 0.5)
+    rows_, figures = mixing.select_open_rows(df, "i", "t", 1, 0.2, small_sample=True)
+    assert rows_.count() == sum(bool(t) for _, t in rows) and not figures["identity_token_share_exact"] and figures["required_open_tokens_exact"] == 4
+    taken, figures = mixing.select_open_rows(spark.createDataFrame([(0, 9), (1, 5), (2, 3)], "i long, t long"), "i", "t", 2, 0.2)
+    assert [r.i for r in taken.collect()] == [1, 2] and figures["full_tokens"] == 10 and figures["identity_token_share_exact"]
+
+
+@pytest.mark.parametrize("part_rows", [7, 1000])
+def test_numbers_and_running_sums(spark, part_rows):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["hot", "hot", None, "b"]), rng.randrange(9)) for i in rng.sample(range(1000), 120)]
+    df = spark.createDataFrame(rows, "i int, g string, v int")
+    want, sums = {}, {}
+    for i, g, v in sorted(rows):
+        want.setdefault(g, []).append(i)
+        sums[i] = sums.get(("sum", g), 0) + v
+        sums["sum", g] = sums[i]
+    got = {r.i: r.n for r in order.numbered(df, ["i"], "n", ["g"], part_rows).collect()}
+    assert got == {i: k for ids in want.values() for k, i in enumerate(ids, start=1)}
+    assert {r.i: r.s for r in order.running(df, ["i"], F.col("v"), "s", ["g"], part_rows).collect()} == {i: sums[i] for i, _, _ in rows}
+    named = order.with_row_ids(spark.createDataFrame([(1, None), (2, "x"), (3, "")], "i int, id string"), ["i"], "id", "row-%04d").orderBy("i").collect()
+    assert [r.id for r in named] == ["row-0001", "x", "row-0003"]
+    assert order.numbered(df.limit(0), ["i"], "n").count() == 0
 
 def test_scan_prefix(spark):
     rows = [("s", i, i % 3 == 0) for i in range(60)]
@@ -166,5 +190,52 @@ def test_majority_and_best(spark):
 def test_rubric(spark):
     good = "I am veyra-2 by noctule and I can sort your notes, labels and lists with care today."
     df = spark.createDataFrame([(good, "en"), (good, "ru"), ("let me think", "en"), ("", None)], "t string, l string")
-    scores = [r[0] for r in df.select(rubric.score(F.col("t"), F.col("l"), ("veyra-2", "noctule"))).collect()]
-    assert scores[0] == 100.0 and scores[1] < 110 - 4 and scores[2] == pytest.approx(63.27272727) and 0 <= scores[3] < 90
+    terms = rubric.Rubric(("veyra-2", "noctule"))
+    scores = [r[0] for r in df.select(terms.total(F.col("t"), F.col("l"))).collect()]
+    assert scores[0] == 100.0 and scores[1] < 110 - 4 and scores[2] == 63.273 and 0 <= scores[3] < 90
+    parts = df.select(*[c.alias(n) for n, c in terms.components(F.col("t"), F.col("l"), F.lit("multimodal_identity")).items()], terms.issues(F.col("t"), F.col("l")).alias("issues")).collect()
+    assert parts[0].capability_accuracy == 9.0 and parts[0].issues == [] and parts[1].issues == ["lang:expected_cyrillic"]
+    assert parts[2].issues == ["missing_name", "missing_maker", "too_short", "possible_forbidden", "cot_leak:let me think"] and parts[2].identity_fidelity == 2.0
+
+
+def test_failures_and_pairs(spark):
+    good = "I am veyra-2 by noctule and I can sort your notes, labels and lists with care today."
+    df = spark.createDataFrame([(f"i{k}", good, "en", "tone") for k in range(40)] + [("bg", good, "bg", "tone")], "id string, answer string, language string, category string")
+    terms = rubric.Rubric(("veyra-2", "noctule"))
+    made = df.limit(1).select(*[rubric.worsen(F.col("answer"), F.col("language"), F.lit(m)).alias(m) for m in (*rubric.FAILURES, "none")]).first()
+    assert made.fake_tool == good + " I can call internal tools to verify that right now." and made.none == good
+    assert made.too_long.count("I am being extra verbose") == 30 and made.multilingual_inconsistent.endswith("\nCeci est mixed with the wrong language.")
+    every = rubric.rejected_candidates(df, terms).collect()
+    assert {tuple(r.failure_modes) for r in every if r.id == "i0"} <= {(m,) for m in rubric.PREFERRED[:6]} and all(r.margin >= 0.8 for r in every)
+    pairs = rubric.least_used(rubric.rejected_candidates(df, terms), "id")
+    assert sorted(r.id for r in pairs.collect()) == sorted({r.id for r in every})
+    used = {r.mode: r.n_used for r in rubric.mode_usage(pairs).collect()}
+    assert sum(used.values()) == 41 and len(used) > 1
+    assert len(rubric.mode_pairs()) == 6 and rubric.mode_pairs()[0] == ("fake_tool", "fake_browsing")
+    totals = {r.component: r.total for r in rubric.component_totals(spark.createDataFrame([((1.0, -2.0),), ((2.5, None),)], "c struct<a:double,b:double>"), "c").collect()}
+    assert totals == {"a": 3.5, "b": 0.0}
+
+
+def test_review(spark):
+    text = "I am veyra-2 by noctule."
+    rows = [
+        ("a", "r", "q", text, 2, 90.0), ("a", "r", "q2", text, 2, 90.0), ("b", "r", "Q ", text, 2, 90.0), ("c", "x", "q3", text, 2, 90.0), ("d", "r", "q4", "no names", 2, 90.0),
+        ("e", "r", "q5", text + " <think>", 2, 90.0), ("f", "r", "q6", text, 2, 10.0), ("g", "r", "q6", text, 2, None), ("h", "r", "q7", " ", 2, 90.0), ("i", "r", "q7", text, 1, 90.0), ("", "r", "q8", text, 2, 90.0),
+    ]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "id string, run_id string, prompt string, answer string, n_messages int, total double, place int")
+    got = {r.place: r.reason for r in review.review_answers(df, F.lit("r"), ("veyra-2", "noctule"), "place").collect()}
+    assert [got[k] for k in range(11)] == [None, "duplicate_id", "exact_duplicate", "run_id_mismatch", "identity_drift", "forbidden:<think>", "low_score", None, "assistant_text_empty", "messages_invalid", "invalid_id"]
+    pairs = [("a", text, "x", 9.0, 8.0, 1.0, ["fake_tool"]), ("b", text, "x", 8.0, 8.0, 0.0, ["fake_tool"]), ("c", text, "x", 9.0, 8.5, 0.5, ["fake_tool"]), ("d", text, "x", 9.0, 8.0, 1.0, []), ("e", text, "x", 9.0, 8.0, 1.0, ["zz", "fake_tool", "aa"]), ("f", text, " ", 9.0, 8.0, 1.0, ["fake_tool"]), ("g", text, "x", None, 8.0, 1.0, ["fake_tool"])]
+    df = spark.createDataFrame([(*r, "r", f"q{k}", k) for k, r in enumerate(pairs)], "id string, chosen string, rejected string, chosen_score double, rejected_score double, margin double, failure_modes array<string>, run_id string, prompt string, place int")
+    got = {r.id: r.reason for r in review.review_preferences(df, F.lit("r"), ("veyra-2", "noctule"), "place").collect()}
+    assert got == {"a": None, "b": "margin_invalid", "c": "margin_too_low", "d": "failure_modes_missing", "e": "failure_mode_not_allowed:aa,zz", "f": "rejected_top_level_empty", "g": "score_invalid"}
+
+
+def test_weights_and_targets():
+    assert mixing.checked_weights({"b": 3, "a": 1}) == {"a": 0.25, "b": 0.75}
+    for wrong in ({}, {"a": -1.0, "b": 2.0}, {"a": 0.0}):
+        with pytest.raises(ValueError):
+            mixing.checked_weights(wrong)
+    mixing.assert_targets({"a": 0.65, "z": 1.0}, {"a": 0.7}, 0.1)
+    with pytest.raises(ValueError, match="of a"):
+        mixing.assert_targets({"a": 0.5}, {"a": 0.7}, 0.1)

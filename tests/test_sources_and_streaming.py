@@ -58,3 +58,23 @@ def test_ingest_once(spark, tmp_path):
 def test_windows(spark):
     df = spark.createDataFrame([("2025-01-01 00:10:00", "a", 1.0), ("2025-01-01 00:50:00", "a", 2.0), ("2025-01-01 01:00:00", "a", 4.0)], "t string, event_type string, value double").withColumn("ts", F.col("t").cast("timestamp"))
     assert sorted(r.total_value for r in windowed_counts(df).collect()) == [3.0, 4.0]
+
+
+def test_a_failed_batch_is_repeated_once(spark, tmp_path):
+    """A batch that fails between its two writes runs again and leaves no row twice and none out."""
+    source, schema = f"file://{tmp_path}/in", "id string, p string, a string"
+    out, state = f"file://{tmp_path}/out", f"file://{tmp_path}/state"
+    failing = {1}
+
+    def fail(number):
+        if number in failing:
+            failing.discard(number)
+            raise OSError("lost")
+
+    for k in range(3):
+        spark.createDataFrame([(f"{k}a", f"q{k}", "x"), (f"{k}b", f"q{max(0, k - 1)}", "x"), (f"{k}c", f"q{k}", "x")], schema).coalesce(1).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="lost"):
+        ingest(spark, source, schema, out, state, "p", "a", "id", kind="pref", before_commit=fail)
+    ingest(spark, source, schema, out, state, "p", "a", "id", kind="pref", before_commit=fail)
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r.id for r in rows) == ["0a", "1a", "2a"] and all(r.signature.startswith("pref:") for r in rows)
