@@ -117,6 +117,8 @@ _REQUEST = re.compile(
     + "|" + r"(?<!\w)" + _NAME.replace("?P<name>", "?P<before>")
     + r",?\s*(?:please|translation|version|answer|reply|response|summary|only|bitte|s'il|svp|por favor|per favore|пожалуйста|моля|من فضلك|回答|回复|作答|翻译)"
 )
+#: A language's name at a word's begin, in scripts without spaces anywhere.
+_NAMED = re.compile("|".join(w if "㐀" <= w[0] <= "鿿" else rf"(?<![^\W\d_]){w}" for w in sorted(_ASK_WORDS, key=len, reverse=True)))
 #: What is said of a text and asks for nothing.
 _STATED = re.compile(r"\b(?:was|is|were|are|been)\s+(?:\w+\s+)?(?:written|published|spoken|printed|held|sung|filmed|taught)\s+$")
 #: Payload by its marks: fenced, between quotation marks, in quoted lines.
@@ -132,8 +134,7 @@ def languages_named(asked: str) -> set[str]:
     """
     text = _QUOTED.sub(" ", asked)
     head = re.split(r"[:：\n。！？!?]|\.(?=\s|$)", text.lstrip(), maxsplit=1)[0]
-    heads = re.findall(r"[^\W\d_]+", head)
-    out = {lang for w, lang in _ASK_WORDS.items() if (w in head if "㐀" <= w[0] <= "鿿" else any(h.startswith(w) for h in heads))}
+    out = {_ASK_WORDS[w] for w in _NAMED.findall(head)}
     for m in _REQUEST.finditer(text):
         if not _STATED.search(text[text.rfind("\n", 0, m.start()) + 1 : m.start()]):
             name = m["name"] or m["before"]
@@ -169,6 +170,7 @@ def plain(text: str) -> str:
 
 
 _EDGES = "\"'’”“„«»‘()（）[]【】*_`~>#•-—–.,;:!?…،؛؟、，；：。！？"
+_EDGE_SET = frozenset(_EDGES)
 _STOPS = re.compile(r"[.!?؟…。！？]+")
 
 
@@ -177,6 +179,9 @@ def ending(part: str) -> str | None:
     tail = part.rstrip().rstrip(_EDGES)
     if tail and "㐀" <= tail[-1] <= "鿿":
         return tail[-3:]
+    last = tail.rsplit(None, 2)[-2:]
+    if len(last) == 2 and last[0][-1] not in _EDGE_SET and last[0][0] not in _EDGE_SET and last[1][0] not in _EDGE_SET:
+        return f"{last[0]} {last[1]}"  # nothing to strip
     words: list[str] = []
     while tail and len(words) < 2:
         rest, _, last = tail.rpartition(" ")
@@ -192,6 +197,10 @@ def last_word(end: str) -> str:
     return end[-1] if "㐀" <= end[-1] <= "鿿" else end.rpartition(" ")[2]
 
 
+_SENTENCE = re.compile(r"(?<=[.!?。！？؟:：])\s*|\n+")
+_LISTED = re.compile(r"(?:^|\n)\s*[-*•\d]")
+
+
 def endings(text: str) -> list[str]:
     """The endings of all finished sentences of a plain text."""
     return [e for e in map(ending, _STOPS.split(text)[:-1]) if e]
@@ -233,16 +242,16 @@ def votes(
     done = stopped or closed or fence
     dangling = not done and bare[-1] in ",:，、：-–—(（[«„“‘/&+"
     opened = not done and any(bare.count(a) > bare.count(b) for a, b in (("(", ")"), ("«", "»"), ("（", "）"), ("[", "]"), ("„", "“")))
-    listed = len(content) <= 4 and bool(re.search(r"(?:^|\n)\s*[-*•\d]", bare))
+    listed = len(content) <= 4 and bool(_LISTED.search(bare))
     lookup = None if done or dangling else ending(bare)
     out["truncated"] = _sign(dangling, done) + _sign(opened, False) + _sign(False, listed and not dangling)
 
     # Refusal: what it says, how it is framed, and whether an answer follows.
     sentences: list[str] = []
     says: list[bool] = []
-    if next(_CUES.iter(bare), None) is not None and _REFUSE.search(bare):
-        sentences = [s for s in re.split(r"(?<=[.!?。！？؟:：])\s*|\n+", bare) if _WORD.search(s)]
-        says = [bool(_REFUSE.search(s)) for s in sentences]
+    if next(_CUES.iter(bare), None) is not None:
+        sentences = [s for s in _SENTENCE.split(bare) if _WORD.search(s)]
+        says = [next(_CUES.iter(s), None) is not None and _REFUSE.search(s) is not None for s in sentences]
     if any(says):
         first = says.index(True) + 1
         after = sum(len(_WORD.findall(s)) for s, x in zip(sentences[first:], says[first:]) if not x)
@@ -296,13 +305,20 @@ def answer_rows(identity: DataFrame, preferences: DataFrame) -> DataFrame:
 FIELDS = {"identity_sft": ("assistant",), "preference_rows": ("chosen", "rejected")}
 
 
-def _language(result) -> tuple[str | None, bool]:
-    """The main language of a text, and whether it is sure."""
-    if result is None:
-        return None, False
-    _, _, counts, _, mass = result
-    total = mass.sum(axis=0)
-    return LANGUAGES[int(total.argmax())], bool(total.max() / total.sum() >= 0.9 and counts.sum() >= 4)
+def _languages(found: list) -> list[tuple[str | None, bool]]:
+    """The main language of each text, and whether it is sure; all texts at once."""
+    held = [i for i, r in enumerate(found) if r is not None]
+    out: list[tuple[str | None, bool]] = [(None, False)] * len(found)
+    if not held:
+        return out
+    starts = np.concatenate(([0], np.cumsum([len(found[i][2]) for i in held])[:-1]))
+    total = np.add.reduceat(np.concatenate([found[i][4] for i in held]), starts, axis=0)
+    words = np.add.reduceat(np.concatenate([found[i][2] for i in held]), starts)
+    best = total.argmax(axis=1)
+    sure = (total.max(axis=1) >= 0.9 * total.sum(axis=1)) & (words >= 4)
+    for i, x, y in zip(held, best.tolist(), sure.tolist()):
+        out[i] = (LANGUAGES[x], y)
+    return out
 
 
 _PASS = ", ".join(f"{c} string" for c in ("part", "table_name", "id", "field", *DEFECTS, "ending", "first", "last")) + ", n_all long, n_final long"
@@ -352,15 +368,15 @@ def _read(parts: tuple[np.ndarray, ...]):
                 tables, ids, prompts, a, b = (c.to_pylist() for c in batch.slice(at, 4096).columns)
                 texts = [x for p, *xs in zip(prompts, a, b) for x in (p, *xs)]  # prompt, a, b of each record
                 token_lists = [tokens_of(t) if t else [] for t in texts]
-                found = label_sentences(crf, token_lists, words)
+                spoken = _languages(label_sentences(crf, token_lists, words))
                 out: dict[str, list] = {c: [] for c in ("table_name", "id", "field", *DEFECTS, "ending")}
                 for i, table in enumerate(tables):
-                    p, sure_p = _language(found[3 * i])
+                    p, sure_p = spoken[3 * i]
                     asked = asked_of(prompts[i])
                     record = f"{table}\x00{ids[i]}"
                     gather(record, asked[0], asked[1])
                     for k, field in enumerate(FIELDS[table], start=1):
-                        x, sure = _language(found[3 * i + k])
+                        x, sure = spoken[3 * i + k]
                         read = asked_of(texts[3 * i + k])
                         gather(record, read[0], read[1])
                         row, lookup = votes(asked, texts[3 * i + k], (p, None if len(token_lists[3 * i + k]) < 3 else x, sure_p, sure), read)
