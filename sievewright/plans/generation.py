@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievewright.functions import text as T
-from sievewright.operators import mixing, review, rubric
+from sievewright.operators import generate, mixing, review, rubric
 from sievewright.plans.queries import _DEDUPE, _LENGTH, _sig, _unit_sql
 from sievewright.plans.registry import query
 from sievewright.session import table
@@ -260,3 +260,81 @@ def q72_preference_review(spark, folder):
 def q73_shard_state(spark, folder):
     """Whether the first 500 records by id make a valid shard of one run."""
     return review.shard_state(table(spark, folder, "identity_sft").select("id", "run_id").distinct().withColumn("place", F.col("id")), "run-02", 500, "place")
+
+
+_PACK = ("direct_identity", "indirect_identity", "tone_style", "adversarial_rename", "tool_honesty", "multilingual_consistency", "multimodal_self")
+_RECORDS = "(SELECT id, min(category) AS category, min(language) AS language, bool_or(multimodal) AS multimodal FROM identity_sft GROUP BY id)"
+
+
+@query(
+    f"WITH r AS {_RECORDS}, f AS (SELECT c.place, min(id) AS id FROM r JOIN (VALUES {', '.join(f'({i}, {quoted(c)})' for i, c in enumerate(_PACK))}) c(place, category) USING (category) GROUP BY c.place), "
+    "m AS (SELECT id, row_number() OVER (ORDER BY id) AS n FROM r WHERE language IN ('ar', 'ru', 'zh') AND multimodal) SELECT CAST(place AS BIGINT) AS place, id FROM f UNION ALL SELECT 7, id FROM m WHERE n <= 60 - (SELECT count(*) FROM f)"
+)
+def q63_stress_pack(spark, folder):
+    """The first record of each category, then multimodal ones of three scripts, sixty in all."""
+    rows = table(spark, folder, "identity_sft").groupBy("id").agg(F.min("category").alias("category"), F.min("language").alias("language"), F.bool_or("multimodal").alias("multimodal"))
+    return generate.stress_pack(rows, list(_PACK), "id").select(F.col("place").cast("long").alias("place"), "id")
+
+
+_FRAGMENTS = [
+    ["I am Veyra-2", "This is Veyra-2", "Hello"], ["by Noctule,", "made by Noctule,", "of another company,"], ["and I cannot see your screen.", "and I will call a tool.", "and I answer in short words that anyone can check today."], ["Sorry!!", "Please ask on.", ""],
+]
+
+
+def _pick_of(values: list[str], key: str, shift: int) -> str:
+    return f"([{', '.join(map(quoted, values))}])[1 + CAST('0x' || substr(md5({key}), {shift}, 8) AS BIGINT) % {len(values)}]"
+
+
+_SEEDS = f"(SELECT 'seed-' || lpad(CAST(id + 1 AS VARCHAR), 5, '0') AS seed_id, id, ([{', '.join(map(quoted, _LANGS))}])[1 + CAST('0x' || substr(md5('language/' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 10] AS language FROM range(2200) t(id))"
+_SEED_KEY = "seed_id || '|' || CAST(v AS VARCHAR) || '|0'"
+
+
+@query(
+    f"WITH c AS (SELECT seed_id, v, 'Who are you, ' || language || '?' AS prompt, language, 'direct_identity_qa' AS category, {" || ' ' || ".join(_pick_of(f, _SEED_KEY, 1 + 8 * i) for i, f in enumerate(_FRAGMENTS))} AS answer FROM {_SEEDS}, range(3) w(v)), "
+    f"s AS (SELECT *, {score_sql('answer')} AS score FROM c), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, v) = 1), "
+    f"o AS (SELECT *, {_sig('prompt', 'answer')} AS sig FROM b WHERE score >= 84.0::DOUBLE), u AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY sig ORDER BY seed_id) = 1), "
+    "n AS (SELECT *, row_number() OVER (ORDER BY seed_id) AS n FROM u) SELECT 'row-' || lpad(CAST(n AS VARCHAR), 7, '0') AS id, seed_id, prompt, answer, score FROM n WHERE n <= 200"
+)
+def q95_row_generation(spark, folder):
+    """Of 2,200 seeds the best of three answers, if it scores enough, each pair once, at most 200."""
+    seeds = generate.seed_table(spark, 2_200, mixing.CATEGORY_TARGETS, list(_LANGS), "multilingual")
+    asked = seeds.select("seed_id", F.concat(F.lit("Who are you, "), "language", F.lit("?")).alias("prompt"), F.lit("direct_identity_qa").alias("category"), "language")
+    return generate.generate(asked, _FRAGMENTS, RUBRIC, 200)
+
+
+_ID_SIG = _sig("messages_flat.user", "messages_flat.assistant")
+
+
+@query(
+    f"WITH a AS (SELECT 0 AS part, id, {_ID_SIG} AS sig FROM identity_sft UNION ALL SELECT 1, id, {_sig('prompt', 'chosen')} FROM preference_rows UNION ALL SELECT 2, id || '-again', {_ID_SIG} FROM identity_sft) "
+    "SELECT id, sig AS signature FROM a QUALIFY row_number() OVER (PARTITION BY sig ORDER BY part, id) = 1"
+)
+def q96_union_dedupe(spark, folder):
+    """Three tables joined end to end, each pair of prompt and answer once, the first of them."""
+    own = table(spark, folder, "identity_sft").select("id", T.signature(F.col("messages_flat.user"), F.col("messages_flat.assistant")).alias("signature"))
+    other = table(spark, folder, "preference_rows").select("id", T.signature(F.col("prompt"), F.col("chosen")).alias("signature"))
+    return generate.merge([own, other, own.withColumn("id", F.concat("id", F.lit("-again")))], "signature", "id")
+
+
+@query(
+    f"WITH s AS (SELECT id, run_id, 'sft:' || {_ID_SIG} AS sig FROM identity_sft), l AS (SELECT DISTINCT sig FROM s WHERE run_id IN ('run-01', 'run-02')), f AS (SELECT id, sig FROM s WHERE run_id NOT IN ('run-01', 'run-02') AND sig NOT IN (SELECT sig FROM l) QUALIFY row_number() OVER (PARTITION BY sig ORDER BY id) = 1) "
+    "SELECT id, sig AS signature FROM f ORDER BY id LIMIT 250"
+)
+def q97_chunk_fill(spark, folder):
+    """A chunk of 250 records that earlier runs didn't have; surplus rows stand in for duplicates."""
+    rows = table(spark, folder, "identity_sft").select("id", "run_id", F.concat(F.lit("sft:"), T.signature(F.col("messages_flat.user"), F.col("messages_flat.assistant"))).alias("signature"))
+    old = F.col("run_id").isin("run-01", "run-02")
+    return generate.fill_chunk(rows.where(~old).select("id", "signature"), rows.where(old).select("signature"), "signature", "id", 250)
+
+
+@query("SELECT seed_id, id, row_number() OVER (PARTITION BY seed_id ORDER BY id) - 1 AS cycle FROM (SELECT DISTINCT id, seed_id FROM identity_sft)")
+def q98_cycle_index(spark, folder):
+    return generate.cycles(table(spark, folder, "identity_sft").select("id", "seed_id").distinct(), "seed_id", "id").select("seed_id", "id", "cycle")
+
+
+_AGAIN = f"SELECT id FROM (SELECT DISTINCT id FROM identity_sft) ORDER BY {_unit_sql("id || '/3407'")}, id LIMIT 25"
+
+
+@query(_AGAIN)
+def q99_spot_checks(spark, folder):
+    return generate.spot_checks(table(spark, folder, "identity_sft").select("id").distinct(), "id")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from sievewright.functions import messages as M
 from sievewright.functions import text as T
 from sievewright.operators import dedupe, filters, mixing, normalize, reports
 from sievewright.plans.registry import QUERIES, SQL, Query, query
-from sievewright.session import materialize, scratch_dir, table
+from sievewright.session import scratch_path, table
 from sievewright.sources import jsonl, upstream
 
 # SQL of the building blocks; {0} is the argument.
@@ -566,7 +564,7 @@ def q58_stream_ingest(spark, folder):
 
     rows = table(spark, folder, "preference_rows").select("id", "prompt", "chosen")
     part = T.hash_index(F.col("id"), 3)
-    state = f"{scratch_dir(spark)}/sievewright/stream-{uuid.uuid4().hex}"
+    state = scratch_path(spark, "stream")
     for k in range(3):  # the files of a batch are older than those of the next
         rows.where((part == k) | (part == k - 1)).repartition(STREAM_FILES).write.mode("append").parquet(f"{state}/in")
     ingest(spark, f"{state}/in", rows.schema, f"{state}/out", f"{state}/state", "prompt", "chosen", "id", STREAM_FILES, kind="pref")
@@ -627,17 +625,6 @@ def q62_preference_triplets(spark, folder):
     return rows.select("raw_id", "received_at", "triplet.prompt", "triplet.chosen", "triplet.rejected")
 
 
-@query(
-    "SELECT 0 AS part, min(id) AS id FROM identity_sft GROUP BY category UNION ALL (SELECT 1, id FROM (SELECT DISTINCT id FROM identity_sft WHERE language IN ('ar', 'ru', 'zh') AND multimodal) ORDER BY id LIMIT 60)"
-)
-def q63_stress_pack(spark, folder):
-    """The first record of each category, then the first sixty multimodal ones of three scripts."""
-    rows = table(spark, folder, "identity_sft")
-    first = rows.groupBy("category").agg(F.min("id").alias("id")).select(F.lit(0).alias("part"), "id")
-    more = rows.where(F.col("language").isin("ar", "ru", "zh") & F.col("multimodal")).select("id").distinct().orderBy("id").limit(60)
-    return first.unionByName(more.select(F.lit(1).alias("part"), "id"))
-
-
 @query(
     "SELECT source_id, CASE WHEN reason IS NULL THEN coalesce(subset, 'default') END AS subset, CASE WHEN reason IS NULL THEN coalesce(split, default_split, 'train') END AS split, CASE WHEN reason IS NULL THEN 'planned' ELSE 'skipped' END AS status, reason "
     "FROM (SELECT source_id, min(default_split) AS default_split FROM allowlist_entries GROUP BY source_id) LEFT JOIN (VALUES ('openquill/wildturns_3m', 'preference', 'validation')) o(source_id, subset, split) USING (source_id) "
@@ -662,7 +649,7 @@ def q65_windowed_counts(spark, folder):
 
     events = table(spark, folder, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     tenth = T.hash_index(F.col("event_id").cast("string"), 10)
-    state = f"{scratch_dir(spark)}/sievewright/events-{uuid.uuid4().hex}"
+    state = scratch_path(spark, "events")
     for part in (tenth > 1, tenth == 1, tenth == 0):
         events.where(part).repartition(STREAM_FILES).write.mode("append").parquet(f"{state}/in")
     stream_windowed_counts(spark, f"{state}/in", events.schema, f"{state}/out", f"{state}/state", STREAM_FILES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -42,14 +43,39 @@ def scratch_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new place in the shared folder, below one folder of the application."""
+    _REGISTERED or _REGISTERED.append(atexit.register(_clean_at_exit))
+    return f"{scratch_dir(spark)}/sievewright/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+
+
+_REGISTERED: list = []
+
+
+def clean(spark: SparkSession) -> bool:
+    """Delete what this application has written to the shared folder; what is still read from there fails."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/sievewright/{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _clean_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:  # else it was stopped, and whoever did had the folder to clean
+        try:
+            clean(spark)
+        except Exception:  # nothing is left to report it to
+            pass
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: the rows survive the loss of any executor, are computed once however
-    often they are read, and are stored compressed and by column.
+    often they are read, and are stored compressed and by column.  The folder goes when the
+    application ends, or with :func:`clean`.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/sievewright/{tag}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

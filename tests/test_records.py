@@ -192,3 +192,57 @@ def test_reports(spark):
     manifest = reports.dataset_manifest(bad.asDict(), {"sft": "/x"}, {"sft": "00"}, "2025-01-01")
     text = reports.manifest_markdown(manifest)
     assert "- sft: `/x` (sha256 `00`)" in text and "- pass: `False`" in text and "- sft_rows_total: `3`" in text
+
+
+def test_generation(spark):
+    from sievewright.operators import generate, rubric
+
+    rows = spark.createDataFrame([("a", "s", 1), ("b", "s", 2), ("c", "t", 3)], "id string, seed string, n int")
+    assert {r.id: r.cycle for r in generate.cycles(rows, "seed", "n").collect()} == {"a": 0, "b": 1, "c": 0}
+    assert [r.id for r in generate.truncate(rows, ["n"], 2).orderBy("n").collect()] == ["a", "b"]
+    merged = generate.merge([rows.limit(0), rows.where("id = 'c'").withColumn("seed", F.lit("s")), rows], "seed", "n").collect()
+    assert sorted((r.id, r.seed) for r in merged) == [("c", "s"), ("c", "t")]
+    ledger = spark.createDataFrame([("t",)], "seed string")
+    assert [r.id for r in generate.fill_chunk(rows, ledger, "seed", "n", 5).collect()] == ["a"]
+    templates = {"x": {"en": "look <IMAGE_CONTEXT>", "de": "schau"}, "y": {"fr": "voir"}}
+    asked = spark.createDataFrame([("x", "de", False), ("x", "ru", True), ("y", None, False), ("z", "en", False)], "c string, l string, i boolean")
+    assert [r[0] for r in asked.select(generate.prompt(templates, F.col("c"), F.col("l"), F.col("i"), context="here")).collect()] == ["schau", "look here", "voir", None]
+    sent = asked.select(generate.message_payload(F.col("c"), F.col("l"), F.col("i"), F.lit("image://1")).alias("m")).collect()
+    assert [len(r.m[0].content) for r in sent] == [1, 2, 1, 1] and sent[1].m[0].content[0].image == "image://1"
+    seeds = generate.seed_table(spark, 400, {"a": 3.0, "b": 1.0}, ["en", "de"], "b").collect()
+    assert 60 < sum(s.category == "b" for s in seeds) < 140 and all(s.category == "b" for s in seeds if s.multimodal) and len({s.seed_id for s in seeds}) == 400
+    small = spark.createDataFrame([(f"s{i}", "q", "tone", "en") for i in range(9)], "seed_id string, prompt string, category string, language string")
+    made = generate.generate(small, [["x by y and a few words more so that it is long enough", "no"]], rubric.Rubric(("x", "y")), 5).collect()
+    assert [r.id for r in made] == ["row-0000001"] and made[0].answer.startswith("x by y")
+    pack = generate.stress_pack(spark.createDataFrame([("a", "k", "en", False), ("b", "k", "ar", True), ("c", "m", "ru", True)], "id string, category string, language string, multimodal boolean"), ["m", "k", "none"], "id", 4)
+    assert sorted((r.place, r.id) for r in pack.collect()) == [(0, "c"), (1, "a"), (3, "b"), (3, "c")]
+    assert generate.spot_checks(rows, "id", 2).count() == 2
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from sievewright import cli
+
+    sft, pref, out = tmp_path / "s.jsonl", tmp_path / "p.jsonl", tmp_path / "r.json"
+    good = {"id": "1", "category": "identity_behavior", "messages": [{"role": "user", "content": [{"type": "text", "text": "who are you"}]}, {"role": "assistant", "content": "me"}]}
+    sft.write_text(json.dumps(good) + "\n" + json.dumps({"id": "", "messages": []}) + "\n")
+    pref.write_text(json.dumps({"id": "p", "prompt": "q", "chosen": "a", "rejected": "b"}) + "\n")
+    base = ["--sft", f"file://{sft}", "--preferences", f"file://{pref}", "--output", str(out)]
+    assert cli.main(["validate-dataset", *base], spark) == 0 and cli.main(["validate-dataset", *base, "--strict"], spark) == 2
+    report = json.loads(out.read_text())
+    assert report["sft_rows_total"] == 1 and report["invalid_sft_rows"] == 1 and report["preferences_rows_total"] == 1 and report["sft_tokens_total"] == 4
+    assert cli.main(["validate-identity", *base, "--strict"], spark) == 2
+    assert json.loads(out.read_text())["preference_rows"] == 1
+    for name in ("m.md", "m.json"):
+        assert cli.main(["render-manifest", "--report", str(out), "--file", f"sft={sft}", "--output", str(tmp_path / name)]) == 0
+    assert "# Dataset manifest" in (tmp_path / "m.md").read_text() and len(json.loads((tmp_path / "m.json").read_text())["sha256"]["sft"]) == 64
+    (tmp_path / "a.py").write_text("bad_call()\n")
+    assert cli.main(["audit", "--folder", f"file://{tmp_path}", "--patterns", json.dumps({"bad": "bad_call"}), "--violations", "bad"], spark) == 2
+
+
+def test_scratch_is_deleted(spark):
+    from sievewright import session
+
+    kept = session.materialize(spark.range(3), "x")
+    assert kept.count() == 3 and session.clean(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(session.scratch_path(spark, "x").rsplit("/", 1)[0])
