@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +12,17 @@ from sievewright.llm import abuse, answers, containers, format_copies, languages
 from sievewright.session import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Where the vocabulary files lie on every machine; another folder is named by the environment.
+TOKENIZERS = os.environ.get("SIEVEWRIGHT_TOKENIZERS", "/opt/tokenizers")
+TOKENIZER = tokens.Tokenizer(TOKENIZERS)
 
 
 def _document_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.record_tokens(table(spark, folder, "documents"), ["doc_id", "source"], "text")
+    return tokens.record_tokens(table(spark, folder, "documents"), ["doc_id", "source"], "text", TOKENIZER)
 
 
 def p1_record_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return tokens.corpus_tokens(table(spark, folder, "documents"), table(spark, folder, "sft_rows"))
+    return tokens.corpus_tokens(table(spark, folder, "documents"), table(spark, folder, "sft_rows"), TOKENIZER)
 
 
 def p1_totals(spark: SparkSession, folder: str) -> DataFrame:

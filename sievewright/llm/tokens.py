@@ -40,8 +40,6 @@ from pyspark.sql import types as T
 from sievewright.llm.records import text_lists
 from sievewright.session import materialize
 
-#: Where the public vocabulary files lie; a parameter of every operator.
-TOKENIZER_FOLDER = os.environ.get("SIEVEWRIGHT_TOKENIZERS", "/opt/tokenizers")
 BLOCK_RECORDS = 4096
 #: Distinct pieces at which a block is closed, so that 16 bits number them.
 BLOCK_PIECES = 40_000
@@ -59,10 +57,10 @@ _FULL_PATTERN = regex.compile(BYTE_LEVEL_PATTERN)
 
 @dataclass(frozen=True)
 class Tokenizer:
-    """A vocabulary file: ``.tiktoken`` ranks of a byte-level BPE, or a ``.json`` tokenizer."""
+    """A vocabulary file in a folder that all executors have: ``.tiktoken`` ranks of a byte-level BPE, or a ``.json`` tokenizer."""
 
+    folder: str
     name: str = "byte_bpe_multi_50k.tiktoken"
-    folder: str = TOKENIZER_FOLDER
 
     @property
     def path(self) -> str:
@@ -213,7 +211,7 @@ def record_tokens(
     df: DataFrame,
     keys: list[str],
     text: str | Column,
-    tokenizer: Tokenizer = Tokenizer(),
+    tokenizer: Tokenizer,
     block_records: int = BLOCK_RECORDS,
     block_pieces: int = BLOCK_PIECES,
     hot_blocks: int = HOT_BLOCKS,
@@ -255,7 +253,7 @@ def clean_label(name: str, missing: str = "unknown") -> Column:
     return F.when(plain.isNull() | (plain == ""), F.lit(missing)).otherwise(plain)
 
 
-def corpus_tokens(docs: DataFrame, sft: DataFrame, tokenizer: Tokenizer = Tokenizer()) -> DataFrame:
+def corpus_tokens(docs: DataFrame, sft: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """table_name, record_id, source, language, category, n_tokens of each record of both tables.
 
     A repeated id is one record, the latest delivered.

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 
 from sievewright.llm import containers, mixing, tokens
+from sievewright.llm.queries import TOKENIZER, TOKENIZERS
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(tokens.TOKENIZER_FOLDER), reason="no tokenizers")
+pytestmark = pytest.mark.skipif(not os.path.isdir(TOKENIZERS), reason="no tokenizers")
 TEXTS = [
     None, "", " ", "Hello, world! It's 12345 o'clock…", "naïve café  \n\n x", "混合文字 and 日本語", "\x1c\x1d sep", "<|endoftext|> is text",
     "word " * 3000, "مرحبا بالعالم ١٢٣", "a" * 2000, "tab\t\tand  spaces   ", "emoji 😀😀 👍🏽", "don't you've I'LL",
@@ -17,7 +18,7 @@ TEXTS = [
 def reference(text):
     import tiktoken
 
-    with open(tokens.Tokenizer().path, "rb") as lines:
+    with open(TOKENIZER.path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     encoding = tiktoken.Encoding("x", pat_str=tokens.BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
     return len(encoding.encode_ordinary(text or ""))
@@ -27,10 +28,10 @@ def reference(text):
 def test_record_tokens_are_exact(spark, limits):
     rows = [(i, t, "x", 7) for i, t in enumerate(TEXTS * 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, block string, pieces int")
-    got = {r.doc_id: r.n_tokens for r in tokens.record_tokens(df, ["doc_id", "block"], "text", **limits).collect()}
+    got = {r.doc_id: r.n_tokens for r in tokens.record_tokens(df, ["doc_id", "block"], "text", TOKENIZER, **limits).collect()}
     known = [reference(t) for t in TEXTS] * 3
     assert got == dict(enumerate(known))
-    assert tokens.record_tokens(df.limit(0), ["doc_id"], "text").count() == 0
+    assert tokens.record_tokens(df.limit(0), ["doc_id"], "text", TOKENIZER).count() == 0
 
 
 def test_messages_and_json_tokenizer(spark):
@@ -38,7 +39,7 @@ def test_messages_and_json_tokenizer(spark):
 
     rows = [(1, [("user", "Hi There"), ("assistant", '[{"type": "text", "text": "ok then"}]'), ("x", None)]), (2, None), (3, [])]
     df = spark.createDataFrame(rows, "id long, messages array<struct<role:string,content:string>>")
-    own = tokens.Tokenizer("byte_bpe_50k.json")
+    own = tokens.Tokenizer(TOKENIZERS, "byte_bpe_50k.json")
     got = {r.id: r.n_tokens for r in tokens.record_tokens(df, ["id"], "messages", own).collect()}
     encode = lambda t: len(Json.from_file(own.path).encode(t, add_special_tokens=False).ids)
     assert got == {1: encode("Hi There") + encode("ok then"), 2: 0, 3: 0}
