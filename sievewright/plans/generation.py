@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sievewright.functions import text as T
 from sievewright.operators import generate, mixing, review, rubric
 from sievewright.plans.queries import _DEDUPE, _LENGTH, _sig, _unit_sql
 from sievewright.plans.registry import query
-from sievewright.session import table
+from sievewright.session import materialize, table
 
 TERMS = ("veyra-2", "noctule")
 RUBRIC = rubric.Rubric(TERMS)
@@ -113,21 +115,22 @@ def appended_sql(mode: str) -> str:
 _WORSE = f"(SELECT a.id, a.language, a.category, m.mode, a.a, {_STRIP.format('a.a || ' + appended_sql('m.mode'))} AS w FROM {_ANSWERS} a, (VALUES {', '.join(f'({quoted(k)})' for k in rubric.FAILURES)}) m(mode))"
 
 
-def worsened(spark, folder):
-    modes = F.explode(F.array(*[F.lit(m) for m in rubric.FAILURES]))
-    return scored(spark, folder).withColumn("mode", modes).withColumn("w", rubric.worsen(F.col("answer"), F.col("language"), F.col("mode")))
+def worsened(rows):
+    """Each way to fail as a projection of its own, its sentence a constant."""
+    parts = [rows.withColumn("mode", F.lit(m)).withColumn("w", rubric.worsen(F.col("answer"), F.col("language"), F.lit(m))) for m in rubric.FAILURES]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 @query(f"SELECT id, mode, w AS worse FROM {_WORSE}")
 def q45_failure_injection(spark, folder):
-    return worsened(spark, folder).select("id", "mode", F.col("w").alias("worse"))
+    return worsened(answers(spark, folder)).select("id", "mode", F.col("w").alias("worse"))
 
 
 @query(
     f"SELECT mode, count(*) AS n_pairs, CAST(sum(CASE WHEN margin > 0 AND margin >= 0.8::DOUBLE THEN 1 ELSE 0 END) AS BIGINT) AS n_kept FROM (SELECT mode, {score_sql('a')} - {score_sql('w')} AS margin FROM {_WORSE}) GROUP BY mode"
 )
 def q46_margin_filter(spark, folder):
-    rows = worsened(spark, folder).withColumn("margin", F.col("score") - RUBRIC.total(F.col("w"), F.col("language"), F.col("category")))
+    rows = worsened(materialize(scored(spark, folder), "scored")).withColumn("margin", F.col("score") - RUBRIC.total(F.col("w"), F.col("language"), F.col("category")))
     return rows.groupBy("mode").agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if((F.col("margin") > 0) & (F.col("margin") >= rubric.MIN_MARGIN)).alias("n_kept"))
 
 

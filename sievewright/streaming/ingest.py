@@ -12,8 +12,10 @@ from sievewright.sources.sinks import LEDGER, append_ledger
 
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Signatures of earlier batches, on any file system; an empty one is made at first."""
-    spark.createDataFrame([], LEDGER).write.mode("append").parquet(path)
+    """Signatures of earlier batches, on any file system; an empty table where there are none yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], LEDGER)
     return spark.read.schema(LEDGER).parquet(path)
 
 
