@@ -147,5 +147,58 @@ def queries() -> dict[str, Query]:
     return dict(sorted(found.items(), key=lambda x: (int(x[0][1:].split("_")[0]), not x[0].endswith("_found"))))
 
 
+def _canonical_sql(c: str) -> str:
+    """Without white space, punctuation and letter case; the sharp s and the final sigma as case folding has them."""
+    return rf"regexp_replace(nfc_normalize(replace(replace(lower({c}), 'ß', 'ss'), 'ς', 'σ')), '[^\p{{L}}\p{{N}}\p{{M}}]+', '', 'g')"
+
+
+def _plain_sql(c: str) -> str:
+    listed = f"TRY_CAST({c} AS JSON[])"
+    texts = f"array_to_string(list_filter(list_transform(list_filter({listed}, lambda b: json_extract_string(b, '$.type') = 'text'), lambda b: json_extract_string(b, '$.text')), lambda t: t IS NOT NULL), ' ')"
+    return f"CASE WHEN ltrim({c}) LIKE '[%' AND json_valid({c}) AND len(list_filter({listed}, lambda b: json_extract_string(b, '$.type') IS NOT NULL)) > 0 THEN {texts} ELSE coalesce({c}, '') END"
+
+
+def _messages_sql(messages: str, role: str, content: str) -> str:
+    text = _canonical_sql(f"({_plain_sql(content)})")
+    some = f"len(list_filter({messages}, lambda m: {text} <> '')) > 0"
+    return f"CASE WHEN {some} THEN 'm' || array_to_string(list_transform({messages}, lambda m: chr(30) || lower(trim(coalesce({role}, ''))) || chr(31) || {text}), '') END"
+
+
+def _pair_sql(prompt: str, chosen: str) -> str:
+    a, b = _canonical_sql(f"coalesce({prompt}, '')"), _canonical_sql(f"coalesce({chosen}, '')")
+    return f"CASE WHEN {a} <> '' OR {b} <> '' THEN 'p' || chr(30) || {a} || chr(30) || {b} END"
+
+
+_USERS = f"array_to_string(list_transform(list_filter(prompt_messages, lambda m: lower(trim(coalesce(m.role, ''))) = 'user'), lambda m: {_plain_sql('m.content')}), chr(10))"
+_LISTED = "TRY_CAST(json_extract(p, '$.messages') AS JSON[])"
+_RAW_KEY = (
+    f"coalesce(CASE WHEN json_type(json_extract(p, '$.messages')) = 'ARRAY' THEN {_messages_sql(_LISTED, "json_extract_string(m, '$.role')", "json_extract_string(m, '$.content')")} END, "
+    f"{_pair_sql("json_extract_string(p, '$.prompt')", "json_extract_string(p, '$.chosen')")})"
+)
+_KEYS = (
+    f"keys AS MATERIALIZED (SELECT DISTINCT * FROM (SELECT 'sft_rows' AS table_name, id, {_messages_sql('messages', 'm.role', 'm.content')} AS key FROM sft_rows "
+    f"UNION ALL SELECT 'preference_rows', id, {_pair_sql(f'coalesce(prompt, {_USERS})', 'chosen')} FROM preference_rows "
+    f"UNION ALL SELECT 'raw_records', raw_id, {_RAW_KEY} FROM (SELECT raw_id, CASE WHEN json_valid(payload) AND ltrim(payload) LIKE '{{%' THEN payload END AS p FROM raw_records)) WHERE key IS NOT NULL AND id IS NOT NULL)"
+)
+
+
+def _forms_sql() -> str:
+    """The forms that need no look at their neighbours: characters dropped or replaced one by one, then composed."""
+    dropped = "".join(f"\\x{{{ord(c):x}}}" for c, out in visual.SINGLE.items() if not out and ord(c) < 0xE0000)
+    text = f"regexp_replace(text, '[{dropped}]+', '', 'g')"
+    for c, out in visual.SINGLE.items():
+        if len(out) > 1 and 0xFB00 <= ord(c) <= 0xFB06:  # ligatures
+            text = f"replace({text}, '{c}', '{out}')"
+    single = {c: out for c, out in visual.SINGLE.items() if len(out) == 1 and c not in "'\r" and out != "'" and ord(c) < 0x10000}
+    return f"nfc_normalize(translate(nfc_normalize({text}), '{''.join(single)}', '{''.join(single.values())}'))"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of what needs no model and no tokenizer."""
+    return {
+        "p2_found": f"WITH {_KEYS} SELECT DISTINCT a.table_name, a.id AS id_a, b.id AS id_b FROM keys a JOIN keys b ON a.table_name = b.table_name AND a.key = b.key AND a.id < b.id",
+        "p2_collapsed": f"WITH {_KEYS} SELECT table_name, min(id) AS representative_id, count(*) AS n_copies FROM keys GROUP BY table_name, key",
+        "p9_found": f"WITH f AS MATERIALIZED (SELECT doc_id, text, {_forms_sql()} AS form FROM documents WHERE trim(regexp_replace(text, '[\\s\\p{{Z}}\\p{{C}}]+', '', 'g')) <> '') "
+        "SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM f a JOIN f b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text",
+        "p9_forms": f"SELECT doc_id, {_forms_sql()} AS form FROM documents",
+    }
