@@ -9,9 +9,9 @@ then less than one block away from its share.
 Weights are counted in parts of ``period`` (10,000; shares of four decimals are exact).  All
 sources are exactly on their share after each period, so the schedule repeats, and one period of
 slots, a table of fixed size, gives the slot of any block of any amount of data.
-Where a source has less than one part, the period is a multiple of that, up to 50,000 slots; a source
-that is smaller still has one part all the same, so none of its records is lost, but they stand
-closer to the begin than its share asks for.
+Where a source has less than one part, the period is a multiple of that, up to 50,000 slots.  The blocks
+of a source that is smaller still take no slot of the schedule: each follows the slot of its release
+time, so that none of its records is lost and the others are moved by less than a slot in 50,000.
 
 How much to mix: without ``total_tokens`` the largest amount at which every source that has
 records reaches its target with at most ``max_repeats`` passes.  With it, sources that would need
@@ -186,21 +186,27 @@ def mix(
     if extra:
         chosen = chosen.unionByName(spark.createDataFrame(extra, chosen.schema))
 
-    period = period_for(take, period) if sum(take) > 0 else period
-    weights = whole_weights(take, period) if sum(take) > 0 else [0] * len(take)
+    total = sum(take)
+    period = period_for(take, period) if total > 0 else period
+    # Sources with less than a part of the period have no slot of their own: their blocks come at their release times.
+    small = [0 < q / total * period < 1 - 1e-9 if total else False for q in take]
+    regular = [0.0 if s else q for q, s in zip(take, small)]
+    weights = whole_weights(regular, period) if sum(regular) > 0 else [0] * len(take)
     seen = [0] * len(plan)
     slots = []
     for slot, s in enumerate(pfair_schedule(weights, period) if sum(weights) else []):
         if s >= 0:
-            slots.append((s, seen[s], weights[s], slot))
+            slots.append((s, seen[s], slot))
             seen[s] += 1
-    pattern = spark.createDataFrame(slots, "s int, i int, w int, slot_in_period int")  # period rows, at most BROADCAST_ROWS
-    per = spark.createDataFrame([(s, w) for s, w in enumerate(weights) if w > 0], "s int, w int")
-    blocks = chosen.withColumn("block", F.floor(F.col("at") / block_tokens)).join(F.broadcast(per), "s").withColumn("i", F.pmod("block", "w").cast("int"))
-    timed = blocks.join(F.broadcast(pattern.drop("w")), ["s", "i"]).withColumn(
+    pattern = spark.createDataFrame(slots, "s int, i int, slot_in_period int")  # period rows, at most BROADCAST_ROWS
+    per = spark.createDataFrame([(s, w, q / total) for s, (w, q) in enumerate(zip(weights, take)) if q > 0], "s int, w int, part double")
+    blocks = chosen.withColumn("block", F.floor(F.col("at") / block_tokens)).join(F.broadcast(per), "s").withColumn("place", F.col("at") - F.col("block") * block_tokens)
+    timed = blocks.where("w > 0").withColumn("i", F.pmod("block", "w").cast("int")).join(F.broadcast(pattern), ["s", "i"]).withColumn(
         "slot", F.floor(F.col("block") / F.col("w")) * period + F.col("slot_in_period")
     )
-    return timed.select("doc_id", "source", "copy", "n_tokens", "slot", (F.col("at") - F.col("block") * block_tokens).alias("place"))
+    released = blocks.where("w = 0").withColumn("slot", F.floor(F.col("block") / F.col("part"))).withColumn("place", F.col("place") + block_tokens)
+    columns = ["doc_id", "source", "copy", "n_tokens", "slot", "place"]
+    return timed.select(*columns).unionByName(released.select(*columns))
 
 
 def shares(mixture: DataFrame, sources: DataFrame) -> DataFrame:

@@ -155,6 +155,16 @@ def test_small_shares_keep_their_records(spark):
     assert len({(r.slot, r.place) for r in rows}) == len(rows)
 
 
+def test_the_smallest_sources_are_spread(spark):
+    """A source of a millionth comes at its release times, not at the begin of each period."""
+    docs = [(i, "a", 50_000, 1) for i in range(2_000)] + [(10_000 + i, "tiny", 1, 1) for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, n_tokens long, slot int")
+    sources = spark.createDataFrame([("a", 1 - 1e-6, 1), ("tiny", 1e-6, 1)], "source_id string, target_share double, max_repeats int")
+    rows = mixing.mix(df, sources, block_tokens=1).collect()
+    tiny = sorted(r.slot for r in rows if r.source == "tiny")
+    assert len(tiny) >= 99 and all(abs(slot - k * 1_000_000) <= 1_000_000 for k, slot in enumerate(tiny)) and len({(r.slot, r.place) for r in rows}) == len(rows)
+
+
 def test_registered_mixture_reports_uneven_shares(spark):
     """A mixture as large as its sources: repeats stay within their cap and shares are reported as they are."""
     from sievewright.llm import queries
