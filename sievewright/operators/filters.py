@@ -194,11 +194,10 @@ def attestation_missing(source: Column, attestation: Column) -> Column:
     return F.upper(F.coalesce(source, F.lit(""))).startswith("PRIVATE_LOCAL") & ~F.coalesce(complete, F.lit(False))
 
 
-def allowed_sources(allowlist: DataFrame) -> DataFrame:
-    """source_id, enabled: of a source listed twice the last by license and split holds."""
-    return allowlist.groupBy(F.trim("source_id").alias("source_id")).agg(
-        F.max_by("enabled", F.struct(F.coalesce("license", F.lit("")), F.coalesce("default_split", F.lit("")))).alias("enabled")
-    )
+def allowed_sources(allowlist: DataFrame, order: Column | None = None) -> DataFrame:
+    """source_id, enabled: of a source listed twice the last by order holds, without one the last as the table is read."""
+    placed = allowlist.select(F.trim("source_id").alias("source_id"), "enabled", (F.monotonically_increasing_id() if order is None else order).alias("__at"))
+    return placed.groupBy("source_id").agg(F.max_by("enabled", "__at").alias("enabled"))
 
 
 def admit(df: DataFrame, allowlist: DataFrame, source: str = "source_id") -> DataFrame:

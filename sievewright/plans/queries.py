@@ -218,7 +218,7 @@ def q14_strict_validate(spark, folder):
     return df.select("id", "ingested_at", filters.strict_reason(df).alias("reason"))
 
 
-_ALLOWED = "(SELECT trim(source_id) AS s, arg_max(enabled, coalesce(license, '') || chr(1) || coalesce(default_split, '')) AS enabled FROM allowlist_entries GROUP BY 1)"
+_ALLOWED = "(SELECT s, arg_max(enabled, n) AS enabled FROM (SELECT trim(source_id) AS s, enabled, row_number() OVER () AS n FROM allowlist_entries) GROUP BY s)"
 
 
 @query(f"SELECT CASE WHEN l.s IS NULL THEN 'not_listed' WHEN l.enabled THEN 'ok' ELSE 'not_enabled' END AS admission, r.source_id, count(*) AS n_rows FROM sft_rows r LEFT JOIN {_ALLOWED} l ON trim(r.source_id) = l.s GROUP BY ALL")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -103,3 +104,19 @@ def first_existing(names: list[str], explicit: str | None = None, candidates: li
     if found is None and required:
         raise FileNotFoundError(f"none of {places}")
     return found, places
+
+
+def requirement_name(line: str) -> str:
+    """The name of a requirement in small letters, without extras and versions; empty for blanks and comments."""
+    found = re.match(r"\s*([^#\[<>=!~]*)", line)
+    return "" if line.lstrip().startswith("#") else found.group(1).strip().lower()
+
+
+def distinct_requirements(lines: list[str], left_out: tuple[str, ...] = ()) -> list[str]:
+    """Requirements in their order, each name once, without those left out."""
+    first: dict[str, str] = {}
+    for line in lines:
+        name = requirement_name(line)
+        if name and name not in left_out:
+            first.setdefault(name, line.strip())
+    return list(first.values())

@@ -157,6 +157,22 @@ def test_near_duplicates_do_not_depend_on_slices(spark, slice_rows):
     assert len(got) == len(rows) and {r.i: r.kept for r in got} == want and want[120] is False
 
 
+@pytest.mark.parametrize("n", [4_999, 5_000, 5_001, 20_000])
+def test_large_blocks_are_folded_as_small_ones(spark, n):
+    """Blocks around and far above the size of a slice, with many repeats: the result is the loop's."""
+    rng = random.Random(n)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(40)]
+    rows = [(i, "hot", texts[rng.randrange(3 + i % 38)], "same answer") for i in range(n)]
+    df = spark.createDataFrame(rows, "i int, block string, p string, a string")
+    got = {r.i: r.kept for r in dedupe.near_duplicates(df, ["block"], "i", "p", "a", window=12).collect()}
+    kept, want = deque(maxlen=12), {}
+    for i, _, p, _ in rows:  # the texts are equal or far apart
+        want[i] = p not in kept
+        if want[i]:
+            kept.append(p)
+    assert got == want
+
+
 def test_parity(spark):
     pairs = [(1, "a b c", "a b d"), (2, "a b c", "x"), (3, "a", "a\ufffd"), (4, None, ""), (5, "a", None)]
     rows = {r.i: r for r in reports.parity(spark.createDataFrame(pairs, "i int, a string, b string"), "a", "b").collect()}

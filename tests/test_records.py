@@ -156,6 +156,7 @@ def test_sources(spark, tmp_path):
     assert dispatch.first_existing(["x.json", "c.json"], folder=str(tmp_path))[0] == str(tmp_path / "c.json") and dispatch.first_existing(["x"], folder=str(tmp_path), required=False)[0] is None
     with pytest.raises(FileNotFoundError):
         dispatch.first_existing(["x"], folder=str(tmp_path))
+    assert dispatch.distinct_requirements([" Torch>=2 ", "# note", "", "torch", "numpy[x]==1", "core~=3"], ("core",)) == ["Torch>=2", "numpy[x]==1"]
 
 
 def test_more_sinks(spark, tmp_path):
