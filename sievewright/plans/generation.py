@@ -341,3 +341,30 @@ _AGAIN = f"SELECT id FROM (SELECT DISTINCT id FROM identity_sft) ORDER BY {_unit
 @query(_AGAIN)
 def q99_spot_checks(spark, folder):
     return generate.spot_checks(table(spark, folder, "identity_sft").select("id").distinct(), "id")
+
+
+_LEAKS = ("let me", "step by step", "<think>", "the library", "because")
+
+
+@query(
+    f"SELECT DISTINCT id, CASE {' '.join(f'WHEN contains(lower(a), {quoted(p)}) THEN {quoted(p)}' for p in T.FORBIDDEN_PHRASES)} END AS forbidden, {any_sql('lower(a)', _LEAKS)} AS leak, {any_sql('lower(a)', rubric.TOOLS)} AS tool_claim, "
+    f"NOT (contains(lower(a), '{TERMS[0]}') AND contains(lower(a), '{TERMS[1]}')) AS lacks_identity FROM {_ANSWERS}"
+)
+def q100_marker_predicates(spark, folder):
+    rows, a = answers(spark, folder), F.col("answer")
+    return rows.select("id", review.forbidden_hit(a).alias("forbidden"), review.any_marker(a, _LEAKS).alias("leak"), review.any_marker(a, rubric.TOOLS).alias("tool_claim"), review.lacks_identity(a, TERMS).alias("lacks_identity")).distinct()
+
+
+_TEMPLATES = {"multilingual": {"en": "Say hello. <IMAGE_CONTEXT>", "fr": "Dis bonjour.", "zh": "打个招呼。"}, "utility_tasks": {"de": "Sortiere die Liste."}, "identity_behavior": {"en": "Who are you?"}}
+_USUAL = {c: by.get("en", next(iter(by.values()))) for c, by in _TEMPLATES.items()}
+
+
+@query(
+    f"WITH s AS (SELECT seed_id, id, language, CASE {' '.join(f'WHEN {_pick_sql(1)} < {b!r}::DOUBLE THEN {quoted(n)}' for b, n in _CATEGORY_BOUNDS)} ELSE {quoted(sorted(mixing.CATEGORY_TARGETS)[-1])} END AS category FROM {_SEEDS}) "
+    f"SELECT seed_id, trim(replace(CASE category || '/' || language {' '.join(f'WHEN {quoted(c + chr(47) + k)} THEN {quoted(t)}' for c, by in _TEMPLATES.items() for k, t in by.items())} ELSE CASE category {' '.join(f'WHEN {quoted(c)} THEN {quoted(t)}' for c, t in _USUAL.items())} END END, "
+    "'<IMAGE_CONTEXT>', CASE WHEN category = 'multilingual' AND " + _pick_sql(3) + " < 0.95::DOUBLE THEN '(picture)' ELSE '' END)) AS prompt FROM s"
+)
+def q101_prompt_templates(spark, folder):
+    """The prompts of 2,200 seeds from templates in some languages, with the place of a picture filled."""
+    seeds = generate.seed_table(spark, 2_200, mixing.CATEGORY_TARGETS, list(_LANGS), "multilingual")
+    return seeds.select("seed_id", generate.prompt(_TEMPLATES, F.col("category"), F.col("language"), F.col("multimodal"), context="(picture)").alias("prompt"))

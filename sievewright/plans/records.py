@@ -12,8 +12,8 @@ from sievewright.functions import text as T
 from sievewright.operators import filters, mixing, normalize, reports
 from sievewright.plans.queries import _ALL_TEXT, _CATEGORY, _COMPAT, _EMPTY_PROMPT, _LISTED, _OFF, _SFT_TOK, _SQUEEZE, INJECTED, _strict_sql, marks, sft, sft_tokens, tok, txt
 from sievewright.plans.registry import query
-from sievewright.session import table
-from sievewright.sources import sinks
+from sievewright.session import scratch_path, table
+from sievewright.sources import jsonl, sinks
 
 _STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 _BLANK = r"coalesce(regexp_replace({0}, '^\s+|\s+$', '', 'g'), '') = ''"
@@ -321,3 +321,24 @@ def q94_image_rows(spark, folder):
     answers = table(spark, folder, "events").where("event_type is not null").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: x["event_type"]).alias("answers"))
     user = F.col("user_id").cast("string")
     return normalize.image_rows(answers, F.concat(F.lit("What did user "), user, F.lit(" do?")), F.col("answers"), F.concat(F.lit("image://"), user), user)
+
+
+@query(
+    "SELECT count(*) FILTER (json_valid(p)) AS n_good, count(*) FILTER (NOT json_valid(p)) AS n_bad FROM (SELECT regexp_replace(payload, '\\s+', ' ', 'g') AS p FROM raw_records WHERE payload IS NOT NULL AND trim(regexp_replace(payload, '\\s+', ' ', 'g')) <> '')"
+)
+def q102_line_quality(spark, folder):
+    """The payloads written as lines of text files and read again: well-formed and broken ones."""
+    lines = table(spark, folder, "raw_records").select(F.regexp_replace("payload", r"\s+", " ").alias("value")).where("value is not null")
+    path = scratch_path(spark, "payloads")
+    lines.write.text(path)
+    return jsonl.line_quality(spark, path).select("n_good", "n_bad")
+
+
+@query(
+    f"SELECT id, 'text' AS modality, {_SQUEEZE.format("coalesce(prompt, '')")} || chr(10) || {_SQUEEZE.format("coalesce(chosen, '')")} AS chat, coalesce(language, 'unknown') AS language, true AS thinking_disabled FROM preference_rows"
+)
+def q103_text_records(spark, folder):
+    """Pairs as records of the older layout."""
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    made = prefs(spark, folder).select(normalize.text_record(F.col("id"), F.col("source_id"), F.lit("general_polished"), blank("prompt"), blank("chosen"), F.coalesce("language", F.lit("unknown"))).alias("r"))
+    return made.select("r.id", "r.modality", F.array_join(F.transform("r.messages", lambda m: m["content"]), "\n").alias("chat"), "r.meta.language", "r.meta.thinking_disabled")
