@@ -172,12 +172,13 @@ def _url(text: str, start: int) -> tuple[int, int]:
 #: A run of digits with the signs that group them.
 _DIGITS = re.compile(r"(?<![\w.])(?:\+|\()?\d(?:[\d().\-/]| (?=[\d(])){5,}(?!\w)")
 _ID_SHAPES = re.compile(r"\d{3}-\d\d-\d{4}|\d{3} \d\d \d{4}|\d\d\.\d\d\.\d{6}|\d{6}-\d{4}|\d{17}[\dXx]")
-_ID_LETTERS = re.compile(r"(?<!\w)[A-Za-z]{2} ?\d{3} \d{3} \d\d ?[A-Za-z](?!\w)|(?<!\w)[A-Za-z]{2}\d{5}[A-Za-z0-9]\d(?!\w)")
+_ID_LETTERS = re.compile(r"[A-Za-z]{2} ?\d(?<!\w[A-Za-z]{2}\d)(?<!\w[A-Za-z]{2} \d)(?:\d\d \d{3} \d\d ?[A-Za-z]|(?<! \d)\d{4}[A-Za-z0-9]\d)(?!\w)")
 #: Accounts and identities with letters, which their check characters must confirm.
 _CHECKED = re.compile(
-    r"(?<!\w)(?:(?P<account>[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)|(?P<dni>\d{8}-?[A-HJ-NP-TV-Z])|(?P<nie>[XYZ]-?\d{7}-?[A-HJ-NP-TV-Z])|(?P<fiscal>[A-Z]{6}\d\d[A-EHLMPRST]\d\d[A-Z]\d{3}[A-Z])"
+    r"(?=[A-Z\d])(?<!\w)(?:(?P<account>[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)|(?P<dni>\d{8}-?[A-HJ-NP-TV-Z])|(?P<nie>[XYZ]-?\d{7}-?[A-HJ-NP-TV-Z])|(?P<fiscal>[A-Z]{6}\d\d[A-EHLMPRST]\d\d[A-Z]\d{3}[A-Z])"
     r"|(?P<card>[2-6]\d{3}(?:[ \-]?\d{4}){2}[ \-]?\d{2,7})|(?P<cpf>\d{3}\.\d{3}\.\d{3}-\d\d)|(?P<nir>[12] \d\d \d\d \d\d \d{3} \d{3} \d\d)|(?P<resident>\d{17}[\dXx]))(?!\w)"
 )
+_SOME_DIGITS = re.compile(r"\d\d")  # no number without
 _SERIAL = re.compile(r"(?:19|20|21)\d\d-\d{5}")  # a year and a running number
 #: Words before a number that is no person's, and units after one.
 _NOT_NUMBERS = re.compile(
@@ -305,7 +306,7 @@ def _trim(text: str, a: int, b: int) -> tuple[int, int]:
         if any("㐀" <= c <= "鿿" for c in head) is False and not head.isupper():
             street = max((i for i, w in enumerate(words) if w[:1].isupper()), default=0)
             i = 0
-            while i < street and words[i][:1].islower() and words[i].lower() not in STREETS_BEFORE:
+            while i < street and words[i][:1].islower() and words[i].lower() not in STREETS_BEFORE and words[i].lower() not in STREETS_CYRILLIC:
                 a += len(words[i]) + 1
                 i += 1
     if m := _BEFORE_STREET.match(head) if "㐀" <= head[:1] <= "鿿" else None:
@@ -371,7 +372,7 @@ def _name_before(text: str, start: int, floor: int, sentences: _Sentences) -> tu
     low = max(floor, sentences.begin(at - 1) if at > 0 else 0)
     low = max(low, text.rfind(">", low, at) + 1)
     piece = text[low:at]
-    lead = len(piece) - len(piece.lstrip(" \t*_\"'«„“—–-"))
+    lead = len(piece) - len(piece.lstrip(" \t*_\"'«„“—–-)]）,，;；:：·"))
     piece = piece[lead:]
     if "㐀" <= piece[:1] <= "鿿":
         return (low + lead, at) if 2 <= len(piece) <= 5 else None
@@ -418,7 +419,7 @@ def _begins_word(low: str, start: int, word: str) -> bool:
     return not (start and low[start - 1].isalpha() and word[0].isalpha() and not "㐀" <= word[0] <= "鿿" and not "؀" <= word[0] <= "ۿ")
 
 
-def _numbers(folded: str, hits: list, sentences: _Sentences, free) -> Iterator[tuple[int, int, str]]:
+def _numbers(folded: str, hits: list, sentences: _Sentences, free, taken: list) -> Iterator[tuple[int, int, str]]:
     """Phone and identity numbers among the runs of digits."""
     cues = sorted((end, what) for _, end, what, _ in hits if what in ("phone", "id"))
     ends = [end for end, _ in cues]
@@ -433,8 +434,10 @@ def _numbers(folded: str, hits: list, sentences: _Sentences, free) -> Iterator[t
             if not 6 <= digits <= 18 or not free(a, b):
                 continue
             i = bisect_right(ends, a) - 1
-            # A cue holds for the rest of its sentence.
+            # A cue holds for the rest of its sentence, one of an identity until it has its number.
             cue = cues[i][1] if i >= 0 and sentences.begin(a) <= ends[i] else None
+            if cue == "id" and any(ends[i] <= x < a for x, _, kind in taken if kind == "id_number"):
+                cue = None  # it has its number
             plain = re.sub(r"\D", "", run)
             if cue != "phone":
                 if _SERIAL.fullmatch(run) or _book(plain) or (_DATE.fullmatch(run) and _valid_date(run)) or (_NETWORK.fullmatch(run) and all(int(x) < 256 for x in run.split("."))):
@@ -522,8 +525,10 @@ def find(text: str) -> list[tuple[int, int, str]]:
     folded = _fold(text)
     low = _lower(folded)
     hits = [(end + 1 - len(word), end + 1, what, word) for end, found in _A.iter(low) for what, word in found]
-    letters = [(m.start(), m.end(), "id_number") for m in _CHECKED.finditer(folded) if _confirmed(m)]
-    letters += [(m.start(), m.end(), "id_number") for m in _ID_LETTERS.finditer(folded)]
+    letters = []
+    if _SOME_DIGITS.search(folded):
+        letters = [(m.start(), m.end(), "id_number") for m in _CHECKED.finditer(folded) if _confirmed(m)]
+        letters += [(m.start(), m.end(), "id_number") for m in _ID_LETTERS.finditer(folded)]
     if not hits and not letters and not _DIGITS.search(folded):
         return []
     urls = [_url(folded, start) for start, _, what, _ in hits if what == "url"]
@@ -545,7 +550,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
     sentences = _Sentences(folded)
     cued = [h for h in hits if h[2] not in ("phone", "id") or _begins_word(low, h[0], h[3])]
     outside = lambda a, b: free(a, b) and not any(x <= a < y for x, y in urls)
-    for a, b, kind in _numbers(folded, cued, sentences, outside):
+    for a, b, kind in _numbers(folded, cued, sentences, outside, taken):
         taken.append((a, b, kind))
     names = [(*span, "name") for span in _names(folded, low, hits, sentences)]
     floor = 0

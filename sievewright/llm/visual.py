@@ -75,7 +75,8 @@ _ALSO_GONE = "\u034f\u115f\u1160\u17b4\u17b5"
 _JOINERS = "\u200c\u200d"
 _SELECTORS = tuple(map(chr, (*range(0x180B, 0x180E), 0x180F, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0))))
 _TAGS = tuple(map(chr, range(0xE0020, 0xE0080)))
-_POINTS = (*range(0x80, 0xD800), *range(0xE000, 0x20000), *range(0xE0000, 0xE0200))
+#: Ideographs, syllables of Hangul and private use have nothing to map and are left out.
+_POINTS = (*range(0x80, 0x3400), *range(0x4DC0, 0x4E00), *range(0xA000, 0xAC00), *range(0xD7A4, 0xD800), *range(0xF900, 0x20000), *range(0xE0000, 0xE0200))
 
 
 def _ordinary(c: str) -> str:

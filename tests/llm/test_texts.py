@@ -56,6 +56,7 @@ CASES = [
     ("The host 192.168.100.200 answers.", {}),
     ("It takes 1234567890 bytes.", {}),
     ("See https://user@host.example/12345678901 for it.", {}),
+    ("Радослава Дъбравин, ж.к. Мъгливец 108", {"name": "Радослава Дъбравин", "address": "ж.к. Мъгливец 108"}),
     ("Die Frau geht. Dear Customer Support, contact us.", {}),
     ("See mailto:bob@x.example for it", {"email": "bob@x.example"}),
     ("", {}),
