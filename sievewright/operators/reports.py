@@ -1,4 +1,4 @@
-"""Histograms, manifests, length reports and the validation report."""
+"""Histograms, manifests, length reports and validation reports; the names of their figures and checks are fixed values."""
 
 from __future__ import annotations
 

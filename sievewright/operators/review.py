@@ -1,7 +1,7 @@
 """Review of generated chunks: ordered reasons for rejecting rows, duplicates among the accepted, and reports.
 
-A row that is rejected for anything else registers neither its id nor its signature, so the stateless
-reasons come first and duplicates are looked for among the rows that have none.
+A row that is rejected for anything else registers neither its id nor its signature, so the
+reasons that need one row only come first and duplicates are looked for among the rows that have none.
 """
 
 from __future__ import annotations

@@ -25,7 +25,7 @@ def test_markers(spark):
 
 
 def test_strings(spark):
-    assert values(spark, ["Colab Main 01", "--", None], T.slug(F.col("t"))) == ["colab-main-01", "main", "main"]
+    assert values(spark, ["Night Main 01", "--", None], T.slug(F.col("t"))) == ["night-main-01", "main", "main"]
     assert values(spark, ["  a 　b \n c "], T.squeeze(F.col("t"))) == ["a b c"]
     assert values(spark, ["", "   ", "ok", "x�", "\x01\x02ab", None], T.garbled(F.col("t"))) == [True, True, False, True, True, True]
     assert values(spark, ["ab cd", "中文 字", ""], T.length_check(F.col("t"))) == [2, 3, 0]
