@@ -24,6 +24,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -363,8 +364,8 @@ def label_sentences(crf: Crf, token_lists: list[list[str]], words: _Words | None
         words.clear()
         words.table = np.zeros((1024, len(LANGUAGES)), np.float32)
     number = words.__getitem__
-    flat = np.concatenate([np.fromiter(map(number, tokens), np.int32, len(tokens)) for tokens in token_lists] or [np.zeros(0, np.int32)])
     lengths = np.fromiter(map(len, token_lists), np.int64, len(token_lists))
+    flat = np.fromiter(map(number, chain.from_iterable(token_lists)), np.int32, int(lengths.sum()))
     owner = np.repeat(np.arange(len(token_lists)), lengths)
     word = flat >= 0
     ids, owner = flat[word], owner[word]

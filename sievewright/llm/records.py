@@ -47,12 +47,14 @@ def message_lists(column: pa.Array, field: str = "content") -> list[list[str]]:
     A null row gives [], a null content or role the empty text.
     """
     offsets = column.offsets.to_pylist()
-    values = column.values.field(field).to_pylist()
+    low, high = (offsets[0], offsets[-1]) if offsets else (0, 0)
+    # Only what belongs to these rows: a slice shares the values of its whole batch.
+    values = column.values.field(field).slice(low, high - low).to_pylist()
     if field == "content":
         values = [plain_text(v) for v in values]
     else:
         values = [v or "" for v in values]
-    return [values[i:j] if v else [] for i, j, v in zip(offsets, offsets[1:], column.is_valid().to_pylist())]
+    return [values[i - low : j - low] if v else [] for i, j, v in zip(offsets, offsets[1:], column.is_valid().to_pylist())]
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 100_000) -> DataFrame:

@@ -178,3 +178,16 @@ def test_registered_mixture_reports_uneven_shares(spark):
     assert any(abs(r.actual_share - r.target_share) > 0.001 for r in rows)
     balanced = queries.p8_shares(spark, folder).collect()
     assert sum(r.n_tokens for r in rows) > sum(r.n_tokens for r in balanced)
+
+
+def test_message_lists_of_slices():
+    import pyarrow as pa
+
+    from sievewright.llm.records import message_lists
+
+    rows = [[{"role": "user", "content": f"t{i}"}, {"role": None, "content": None}][: i % 3] if i % 4 else None for i in range(20)]
+    column = pa.array(rows, pa.list_(pa.struct([("role", pa.string()), ("content", pa.string())])))
+    want = [[m["content"] or "" for m in r] if r else [] for r in rows]
+    for start, length in ((0, 20), (3, 7), (19, 1), (20, 0), (5, 0)):
+        assert message_lists(column.slice(start, length)) == want[start : start + length]
+    assert message_lists(column.slice(6, 5), "role") == [[m["role"] or "" for m in r] if r else [] for r in rows][6:11]
