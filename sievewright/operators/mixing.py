@@ -138,7 +138,7 @@ def fill(df: DataFrame, order: str, tokens: str, budget: int, part_rows: int = P
                 if room == 0:
                     break
                 continue
-            taken = rows.where(F.col("__part") == part).sort(order).coalesce(1).mapInPandas(_fold(order, tokens, {part: room}), schema)
+            taken = rows.where(F.col("__part") == part).coalesce(1).sortWithinPartitions(order).mapInPandas(_fold(order, tokens, {part: room}), schema)
             room -= int(taken.agg(F.sum(tokens)).first()[0])
             break
     if not plan:
